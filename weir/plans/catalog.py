@@ -157,11 +157,11 @@ def scalar_functions(spark, sf_dir):
     kind, ms, cents = F.col("event_type"), F.col("ts_ms"), F.col("cents")
     fields = tx.split_fields(F.concat_ws(",", kind, F.col("k").cast("string"), F.lit("")), ",")
     words = F.array(kind, F.lit("view"), F.lit("a"))
-    amounts = F.map_from_entries(
-        F.array(
-            F.struct(F.lit("cents"), cents), F.struct(F.lit("k"), F.col("k").cast("bigint"))
-        )
-    )
+    entries = [
+        F.struct(F.lit(name).alias("key"), F.col(name).cast("bigint").alias("value"))
+        for name in ("cents", "k")
+    ]
+    amounts = F.map_from_entries(F.array(*entries))
     return events(spark, sf_dir).select(
         "event_id",
         F.size(fields).alias("n_fields"),

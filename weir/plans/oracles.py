@@ -1,12 +1,13 @@
 """SQL counterparts of the registered queries, over the same tables.
 
-Times are BIGINT epoch milliseconds and sums whole cents in both.
+Times are BIGINT epoch milliseconds, cut off rather than rounded (``epoch_ms``
+rounds), and sums are whole cents in both.
 """
 
 from __future__ import annotations
 
 _EVENTS = """ev AS (
-  SELECT event_id, user_id, event_type, epoch_ms(ts) AS ts_ms,
+  SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ts_ms,
          CAST(round(value * 100) AS BIGINT) AS cents,
          CAST(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS INTEGER) AS k, props
   FROM events)"""
