@@ -26,24 +26,27 @@ def flag_late(
     seen_before: int | None = None,
     chunk_rows: int = scan.CHUNK_ROWS,
 ) -> DataFrame:
-    """Add the tumbling window bounds and ``late``. ``seen_before`` is the largest
-    event time of earlier input, when the rows continue a stream."""
+    """Add the tumbling window bounds, ``late`` and ``place``, the 1-based place in
+    arrival order. ``seen_before`` is the largest event time of earlier input, when
+    the rows continue a stream."""
     windowed = with_tumbling_window(rows, ts, size)
     scanned = KeyedScan(windowed, [], order, chunk_rows=chunk_rows).add(
-        _seen=scan.max_before(F.col(ts))
+        _seen=scan.max_before(F.col(ts)), place=scan.running_count()
     ).result()
-    seen = F.greatest(F.col("_seen"), F.lit(seen_before).cast("bigint"))
+    seen = F.col("_seen")
+    if seen_before is not None:
+        seen = F.greatest(seen, F.lit(seen_before).cast("bigint"))
     late = F.col(END) <= seen - F.lit(duration_ms(delay))
     return scanned.withColumn("late", F.coalesce(late, F.lit(False))).drop("_seen")
 
 
 def late_rows(flagged: DataFrame) -> DataFrame:
     """The side output: late records as they came, not aggregated."""
-    return flagged.where("late").drop("late", START, END)
+    return flagged.where("late").drop("late", "place", START, END)
 
 
 def normal_window_sum(
-    flagged: DataFrame, keys: list[str], ts: str, value: str, order: list[str], out: str = "total"
+    flagged: DataFrame, keys: list[str], ts: str, value: str, out: str = "total"
 ) -> DataFrame:
     """Window sums of the records in time. ``first_ts`` is the event time of the
     record that arrived first in the window."""
@@ -51,7 +54,7 @@ def normal_window_sum(
         flagged.where(~F.col("late"))
         .groupBy(START, END, *keys)
         .agg(
-            F.min_by(F.col(ts), F.struct(*order)).alias("first_ts"),
+            F.min_by(ts, "place").alias("first_ts"),
             F.sum(value).alias(out),
         )
     )

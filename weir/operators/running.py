@@ -71,7 +71,7 @@ def running_views_and_users(
         {"_pv": F.lit(0), "_uv": F.lit(1)}
     )
     merged = base.unionByName(firsts, allowMissingColumns=True)
-    scanned = KeyedScan(merged, keys, [seq, "_pv"], **sizes).add(
+    scanned = KeyedScan(merged, keys, [seq, "_pv"], count_rows=rows, **sizes).add(
         pv=scan.running_sum(F.col("_pv")), uv=scan.running_sum(F.col("_uv"))
     )
     return scanned.result().where(F.col("_pv") == 1).drop("_pv", "_uv")
@@ -89,7 +89,10 @@ def running_two_level(
     """Running total of the outer key (``outer_total``) and of the current
     (outer, inner) pair (``inner_total``)."""
     by_outer = running_sum(rows, [outer], seq, value, "outer_total", **sizes)
-    return running_sum(by_outer, [outer, inner], seq, value, "inner_total", **sizes)
+    by_pair = KeyedScan(
+        by_outer, [outer, inner], [seq], count_rows=rows, summary_rows=rows, **sizes
+    )
+    return by_pair.add(inner_total=scan.running_sum(F.col(value))).result()
 
 
 def retract_changelog(
@@ -118,10 +121,9 @@ def group_sum(rows: DataFrame, keys: list[str], value: str, out: str = "cnt") ->
 
 def latest_per_key(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The last row of every key: the final content of an upserted table. An
-    aggregate, so each map task sends one row per key."""
+    aggregate, so each map task sends one row per key. ``seq`` must be unique
+    within a key."""
     others = [c for c in rows.columns if c not in (*keys, seq)]
-    return (
-        rows.groupBy(*keys)
-        .agg(F.max(seq).alias(seq), F.max_by(F.struct(*others), seq).alias("_row"))
-        .select(*keys, seq, *[f"_row.{c}" for c in others])
+    return rows.groupBy(*keys).agg(
+        F.max(seq).alias(seq), *[F.max_by(c, seq).alias(c) for c in others]
     )

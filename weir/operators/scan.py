@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -140,6 +141,10 @@ class KeyedScan:
 
     ``order[0]`` must be an integer column; further order columns break its ties.
     Give ``keys=[]`` for one scan over the whole table, which is always chunked.
+
+    ``rows`` may be costly to compute. The optional frames spare doing so more than
+    once: ``count_rows`` stands in for it when keys are counted, ``summary_rows``
+    (the same rows, with the columns the first folds use) when chunks are summarised.
     """
 
     def __init__(
@@ -150,19 +155,28 @@ class KeyedScan:
         *,
         hot_rows: int = HOT_ROWS,
         chunk_rows: int = CHUNK_ROWS,
+        count_rows: DataFrame | None = None,
+        summary_rows: DataFrame | None = None,
     ):
         self.keys = keys
         self.order = order
-        chunk = F.floor(F.col(order[0]) / F.lit(chunk_rows)).cast("bigint")
-        if not keys:
-            self.frame = rows.withColumn(CHUNK, chunk)
-            return
-        hot = hot_keys(rows, keys, hot_rows).withColumn("_hot", F.lit(1).cast("bigint"))
-        self.frame = (
-            rows.join(F.broadcast(hot), keys, "left")
-            .withColumn(CHUNK, chunk * F.col("_hot"))
-            .drop("_hot")
-        )
+        seq = F.col(order[0]).cast("bigint")
+        chunk = seq - F.pmod(seq, F.lit(chunk_rows))
+        hot = None
+        if keys:
+            counted = rows if count_rows is None else count_rows
+            hot = F.broadcast(
+                hot_keys(counted, keys, hot_rows).withColumn("_hot", F.lit(1).cast("bigint"))
+            )
+
+        def chunked(frame: DataFrame) -> DataFrame:
+            if hot is None:
+                return frame.withColumn(CHUNK, chunk)
+            marked = frame.join(hot, keys, "left")
+            return marked.withColumn(CHUNK, chunk * F.col("_hot")).drop("_hot")
+
+        self.frame = chunked(rows)
+        self.summarised = self.frame if summary_rows is None else chunked(summary_rows)
 
     def add(self, **folds: Fold) -> "KeyedScan":
         """Append one column per fold. Later calls reuse the same shuffle."""
@@ -171,9 +185,9 @@ class KeyedScan:
         local = self.frame.select(
             "*", *[fold.local(rows).alias(f"_local_{name}") for name, fold in folds.items()]
         )
-        position = F.struct(*self.order)
+        position = order[0] if len(order) == 1 else F.struct(*order)
         summaries = (
-            self.frame.where(F.col(CHUNK).isNotNull())
+            self.summarised.where(F.col(CHUNK).isNotNull())
             .groupBy(*keys, CHUNK)
             .agg(*[fold.summary(position).alias(f"_part_{name}") for name, fold in folds.items()])
         )
@@ -204,12 +218,15 @@ class KeyedScan:
 
     def _with(self, frame: DataFrame) -> "KeyedScan":
         other = object.__new__(KeyedScan)
-        other.keys, other.order, other.frame = self.keys, self.order, frame
+        other.keys, other.order = self.keys, self.order
+        other.frame = other.summarised = frame
         return other
 
 
 def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys too large for one task; always fewer than ``MAX_HOT_KEYS``."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """Keys too large for one task; always fewer than ``MAX_HOT_KEYS``. NULL is no
+    key to look up, so rows with a NULL key are never split."""
+    keyed = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     share = counts.agg((F.sum("_n") / F.lit(MAX_HOT_KEYS)).alias("_share")).scalar()
     return counts.where((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(*keys)

@@ -429,9 +429,7 @@ def late_side_output(spark, sf_dir):
 
 @query
 def late_window_sum(spark, sf_dir):
-    return lateness.normal_window_sum(
-        _flagged(spark, sf_dir), ["event_type"], "ts_ms", "cents", ["arrival", "event_id"]
-    )
+    return lateness.normal_window_sum(_flagged(spark, sf_dir), ["event_type"], "ts_ms", "cents")
 
 
 # Keyed state
