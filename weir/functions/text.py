@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted spellings of a number.
+# Characters with a meaning in patterns, and accepted spellings of a number.
+PATTERN_CHARS = r".$|()[]{}^?*+\"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 DOUBLE_PATTERN = (
     r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
@@ -23,7 +26,7 @@ def split_fields(text: Column, separator: str) -> Column:
     return (
         F.when(text == "", F.array(F.lit("")))
         .when(body == "", F.array().cast("array<string>"))
-        .otherwise(F.split(body, "[" + separator + "]" if separator != "^" else r"\^"))
+        .otherwise(F.split(body, re.escape(separator) if separator in PATTERN_CHARS else separator))
     )
 
 
