@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters with a meaning in patterns, and accepted spellings of a number.
-PATTERN_CHARS = r".$|()[]{}^?*+\"
+PATTERN_CHARS = ".$|()[]{}^?*+\\"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 DOUBLE_PATTERN = (
     r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"

@@ -32,6 +32,9 @@ class KeyedOperator(StatefulProcessor):
 
     def apply(self, rows: DataFrame, schema: T.StructType | str, mode: str = "append") -> DataFrame:
         """Run over a streaming or batch frame; ``schema`` describes the results."""
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        self.result = Row(*schema.fieldNames())
         time_mode = self.time_mode
         if self.ttl_ms is not None and time_mode == "none":
             time_mode = "processingTime"
@@ -43,10 +46,14 @@ class KeyedOperator(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in sorted(rows, key=lambda r: r[self.seq]):
-            yield from self.on_record(key[0], row, timerValues)
+        for row in sorted(rows, key=self.place):
+            for values in self.on_record(key[0], row, timerValues):
+                yield self.result(*values)
 
-    def on_record(self, key, row: Row, timers) -> Iterator[Row]:
+    def place(self, row: Row):
+        return row[self.seq]
+
+    def on_record(self, key, row: Row, timers) -> Iterator[tuple]:
         raise NotImplementedError
 
     def close(self) -> None:
@@ -68,7 +75,7 @@ class RunningTotal(KeyedOperator):
         before = self.total.get()
         total = (before[0] if before else 0) + row[self.value]
         self.total.update((total,))
-        yield Row(key, row[self.seq], total)
+        yield key, row[self.seq], total
 
 
 class ReduceByKey(KeyedOperator):
@@ -86,7 +93,7 @@ class ReduceByKey(KeyedOperator):
         value = row[self.value]
         folded = value if before is None else self.fn(before[0], value)
         self.folded.update((folded,))
-        yield Row(key, row[self.seq], folded)
+        yield key, row[self.seq], folded
 
 
 class RetractLog(KeyedOperator):
@@ -102,10 +109,10 @@ class RetractLog(KeyedOperator):
     def on_record(self, key, row, timers):
         before = self.total.get()
         if before:
-            yield Row(key, row[self.seq], False, before[0])
+            yield key, row[self.seq], False, before[0]
         total = (before[0] if before else 0) + row[self.value]
         self.total.update((total,))
-        yield Row(key, row[self.seq], True, total)
+        yield key, row[self.seq], True, total
 
 
 class ViewsAndUsers(KeyedOperator):
@@ -128,7 +135,7 @@ class ViewsAndUsers(KeyedOperator):
             self.users.updateValue(user, (True,))
         pv, uv = pv + 1, uv + int(fresh)
         self.counts.update((pv, uv))
-        yield Row(key, row[self.seq], pv, uv)
+        yield key, row[self.seq], pv, uv
 
 
 class TwoLevelTotals(KeyedOperator):
@@ -149,7 +156,7 @@ class TwoLevelTotals(KeyedOperator):
         inner_total = (part[0] if part else 0) + row[self.value]
         self.total.update((total,))
         self.parts.updateValue(name, (inner_total,))
-        yield Row(key, row[self.seq], name[0], total, inner_total)
+        yield key, row[self.seq], name[0], total, inner_total
 
 
 class LiveList(KeyedOperator):
@@ -166,7 +173,7 @@ class LiveList(KeyedOperator):
     def on_record(self, key, row, timers):
         self.elements.appendValue((row[self.element],))
         for element in self.elements.get():
-            yield Row(key, row[self.seq], element[0])
+            yield key, row[self.seq], element[0]
 
 
 class MinuteBuckets(KeyedOperator):
@@ -185,7 +192,7 @@ class MinuteBuckets(KeyedOperator):
         before = self.buckets.getValue(name)
         total = (before[0] if before else 0) + row[self.value]
         self.buckets.updateValue(name, (total,))
-        yield Row(key, row[self.seq], name[0], total)
+        yield key, row[self.seq], name[0], total
 
 
 class VersionedLookup(KeyedOperator):
@@ -196,14 +203,13 @@ class VersionedLookup(KeyedOperator):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.name = handle.getValueState("name", "name STRING")
 
-    def handleInputRows(self, key, rows, timerValues):
-        for row in sorted(rows, key=lambda r: (r[self.seq], r["kind"])):
-            yield from self.on_record(key[0], row, timerValues)
+    def place(self, row):
+        return row[self.seq], row["kind"]
 
     def on_record(self, key, row, timers):
         if row["kind"] == 1:
             current = self.name.get()
-            yield Row(key, row[self.seq], row["payload"], current[0] if current else None)
+            yield key, row[self.seq], row["payload"], current[0] if current else None
         elif row["op"] == "delete":
             self.name.clear()
         else:
@@ -254,7 +260,7 @@ class FlushAtBoundary(KeyedOperator):
         )
         for seq, value in due:
             self.buffer.removeKey((boundary, seq))
-            yield Row(key[0], seq, value, boundary)
+            yield self.result(key[0], seq, value, boundary)
 
 
 class FlushAtClockBoundary(FlushAtBoundary):
