@@ -68,6 +68,15 @@ def test_hot_keys_are_the_large_ones(skewed):
     assert scan.hot_keys(skewed, ["user_id"]).isEmpty()
 
 
+def test_only_the_largest_keys_are_listed(skewed, monkeypatch):
+    monkeypatch.setattr(scan, "MAX_HOT_KEYS", 2)
+    assert scan.hot_keys(skewed, ["user_id"], 1).count() == 2
+    split = KeyedScan(skewed, ["user_id"], ["event_id"], hot_rows=1, chunk_rows=5)
+    got = split.add(total=scan.running_sum(F.col("cents"))).result()
+    whole = running.running_sum(skewed, ["user_id"], "event_id", "cents")
+    assert rows_of(got, "event_id", "total") == rows_of(whole, "event_id", "total")
+
+
 def test_null_keys_stay_together(spark):
     rows = spark.createDataFrame([(i, None if i % 2 else "a", 1) for i in range(20)], "s int, k string, v int")
     got = running.running_sum(rows, ["k"], "s", "v", hot_rows=5, chunk_rows=3)

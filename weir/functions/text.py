@@ -35,11 +35,6 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def words_of(text: Column, separator: str = " ") -> Column:
-    """All words of a text, line by line."""
-    return F.flatten(F.transform(lines_of(text), lambda line: split_fields(line, separator)))
-
-
 def parse_integer(text: Column, type_name: str = "int") -> Column:
     """Strict whole-number parse: blanks, decimals and overflow give NULL."""
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast(type_name))

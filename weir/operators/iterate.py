@@ -15,7 +15,7 @@ def iterate_until(
     rows: DataFrame,
     step: dict[str, Column],
     again: Column,
-    rounds_per_pass: int = 8,
+    rounds_per_pass: int = 20,
     max_rounds: int = 10_000,
 ) -> DataFrame:
     """Apply ``step`` (new column values) to each record until ``again`` is false.

@@ -59,7 +59,8 @@ def flat_map_words(
 ) -> DataFrame:
     """One row per word of every line; the text column is dropped."""
     kept = [c for c in rows.columns if c != column]
-    return rows.select(*kept, F.explode(tx.words_of(F.col(column), separator)).alias(out))
+    lines = rows.select(*kept, F.explode(tx.lines_of(F.col(column))).alias("_line"))
+    return lines.select(*kept, F.explode(tx.split_fields(F.col("_line"), separator)).alias(out))
 
 
 def word_count(words: DataFrame, word: str = "word", exclude: str | None = None) -> DataFrame:
@@ -68,20 +69,27 @@ def word_count(words: DataFrame, word: str = "word", exclude: str | None = None)
     return kept.groupBy(word).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def not_equal(rows: DataFrame, column: str, value: str) -> DataFrame:
-    return rows.where(F.col(column) != value)
+def not_equal(column: str, value: str) -> Column:
+    return F.col(column) != value
 
 
-def not_prefixed(rows: DataFrame, column: str, prefix: str) -> DataFrame:
-    return rows.where(~F.col(column).startswith(prefix))
+def not_prefixed(column: str, prefix: str) -> Column:
+    return ~F.col(column).startswith(prefix)
 
 
-def positive(rows: DataFrame, column: str) -> DataFrame:
-    return rows.where(F.col(column) > 0)
+def positive(column: str) -> Column:
+    return F.col(column) > 0
 
 
-def not_positive(rows: DataFrame, column: str) -> DataFrame:
-    return rows.where(F.col(column) <= 0)
+def not_positive(column: str) -> Column:
+    return F.col(column) <= 0
+
+
+def filter_each(rows: DataFrame, predicates: dict[str, Column], out: str = "predicate") -> DataFrame:
+    """The outputs of several filters in one frame: each record once per predicate
+    it meets, from a single pass over the input."""
+    names = F.array_compact(F.array(*[F.when(p, name) for name, p in predicates.items()]))
+    return rows.select("*", F.explode(names).alias(out))
 
 
 def validate_fail_fast(

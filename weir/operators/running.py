@@ -119,6 +119,14 @@ def group_sum(rows: DataFrame, keys: list[str], value: str, out: str = "cnt") ->
     return rows.groupBy(*keys).agg(F.sum(value).alias(out))
 
 
+def final_totals(
+    rows: DataFrame, keys: list[str], seq: str, value: str, out: str = "total"
+) -> DataFrame:
+    """What a table holds after upserting every running total: per key the last
+    total and the sequence number it came with. Needs no running totals."""
+    return rows.groupBy(*keys).agg(F.max(seq).alias(seq), F.sum(value).alias(out))
+
+
 def latest_per_key(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The last row of every key: the final content of an upserted table. An
     aggregate, so each map task sends one row per key. ``seq`` must be unique

@@ -11,11 +11,15 @@ plan while keys are small, and hopeless when one key holds a third of the table.
 
 Bounds that hold for any data, with N rows and an integer order column:
 
-* a key is hot when it has more than ``max(hot_rows, N / MAX_HOT_KEYS)`` rows, so
-  there are fewer than ``MAX_HOT_KEYS`` hot keys and their list may be broadcast;
+* hot keys are the ``MAX_HOT_KEYS`` largest with more than ``hot_rows`` rows, so
+  their list may be broadcast;
+* any other key holds at most ``max(hot_rows, N / MAX_HOT_KEYS)`` rows, since that
+  many keys are at least as large;
 * a chunk covers ``chunk_rows`` consecutive order values, so it holds at most that
   many rows of a key (times the rows sharing one order value);
-* a whole key holds at most ``max(hot_rows, N / MAX_HOT_KEYS)`` rows.
+* the prefix over one key's chunks, or over the whole table's when there is no key,
+  sees at most ``N / chunk_rows`` rows when order values are dense: four million
+  for 10^12 rows.
 
 Rows are shuffled once, by (keys, chunk); the window and the join with the chunk
 prefixes use that same partitioning. The cost of the guard is one column-pruned
@@ -27,14 +31,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 10_000
 HOT_ROWS = 1_000_000
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 250_000
 
 CHUNK = "_chunk"
 
@@ -224,9 +227,9 @@ class KeyedScan:
 
 
 def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys too large for one task; always fewer than ``MAX_HOT_KEYS``. NULL is no
-    key to look up, so rows with a NULL key are never split."""
-    keyed = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg((F.sum("_n") / F.lit(MAX_HOT_KEYS)).alias("_share")).scalar()
-    return counts.where((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(*keys)
+    """Keys too large for one task: the ``MAX_HOT_KEYS`` largest among those with
+    more than ``hot_rows`` rows. NULL is no key to look up, so rows with a NULL key
+    are never split."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.where(F.col("_n") > hot_rows)
+    return large.orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS).select(*keys)

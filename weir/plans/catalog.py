@@ -93,20 +93,20 @@ def word_count_filtered(spark, sf_dir):
 @query
 def filter_predicates(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "event_type", "k")
-    tests = {
-        "not_error": records.not_equal(rows, "event_type", "error"),
-        "not_prefixed": records.not_prefixed(rows, "event_type", "err"),
-        "positive": records.positive(rows, "k"),
-        "not_positive": records.not_positive(rows, "k"),
-    }
-    return records.union_all(
-        *[kept.withColumn("predicate", F.lit(name)) for name, kept in tests.items()]
+    return records.filter_each(
+        rows,
+        {
+            "not_error": records.not_equal("event_type", "error"),
+            "not_prefixed": records.not_prefixed("event_type", "err"),
+            "positive": records.positive("k"),
+            "not_positive": records.not_positive("k"),
+        },
     )
 
 
 @query
 def validate_fail_fast(spark, sf_dir):
-    clean = records.not_equal(events(spark, sf_dir), "event_type", "error")
+    clean = events(spark, sf_dir).where(records.not_equal("event_type", "error"))
     return records.validate_fail_fast(clean.select("event_id", "event_type"), "event_type")
 
 
@@ -148,7 +148,7 @@ def union_filter_fail_fast(spark, sf_dir):
     clicks = events_of(spark, sf_dir, "click").select("event_id", "event_type")
     topic = events(spark, sf_dir).select("event_id", "event_type")
     merged = records.union_all(records.validate_fail_fast(clicks, "event_type"), topic)
-    kept = records.not_prefixed(merged, "event_type", "error")
+    kept = merged.where(records.not_prefixed("event_type", "error"))
     return kept.select("event_id", F.encode("event_type", "UTF-8").cast("string").alias("value"))
 
 
@@ -320,8 +320,7 @@ def retract_changelog(spark, sf_dir):
 @query
 def upsert_latest(spark, sf_dir):
     rows = _amounts(spark, sf_dir).drop("event_type")
-    totals = running.running_sum(rows, ["user_id"], "event_id", "cents").drop("cents")
-    return running.latest_per_key(totals, ["user_id"], "event_id")
+    return running.final_totals(rows, ["user_id"], "event_id", "cents")
 
 
 # Windows
@@ -487,7 +486,7 @@ def timer_flush_event(spark, sf_dir):
 @query
 def iterate_feedback(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", F.col("k").cast("bigint").alias("v"))
-    return iterate.iterate_until(rows, {"v": F.col("v") - 3}, F.col("v") > 0, rounds_per_pass=12)
+    return iterate.iterate_until(rows, {"v": F.col("v") - 3}, F.col("v") > 0)
 
 
 def _placed(spark, sf_dir):
