@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from weir.operators.records import union_all
 from weir.session import ensure_checkpoint_dir
 
-_LOOPS = "_loops"
-
 
 def iterate_until(
     rows: DataFrame,
@@ -22,29 +20,24 @@ def iterate_until(
 
     Every record takes at least one step, and leaves with the values of the step
     after which ``again`` was false (or NULL). One pass runs ``rounds_per_pass``
-    steps as a projection over the records still looping, then checkpoints, so the
+    steps as projections over the records still looping, then checkpoints, so the
     plan stays short and lost executors cost one pass. The driver sees only whether
     records remain. Reaching ``max_rounds`` fails; no record is dropped.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    columns = rows.columns
+    loops = F.coalesce(again, F.lit(False))
+    next_round = {n: F.when(loops, v).otherwise(F.col(n)) for n, v in step.items()}
     left: list[DataFrame] = []
     looping, rounds = rows, 0
     while rounds < max_rounds:
         count = min(rounds_per_pass, max_rounds - rounds)
-        current = looping.withColumn(_LOOPS, F.lit(True))
-        for _ in range(count):
-            stepped = {
-                name: F.when(F.col(_LOOPS), value).otherwise(F.col(name))
-                for name, value in step.items()
-            }
-            current = current.withColumns(stepped).withColumn(
-                _LOOPS, F.col(_LOOPS) & F.coalesce(again, F.lit(False))
-            )
+        current = looping.withColumns(step)
+        for _ in range(count - 1):
+            current = current.withColumns(next_round)
         rounds += count
         current = current.checkpoint()
-        left.append(current.where(~F.col(_LOOPS)).select(*columns))
-        looping = current.where(F.col(_LOOPS)).select(*columns)
+        left.append(current.where(~loops))
+        looping = current.where(loops)
         if looping.isEmpty():
             return union_all(*left)
     raise RuntimeError(f"records still looping after {max_rounds} rounds")
