@@ -1,0 +1,211 @@
+"""Hand-computed cases, one per rule."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from weir.operators import joins, keyed_state, lateness, running, windows
+
+
+def timed(spark, *values, schema="seq INT, k STRING, ts BIGINT, v BIGINT"):
+    return spark.createDataFrame([(i, *v) for i, v in enumerate(values)], schema)
+
+
+def keyed(spark, *values):
+    return spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "seq INT, k STRING, v BIGINT")
+
+
+def test_concatenated_keys_collide(spark):
+    rows = spark.createDataFrame(
+        [(0, "a", "bc", 1), (1, "ab", "c", 2), (2, "x", "y", 5)], "seq INT, a STRING, b STRING, v BIGINT"
+    )
+    got = running.running_sum_concat_key(rows, ["a", "b"], "seq", "v")
+    assert rows_of(got, "seq", "a", "b", "total") == [
+        (0, "a", "bc", 1), (1, "a", "bc", 3), (2, "x", "y", 5)
+    ]
+
+
+def test_running_distinct_users(spark):
+    rows = spark.createDataFrame(
+        [(0, "a1", "u1"), (1, "a1", "u1"), (2, "a1", "u2"), (3, "a2", "u1")], "seq INT, ad STRING, user STRING"
+    )
+    got = running.running_views_and_users(rows, ["ad"], "user", "seq")
+    assert rows_of(got, "seq", "pv", "uv") == [(0, 1, 1), (1, 2, 1), (2, 3, 2), (3, 1, 1)]
+    total = running.total_views_and_users(rows, ["ad"], "user")
+    assert rows_of(total, "ad", "pv", "uv") == [("a1", 3, 2), ("a2", 1, 1)]
+
+
+def test_two_level_totals(spark):
+    rows = spark.createDataFrame(
+        [(0, "p", "c1", 10), (1, "p", "c2", 5), (2, "p", "c1", 1), (3, "q", "c1", 7)],
+        "seq INT, p STRING, c STRING, v BIGINT",
+    )
+    got = running.running_two_level(rows, "p", "c", "seq", "v")
+    assert rows_of(got, "seq", "outer_total", "inner_total") == [
+        (0, 10, 10), (1, 15, 5), (2, 16, 11), (3, 7, 7)
+    ]
+
+
+def test_retract_log(spark):
+    got = running.retract_changelog(keyed(spark, ("a", 1), ("a", 2)), ["k"], "seq", "v")
+    assert rows_of(got, "seq", "is_add", "total") == [(0, True, 1), (1, False, 1), (1, True, 3)]
+
+
+def test_latest_per_key(spark):
+    rows = spark.createDataFrame(
+        [(0, "a", 1, None), (1, "b", 2, "x"), (2, "a", 3, "y")], "seq INT, k STRING, v BIGINT, s STRING"
+    )
+    assert rows_of(running.latest_per_key(rows, ["k"], "seq")) == [("a", 2, 3, "y"), ("b", 1, 2, "x")]
+    assert rows_of(running.final_totals(rows, ["k"], "seq", "v")) == [("a", 2, 4), ("b", 1, 2)]
+
+
+def test_tumbling_edge(spark):
+    rows = timed(spark, ("a", 9_999, 1), ("a", 10_000, 2))
+    got = windows.tumble_sum(rows, ["k"], "ts", "v", "10 seconds")
+    assert rows_of(got) == [(0, 10_000, "a", 1), (10_000, 20_000, "a", 2)]
+
+
+def test_windows_before_the_epoch(spark):
+    got = windows.tumble_sum(timed(spark, ("a", -1, 1)), ["k"], "ts", "v", "10 seconds")
+    assert rows_of(got) == [(-10_000, 0, "a", 1)]
+
+
+def test_session_edge(spark):
+    rows = timed(spark, ("a", 0, 1), ("a", 5_000, 2), ("a", 10_001, 4))
+    got = windows.session_sum(rows, ["k"], "ts", "v", "5 seconds")
+    assert rows_of(got) == [("a", 0, 10_000, 3), ("a", 10_001, 15_001, 4)]
+
+
+def test_hop_takes_size_then_slide(spark):
+    rows = timed(spark, ("a", 20_500, 1))
+    got = windows.slide_sum(rows, ["k"], "ts", "v", "10 seconds", "2 seconds")
+    starts = [12_000, 14_000, 16_000, 18_000, 20_000]
+    assert rows_of(got, "window_start", "total") == [(s, 1) for s in starts]
+    orders = rows.withColumn("etime", F.timestamp_millis("ts"))
+    text = (
+        "SELECT unix_millis(window.start) AS s, k, sum(v) AS total FROM {orders} "
+        f"GROUP BY {windows.hop_columns('10 seconds', '2 seconds')}, k"
+    )
+    got = windows.sql_windows(spark, text, orders=orders)
+    assert rows_of(got, "s", "total") == [(s, 1) for s in starts]
+
+
+def test_slides_wider_than_the_window_leave_gaps(spark):
+    rows = timed(spark, ("a", 1_000, 1), ("a", 5_000, 2), ("a", 10_000, 4))
+    got = windows.slide_sum(rows, ["k"], "ts", "v", "4 seconds", "10 seconds")
+    assert rows_of(got) == [(0, 4_000, "a", 1), (10_000, 14_000, "a", 4)]
+
+
+def test_count_window_tail(spark):
+    rows = timed(spark, *[("a", 0, v) for v in range(1, 8)])
+    assert rows_of(windows.count_window_sum(rows, "seq", "v", 5)) == [(0, 15)]
+    assert rows_of(windows.count_window_sum(rows, "seq", "v", 5, chunk_rows=2)) == [(0, 15)]
+    assert rows_of(windows.count_window_sum(rows, "seq", "v", 8)) == []
+
+
+def test_top_three_ties(spark):
+    rows = timed(spark, *[("a", 0, 5)] * 4, ("a", 0, 9))
+    got = windows.window_top_n(rows, ["k"], "ts", "v", "seq", "10 seconds", 3)
+    assert rows_of(got, "rank", "seq", "v") == [(1, 4, 9), (2, 0, 5), (3, 1, 5)]
+
+
+def test_cumulative(spark):
+    rows = timed(spark, ("a", 1, 2), ("a", 10_001, 1), ("a", 10_002, 2), ("b", 10_003, 7))
+    got = windows.window_cumulative(rows, ["k"], "ts", "v", "10 seconds")
+    assert rows_of(got, "k", "window_start", "total") == [("a", 0, 2), ("a", 10_000, 5), ("b", 10_000, 7)]
+
+
+def test_window_joins(spark):
+    left = spark.createDataFrame(
+        [(1_000, "c1", 20), (2_000, "c2", 30), (11_000, "c3", 5)], "lt BIGINT, k STRING, money INT"
+    )
+    right = spark.createDataFrame(
+        [(3_000, "c1", "books"), (4_000, "c1", "toys"), (5_000, "c9", "none"), (9_000, "c3", "pens")],
+        "rt BIGINT, k STRING, name STRING",
+    )
+
+    def join(how):
+        joined = joins.window_join(left, right, ["k"], "10 seconds", "lt", "rt", how)
+        return rows_of(joined, "k", "money", "rt", "name")
+
+    pairs = [("c1", 20, 3_000, "books"), ("c1", 20, 4_000, "toys")]
+    assert join("inner") == pairs
+    assert join("left") == [*pairs, ("c2", 30, None, None), ("c3", 5, None, None)]
+
+
+def test_versioned_lookup(spark):
+    facts = spark.createDataFrame(
+        [(0, "c1", 7), (2, "c1", 8), (4, "c1", 9), (4, "c2", 1), (6, "c1", 3)], "seq INT, k STRING, n INT"
+    )
+    changes = spark.createDataFrame(
+        [(1, "c1", "books", "insert"), (3, "c1", "books", "delete"), (4, "c2", "toys", "insert"),
+         (5, "c1", "pens", "update")],
+        "seq INT, k STRING, name STRING, op STRING",
+    )
+    got = joins.versioned_lookup(facts, changes, "k", "seq")
+    assert rows_of(got, "seq", "k", "name") == sorted(
+        [(0, "c1", None), (2, "c1", "books"), (4, "c1", None), (4, "c2", "toys"), (6, "c1", "pens")],
+        key=repr,
+    )
+
+
+def late_flags(spark, *times, delay=0):
+    rows = timed(spark, *[("a", t, 1) for t in times])
+    flagged = lateness.flag_late(rows, ["seq"], "ts", "10 seconds", delay)
+    return [r.late for r in flagged.orderBy("seq").collect()]
+
+
+def test_lateness(spark):
+    assert late_flags(spark, 1_000, 12_000, 2_000) == [False, False, True]
+    assert late_flags(spark, 1_000, 9_999, 2_000) == [False, False, False]
+    assert late_flags(spark, 1_000, 10_000, 2_000) == [False, False, True]
+    assert late_flags(spark, 1_000, 11_999, 2_000, delay="2 seconds") == [False, False, False]
+    assert late_flags(spark, 1_000, 12_000, 2_000, delay="2 seconds") == [False, False, True]
+    rows = timed(spark, ("a", 1_000, 1), ("a", 12_000, 10), ("a", 2_000, 100))
+    flagged = lateness.flag_late(rows, ["seq"], "ts", "10 seconds")
+    sums = lateness.normal_window_sum(flagged, ["k"], "ts", "v")
+    assert rows_of(sums, "window_start", "first_ts", "total") == [(0, 1_000, 1), (10_000, 12_000, 10)]
+    assert rows_of(lateness.late_rows(flagged), "ts", "v") == [(2_000, 100)]
+
+
+def test_expiry_edge(spark):
+    rows = timed(spark, ("a", 0, 1), ("a", 19_999, 1), ("a", 39_999, 1), ("b", 39_999, 4))
+    got = keyed_state.value_total_ttl(rows, ["k"], "ts", "seq", "v", "20 seconds")
+    assert rows_of(got, "seq", "total") == [(0, 1), (1, 2), (2, 1), (3, 4)]
+
+
+def test_live_lists(spark):
+    rows = timed(
+        spark, ("a", 0, 1), ("a", 9_999, 2), ("a", 10_000, 3), ("a", 10_000, 4), ("b", 10_000, 5)
+    )
+    got = keyed_state.list_ttl(rows, ["k"], "ts", "seq", "v", "10 seconds")
+    assert rows_of(got, "seq", "v") == [
+        (0, 1), (1, 1), (1, 2), (2, 2), (2, 3), (3, 2), (3, 3), (3, 4), (4, 5)
+    ]
+
+
+def test_timer_boundaries(spark):
+    rows = timed(spark, ("a", 0, 1), ("a", 9_999, 1), ("a", 10_000, 1))
+    got = keyed_state.flush_at_boundary(rows, "ts", "10 seconds")
+    assert [r.flush_ms for r in got.orderBy("seq").collect()] == [10_000, 10_000, 20_000]
+    rows = timed(spark, ("a", 12_000, 1), ("a", 3_000, 1), ("b", 25_000, 1), ("a", 4_000, 1))
+    got = keyed_state.flush_at_watermark_boundary(rows, ["seq"], "ts", "10 seconds")
+    assert [r.flush_ms for r in got.orderBy("seq").collect()] == [20_000, 20_000, 30_000, 30_000]
+
+
+def test_minute_buckets(spark):
+    rows = timed(spark, ("a", 59_999, 1), ("a", 60_000, 2), ("a", 119_000, 3))
+    got = keyed_state.minute_bucket_total(rows, ["k"], "ts", "seq", "v")
+    assert rows_of(got, "seq", "minute", "total") == [
+        (0, "19700101-0000", 1), (1, "19700101-0001", 2), (2, "19700101-0001", 5)
+    ]
+
+
+def test_empty_input(spark):
+    rows = spark.createDataFrame([], "seq INT, k STRING, ts BIGINT, v BIGINT")
+    assert running.running_sum(rows, ["k"], "seq", "v").isEmpty()
+    assert windows.count_window_sum(rows, "seq", "v").isEmpty()
+    assert windows.session_sum(rows, ["k"], "ts", "v", "1 second").isEmpty()
+    assert lateness.flag_late(rows, ["seq"], "ts", "1 second").isEmpty()
+    assert keyed_state.value_total_ttl(rows, ["k"], "ts", "seq", "v", 5).isEmpty()
