@@ -9,7 +9,7 @@ from conftest import SMALL_DIR, rows_of
 from streams import finish, run_to_end, stream_of, write_batch
 from weir.operators import joins, lateness, windows
 from weir.plans.tables import events, shuffled_arrival
-from weir.streaming import carried
+from weir.streaming import carried, feedback
 from weir.streaming import joins as stream_joins
 from weir.streaming import windows as stream_windows
 
@@ -191,3 +191,48 @@ def test_top_n(spark, rows, source, tmp_path):
     )
     columns = ["window_start", "event_type", "ts_ms", "cents", "rank"]
     assert rows_of(writer.closed(spark), *columns) == rows_of(expected, *columns)
+
+
+def test_sql_windows_on_a_stream(spark, rows, source, tmp_path):
+    text = (
+        "SELECT unix_millis(window.start) AS window_start, event_type, sum(cents) AS total "
+        f"FROM {{orders}} GROUP BY {windows.hop_columns('10 hours', '2 hours')}, event_type"
+    )
+    got = run_to_end(windows.sql_windows(spark, text, orders=timed(spark, source)), tmp_path)
+    expected = windows.slide_sum(rows, ["event_type"], "ts_ms", "cents", "10 hours", "2 hours")
+    columns = ["window_start", "event_type", "total"]
+    assert rows_of(closed(got), *columns) == rows_of(expected, *columns)
+
+
+def test_grouped_sums_in_update_mode(spark, rows, source, tmp_path):
+    stream = stream_of(spark, source, SCHEMA).where("event_type <> 'end'")
+    totals = windows.sql_windows(
+        spark, "SELECT event_type, sum(cents) AS total FROM {t} GROUP BY event_type", t=stream
+    )
+    got = run_to_end(totals, tmp_path, "update").groupBy("event_type").agg(F.max("total"))
+    assert rows_of(got) == rows_of(rows.groupBy("event_type").agg(F.sum("cents")))
+
+
+def test_feedback_on_a_stream(spark, tmp_path):
+    for batch in ([10, 3], [0, -1]):
+        write_batch(tmp_path / "in", [{"v": v} for v in batch])
+    writer = feedback.IterateEach(
+        str(tmp_path / "out"), {"v": F.col("v") - 3}, F.col("v") > 0, rounds_per_pass=3
+    )
+    run_carried(spark, tmp_path / "in", "v BIGINT", writer, tmp_path / "cp")
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(got, "v") == [(-2,), (-3,), (-4,), (0,)]
+
+
+def test_empty_micro_batches(spark, tmp_path):
+    schema = "ts BIGINT, k STRING, v BIGINT, seq BIGINT"
+    writer = carried.late_splitting_sum(
+        str(tmp_path / "state"), ["k"], ["seq"], "ts", "v", "10 seconds"
+    )
+    empty = spark.createDataFrame([], schema)
+    batches = [empty, spark.createDataFrame([(1_000, "a", 1, 0)], schema), empty,
+               spark.createDataFrame([(2_000, "a", 2, 1), (10_000, "a", 4, 2)], schema)]
+    for batch_id, batch in enumerate(batches):
+        writer(batch, batch_id)
+    assert rows_of(writer.closed(spark), "window_start", "total") == [(0, 3)]
+    assert writer.late(spark).isEmpty()
