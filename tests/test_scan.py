@@ -160,3 +160,23 @@ def test_sliding_windows_equal_builtin(skewed, size, slide):
     assert rows_of(got, "window_start", "event_type", "total") == rows_of(
         builtin.select(F.unix_millis("w.start"), "event_type", "total")
     )
+
+
+@pytest.mark.parametrize("sizes", SIZES, ids=str)
+def test_fold_with_any_function(skewed, sizes):
+    texts = skewed.select("event_id", "user_id", F.col("cents").cast("string").alias("t"))
+    if sizes.get("chunk_rows") == 1:
+        sizes = {**sizes, "chunk_rows": 4}
+    got = running.running_fold(texts, ["user_id"], "event_id", "t", max, **sizes)
+    window = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(*UP_TO_NOW)
+    expected = texts.select("event_id", F.max("t").over(window))
+    assert rows_of(got, "event_id", "folded") == rows_of(expected)
+    ends = running.running_fold(
+        texts.withColumn("t", F.substring("t", -1, 1)), ["user_id"], "event_id", "t",
+        lambda a, b: a + b, **sizes,
+    )
+    kept = {}
+    for row in texts.orderBy("event_id").collect():
+        kept[row.user_id] = kept.get(row.user_id, "") + row.t[-1]
+    longest = ends.groupBy("user_id").agg(F.max_by("folded", "event_id").alias("f")).collect()
+    assert {r.user_id: r.f for r in longest} == kept

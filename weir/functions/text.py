@@ -22,7 +22,7 @@ def split_fields(text: Column, separator: str) -> Column:
     """
     if len(separator) != 1:
         raise ValueError("separator must be one character")
-    body = F.rtrim(text, F.lit(separator))
+    body = F.rtrim(text) if separator == " " else F.rtrim(text, F.lit(separator))
     return (
         F.when(text == "", F.array(F.lit("")))
         .when(body == "", F.array().cast("array<string>"))

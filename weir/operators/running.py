@@ -6,8 +6,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weir.operators import scan
 from weir.operators.scan import KeyedScan
@@ -36,13 +41,86 @@ def running_reduce(
     out: str = "reduced",
     **sizes,
 ) -> DataFrame:
-    """Running fold with a built-in associative reducer. For an arbitrary Python
-    function use ``weir.streaming.stateful.ReduceByKey``, which also runs in batch."""
+    """Running fold with a built-in reducer; ``running_fold`` takes any function."""
     return KeyedScan(rows, keys, [seq], **sizes).add(
         **{out: REDUCERS[reducer](F.col(value))}
     ).result()
 
 
+def running_fold(
+    rows: DataFrame,
+    keys: list[str],
+    seq: str,
+    value: str,
+    fn: Callable[[Any, Any], Any],
+    out: str = "folded",
+    **sizes,
+) -> DataFrame:
+    """Running fold per key with any associative Python function of two values.
+
+    Chunks of hot keys are folded on their own first; the folds of a key's earlier
+    chunks then start each chunk. Python sees the sorted rows of a partition as a
+    stream of Arrow batches and holds one value between rows.
+    """
+    prepared = KeyedScan(rows, keys, [seq], **sizes)
+    chunked, chunk = prepared.frame, scan.CHUNK
+    parts = (
+        _fold_sorted(chunked.where(F.col(chunk).isNotNull()), [*keys, chunk], seq, value, fn)
+        .groupBy(*keys, chunk)
+        .agg(F.max_by(_FOLDED, seq).alias("_part"))
+    )
+    in_key = Window.partitionBy(*keys).orderBy(chunk)
+    carries = _fold_sorted(parts, keys, chunk, "_part", fn).select(
+        *keys, chunk, F.lag(_FOLDED).over(in_key).alias(_CARRY)
+    )
+    folded = _fold_sorted(chunked, [*keys, chunk], seq, value, fn, carries)
+    return folded.select(*rows.columns, F.col(_FOLDED).alias(out))
+
+
+_FOLDED, _CARRY, _STARTS = "_folded", "_carry", "_starts"
+
+
+def _fold_sorted(
+    rows: DataFrame,
+    group: list[str],
+    order: str,
+    value: str,
+    fn: Callable[[Any, Any], Any],
+    carries: DataFrame | None = None,
+) -> DataFrame:
+    """Append the running fold within each group, started from the group's carry."""
+    in_group = Window.partitionBy(*group).orderBy(order)
+    marked = rows.withColumn(_STARTS, F.row_number().over(in_group) == 1)
+    if carries is None:
+        marked = marked.withColumn(_CARRY, F.lit(None).cast(rows.schema[value].dataType))
+    else:
+        marked = marked.join(carries, group, "left")
+    marked = marked.select(*rows.columns, _STARTS, _CARRY)
+    kept = rows.columns
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = None
+        for batch in batches:
+            starts = batch.column(_STARTS).to_pylist()
+            begins = batch.column(_CARRY).to_pylist()
+            results = []
+            for start, begin, item in zip(starts, begins, batch.column(value).to_pylist()):
+                if start:
+                    current = item if begin is None else fn(begin, item)
+                else:
+                    current = fn(current, item)
+                results.append(current)
+            folded = pa.array(results, batch.column(value).type)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in kept], folded], names=[*kept, _FOLDED]
+            )
+
+    schema = T.StructType(
+        [*rows.schema.fields, T.StructField(_FOLDED, rows.schema[value].dataType)]
+    )
+    return marked.sortWithinPartitions(*group, order).mapInArrow(fold, schema)
+
+
 def running_sum_concat_key(
     rows: DataFrame, fields: list[str], seq: str, value: str, out: str = "total", **sizes
 ) -> DataFrame:
