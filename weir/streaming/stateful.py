@@ -1,10 +1,10 @@
 """Keyed operators with state, expiry and timers on ``transformWithState``.
 
-They give one result per record, also in batch. Records reach a processor in
-shuffle order, so each names a sequence column and works through the records of
-a micro-batch in that order; the source's rate limit bounds what one key brings.
-The batch forms in ``weir.operators`` split hot keys and are the choice for
-backlogs. State lives in the RocksDB store (``weir.session.configure_streaming``).
+They give one result per record, also in batch, in the order of a sequence column.
+On a stream, a processor sorts the records a key brings in one micro-batch, whose
+number the source's rate limit bounds. In batch, Spark sorts them and the processor
+streams over them; the batch forms in ``weir.operators`` also split hot keys and
+are the choice for backlogs. State lives in the RocksDB store (``weir.session.configure_streaming``).
 
 Expiry follows the processing clock and is renewed by writing.
 """
@@ -24,6 +24,7 @@ class KeyedOperator(StatefulProcessor):
     """Base: one key column, records handled one by one in sequence order."""
 
     time_mode = "none"
+    presorted = False
 
     def __init__(self, key: str, seq: str, ttl: str | int | None = None):
         self.key = key
@@ -35,6 +36,11 @@ class KeyedOperator(StatefulProcessor):
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         self.result = Row(*schema.fieldNames())
+        self.presorted = not rows.isStreaming
+        if self.presorted:
+            tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows = rows.repartition(tasks, self.key)
+            rows = rows.sortWithinPartitions(self.key, *self.order_columns())
         time_mode = self.time_mode
         if self.ttl_ms is not None and time_mode == "none":
             time_mode = "processingTime"
@@ -46,12 +52,27 @@ class KeyedOperator(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in sorted(rows, key=self.place):
+        for row in self.in_order(rows):
             for values in self.on_record(key[0], row, timerValues):
                 yield self.result(*values)
 
-    def place(self, row: Row):
-        return row[self.seq]
+    def in_order(self, rows: Iterator[Row]) -> Iterator[Row]:
+        def place(row: Row) -> tuple:
+            return tuple(row[c] for c in self.order_columns())
+
+        if not self.presorted:
+            yield from sorted(rows, key=place)
+            return
+        last = None
+        for row in rows:
+            here = place(row)
+            if last is not None and here < last:
+                raise RuntimeError("rows of a key are out of order")
+            last = here
+            yield row
+
+    def order_columns(self) -> list[str]:
+        return [self.seq]
 
     def on_record(self, key, row: Row, timers) -> Iterator[tuple]:
         raise NotImplementedError
@@ -203,8 +224,8 @@ class VersionedLookup(KeyedOperator):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.name = handle.getValueState("name", "name STRING")
 
-    def place(self, row):
-        return row[self.seq], row["kind"]
+    def order_columns(self):
+        return [self.seq, "kind"]
 
     def on_record(self, key, row, timers):
         if row["kind"] == 1:
@@ -223,7 +244,7 @@ def lookup_input(
         key, seq, f"{payload} AS payload", "1 AS kind", "CAST(NULL AS STRING) AS name",
         "CAST(NULL AS STRING) AS op",
     ).unionByName(
-        changes.selectExpr(key, seq, f"CAST(NULL AS BIGINT) AS payload", "0 AS kind", "name", "op")
+        changes.selectExpr(key, seq, "CAST(NULL AS BIGINT) AS payload", "0 AS kind", "name", "op")
     )
 
 
