@@ -167,3 +167,41 @@ def test_durations():
     assert times.duration_ms(5) == 5
     with pytest.raises(ValueError):
         times.duration_ms("soon")
+
+
+def test_random_texts_against_plain_python(spark):
+    """Splitting, word lists and number parsing on many random short texts."""
+    import random
+    import re
+
+    random.seed(7)
+    texts = ["".join(random.choices("ab1+-. ,\n", k=random.randrange(9))) for _ in range(2000)]
+
+    def split(value, separator):
+        if value == "":
+            return [""]
+        body = value.rstrip(separator)
+        return body.split(separator) if body else []
+
+    def integer(value):
+        fits = re.fullmatch(r"[+-]?[0-9]+", value)
+        return int(value) if fits and -(2**31) <= int(value) < 2**31 else None
+
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "id INT, value STRING")
+    got = rows.select(
+        "id",
+        tx.split_fields(F.col("value"), ",").alias("fields"),
+        tx.split_fields(F.col("value"), " ").alias("words"),
+        tx.parse_integer(F.col("value")).alias("number"),
+    ).orderBy("id").collect()
+    for row, value in zip(got, texts):
+        assert row.fields == split(value, ","), value
+        assert row.words == split(value, " "), value
+        assert row.number == integer(value), value
+    counted = records.word_count(records.flat_map_words(rows.select("value")))
+    expected = {}
+    for value in texts:
+        for line in value.split("\n"):
+            for word in split(line, " "):
+                expected[word] = expected.get(word, 0) + 1
+    assert {r.word: r.cnt for r in counted.collect()} == expected

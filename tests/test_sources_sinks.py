@@ -9,6 +9,7 @@ import uuid
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows_of
 from streams import finish, run_to_end, stream_of, wait_until, write_batch
@@ -315,3 +316,41 @@ def test_stateful_totals_survive_restart(spark, tmp_path):
     batch = running_sum(spark.createDataFrame(rows, schema), ["k"], "seq", "v")
     expected = batch.where("seq >= 8").select("k", "total")
     assert rows_of(log.read(spark), "k", "total") == rows_of(expected)
+
+
+def test_union_chain_fails_and_resumes(spark, tmp_path):
+    """A topic merged with a fault-injecting stream, filtered, written exactly once."""
+    topic, faults, out = tmp_path / "topic", tmp_path / "faults", str(tmp_path / "out")
+    write_lines(topic, ["spark hadoop"], ["error from the topic", "flink"], ["flink"])
+    write_lines(faults, ["fine"], ["error injected"])
+
+    def start():
+        checked = records.validate_fail_fast(text.stream_lines(spark, str(faults), 1))
+        merged = records.union_all(checked, text.stream_lines(spark, str(topic), 1))
+        kept = kafka_sink.as_records(merged.where(records.not_prefixed("value", "error")))
+        writer = kept.writeStream.format("parquet").option("path", out)
+        return recovery.checkpointed(writer, str(tmp_path / "cp")).start()
+
+    with pytest.raises(StreamingQueryException):
+        finish(start())
+    bad = faults / "00001.txt"
+    stamp = os.stat(bad).st_mtime
+    bad.write_text("mended\n")
+    os.utime(bad, (stamp, stamp))
+    finish(start())
+    got = spark.read.parquet(out).select(F.decode("value", "UTF-8").alias("v"))
+    assert rows_of(got) == [("fine",), ("flink",), ("flink",), ("mended",), ("spark hadoop",)]
+
+
+def test_record_operators_on_a_stream(spark, tmp_path):
+    write_lines(tmp_path / "in", ["spark,3", "flink,4"], ["spark,5"])
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType())])
+    stream = text.stream_lines(spark, str(tmp_path / "in"), 1)
+    parsed = records.parse_delimited(stream, schema)
+    shouted = records.map_upper(parsed, "key").where(records.positive("n"))
+    both = records.co_map(
+        shouted, parsed, {"key": F.col("key"), "n": F.col("n")}, {"key": F.col("key"), "n": -F.col("n")}
+    )
+    assert rows_of(run_to_end(both, tmp_path / "cp")) == sorted(
+        [("SPARK", 3), ("FLINK", 4), ("SPARK", 5), ("spark", -3), ("flink", -4), ("spark", -5)], key=repr
+    )

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 # Characters with a meaning in patterns, and accepted spellings of a number.
 PATTERN_CHARS = ".$|()[]{}^?*+\\"
-INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+INTEGER_PATTERN = r"^[+-]?[0-9]+\z"
 DOUBLE_PATTERN = (
-    r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
+    r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)\z"
 )
 
 

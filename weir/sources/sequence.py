@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from hashlib import blake2b
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,10 +97,9 @@ class _TickerReader(DataSourceStreamReader):
         return [_Ticks(i, start["tick"], end["tick"]) for i in range(self.parallelism)]
 
     def read(self, partition: _Ticks) -> Iterator[tuple]:
-        from xxhash import xxh64_intdigest
-
         for tick in range(partition.start, partition.end):
-            number = xxh64_intdigest(f"{partition.instance}:{tick}", seed=self.seed) % 100
+            name = f"{self.seed}:{partition.instance}:{tick}".encode()
+            number = int.from_bytes(blake2b(name, digest_size=8).digest()) % 100
             yield (f"{partition.instance} --> {number}",)
 
 
