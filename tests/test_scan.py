@@ -180,3 +180,26 @@ def test_fold_with_any_function(skewed, sizes):
         kept[row.user_id] = kept.get(row.user_id, "") + row.t[-1]
     longest = ends.groupBy("user_id").agg(F.max_by("folded", "event_id").alias("f")).collect()
     assert {r.user_id: r.f for r in longest} == kept
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("pairs_per_task", [1, 6, 100, 10**9])
+def test_heavy_join_groups_are_divided(skewed, how, pairs_per_task):
+    left = skewed.where("event_type = 'purchase'").select(
+        F.col("event_id").alias("l"), "user_id", F.col("ts_ms").alias("lt")
+    )
+    right = skewed.where("event_type in ('click', 'view')").select(
+        F.col("event_id").alias("r"), "user_id", F.col("ts_ms").alias("rt")
+    )
+    plain = joins.window_join(left, right, ["user_id"], "1 day", "lt", "rt", how)
+    divided = joins.window_join(
+        left, right, ["user_id"], "1 day", "lt", "rt", how, "l", "r", pairs_per_task
+    )
+    assert divided.columns == plain.columns
+    assert plain.count() > left.count()
+    assert rows_of(divided) == rows_of(plain)
+
+
+def test_only_the_heaviest_join_groups_are_divided(skewed, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_HEAVY_GROUPS", 3)
+    test_heavy_join_groups_are_divided(skewed, "left", 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.operators import scan
@@ -11,6 +11,8 @@ from weir.operators.windows import END, START, with_tumbling_window
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
+PAIRS_PER_TASK = 50_000_000
+MAX_HEAVY_GROUPS = 10_000
 
 
 def window_join(
@@ -21,19 +23,66 @@ def window_join(
     left_ts: str,
     right_ts: str,
     how: str = "inner",
+    left_id: str | None = None,
+    right_id: str | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Pair records of equal key and equal tumbling window. ``how`` is ``inner``
     or ``left``; unmatched left records get NULLs, unmatched right ones vanish.
 
     The window is part of the join key, so a hot key spreads over its windows, and
-    adaptive execution splits a (key, window) that is still too large.
+    adaptive execution splits partitions that are large in bytes. A (key, window)
+    may also be small in bytes and huge in pairs. With unique columns ``left_id``
+    and ``right_id`` given, groups of more than ``pairs_per_task`` pairs are found by
+    counting; in those, the larger side is divided over several tasks and the
+    smaller one copied to each, so every pair still meets once.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     on = [START, END, *keys]
-    return with_tumbling_window(left, left_ts, size).join(
-        with_tumbling_window(right, right_ts, size), on, how
+    left = with_tumbling_window(left, left_ts, size)
+    right = with_tumbling_window(right, right_ts, size)
+    if left_id is None or right_id is None:
+        return left.join(right, on, how)
+    heavy = F.broadcast(_heavy_groups(left, right, on, pairs_per_task))
+    marked_left, marked_right = left.join(heavy, on, "left"), right.join(heavy, on, "left")
+    light = F.col("_splits").isNull()
+    pairs = marked_left.where(light).select(left.columns).join(
+        marked_right.where(light).select(right.columns), on, how
     )
+    divided = F.col("_divide_left")
+    heavy_pairs = _in_cells(marked_left.where(~light), left.columns, left_id, divided).join(
+        _in_cells(marked_right.where(~light), right.columns, right_id, ~divided), [*on, "_cell"]
+    )
+    return pairs.unionByName(heavy_pairs.drop("_cell"))
+
+
+def _heavy_groups(
+    left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: int
+) -> DataFrame:
+    """The groups with the most pairs, at most ``MAX_HEAVY_GROUPS``."""
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_left")).join(
+        right.groupBy(*on).agg(F.count(F.lit(1)).alias("_right")), on
+    )
+    pairs = F.col("_left").cast("double") * F.col("_right")
+    largest = (
+        counts.withColumn("_pairs", pairs)
+        .where(F.col("_pairs") > pairs_per_task)
+        .orderBy(F.desc("_pairs"), *on)
+        .limit(MAX_HEAVY_GROUPS)
+    )
+    return largest.select(
+        *on,
+        F.ceil(F.col("_pairs") / F.lit(pairs_per_task)).alias("_splits"),
+        (F.col("_left") >= F.col("_right")).alias("_divide_left"),
+    )
+
+
+def _in_cells(rows: DataFrame, columns: list[str], row_id: str, divided: Column) -> DataFrame:
+    splits = F.col("_splits")
+    own = F.array(F.pmod(F.xxhash64(row_id), splits))
+    every = F.sequence(F.lit(0).cast("bigint"), splits - 1)
+    return rows.select(*columns, F.explode(F.when(divided, own).otherwise(every)).alias("_cell"))
 
 
 def versioned_lookup(

@@ -192,14 +192,14 @@ def scalar_functions(spark, sf_dir):
 @query
 def join_window_inner(spark, sf_dir):
     left, right = _purchases_and_clicks(spark, sf_dir)
-    joined = windows_join(left, right, "inner")
+    joined = _daily_join(left, right, "inner")
     return joined.select("left_id", "user_id", "cents", "click_k")
 
 
 @query
 def join_window_left_outer(spark, sf_dir):
     left, right = _purchases_and_clicks(spark, sf_dir)
-    joined = windows_join(left, right, "left")
+    joined = _daily_join(left, right, "left")
     return joined.select("left_id", "left_ms", "user_id", "cents", "right_ms", "click_k")
 
 
@@ -208,13 +208,18 @@ def _purchases_and_clicks(spark, sf_dir):
         F.col("event_id").alias("left_id"), F.col("ts_ms").alias("left_ms"), "user_id", "cents"
     )
     right = events_of(spark, sf_dir, "click").select(
-        F.col("ts_ms").alias("right_ms"), "user_id", F.col("k").alias("click_k")
+        F.col("event_id").alias("right_id"),
+        F.col("ts_ms").alias("right_ms"),
+        "user_id",
+        F.col("k").alias("click_k"),
     )
     return left, right
 
 
-def windows_join(left, right, how):
-    return joins.window_join(left, right, ["user_id"], "1 day", "left_ms", "right_ms", how)
+def _daily_join(left, right, how):
+    return joins.window_join(
+        left, right, ["user_id"], "1 day", "left_ms", "right_ms", how, "left_id", "right_id"
+    )
 
 
 @query
