@@ -203,3 +203,12 @@ def test_heavy_join_groups_are_divided(skewed, how, pairs_per_task):
 def test_only_the_heaviest_join_groups_are_divided(skewed, monkeypatch):
     monkeypatch.setattr(joins, "MAX_HEAVY_GROUPS", 3)
     test_heavy_join_groups_are_divided(skewed, "left", 2)
+
+
+def test_heavy_lists_are_divided(skewed):
+    def live(**options):
+        return keyed_state.list_ttl(
+            skewed, ["user_id"], "ts_ms", "event_id", "event_type", "12 hours", **options
+        )
+
+    assert rows_of(live(pairs_per_task=5)) == rows_of(live())

@@ -44,6 +44,20 @@ def window_join(
     right = with_tumbling_window(right, right_ts, size)
     if left_id is None or right_id is None:
         return left.join(right, on, how)
+    return divided_join(left, right, on, left_id, right_id, how, pairs_per_task)
+
+
+def divided_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    left_id: str,
+    right_id: str,
+    how: str = "inner",
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
+    """Inner or left equality join that divides the groups with most pairs, see
+    ``window_join``. Without such groups the dividing branch is dropped at run time."""
     heavy = F.broadcast(_heavy_groups(left, right, on, pairs_per_task))
     marked_left, marked_right = left.join(heavy, on, "left"), right.join(heavy, on, "left")
     light = F.col("_splits").isNull()

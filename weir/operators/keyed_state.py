@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.times import duration_ms, minute_label, next_boundary_ms
 from weir.operators import scan
+from weir.operators.joins import PAIRS_PER_TASK, divided_join
 from weir.operators.running import running_sum
 from weir.operators.scan import KeyedScan
 
@@ -49,14 +50,21 @@ def value_total_ttl(
 
 
 def list_ttl(
-    rows: DataFrame, keys: list[str], ts: str, seq: str, element: str, ttl: str | int
+    rows: DataFrame,
+    keys: list[str],
+    ts: str,
+    seq: str,
+    element: str,
+    ttl: str | int,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """For every record, one row per element still live at its arrival: elements
     of the key that came no later and are younger than ``ttl``, itself included.
 
     Live elements sit in the record's own ttl-wide time slot or the one before,
     so this is an equality join on (key, slot): no key is gathered in one place,
-    and the slots of a hot key spread over the cluster.
+    the slots of a hot key spread over the cluster, and slots with very many pairs
+    are divided. ``seq`` must be unique.
     """
     width = duration_ms(ttl)
     slot = F.floor(F.col(ts) / F.lit(width))
@@ -71,8 +79,9 @@ def list_ttl(
     live = (F.col("element_seq") <= F.col(seq)) & (
         F.col(ts) - F.col("_element_ts") < width
     )
+    on = [*keys, "_slot"]
     return (
-        records.join(elements, [*keys, "_slot"])
+        divided_join(records, elements, on, seq, "element_seq", "inner", pairs_per_task)
         .where(live)
         .drop("_slot", "_element_ts")
     )
