@@ -61,8 +61,8 @@ def test_doubles(spark, text, expected):
 
 
 def test_parse_delimited(spark):
-    good = lines(spark, "spark,3,extra", "flink,-1")
-    assert rows_of(records.parse_delimited(good, KEY_INT)) == [("flink", -1), ("spark", 3)]
+    good = lines(spark, "spark,3,extra", "hive,-1")
+    assert rows_of(records.parse_delimited(good, KEY_INT)) == [("hive", -1), ("spark", 3)]
     for bad in ("spark", "spark,x", "spark, 3"):
         with pytest.raises(Exception, match="cannot parse n"):
             records.parse_delimited(lines(spark, bad), KEY_INT).collect()

@@ -321,7 +321,7 @@ def test_stateful_totals_survive_restart(spark, tmp_path):
 def test_union_chain_fails_and_resumes(spark, tmp_path):
     """A topic merged with a fault-injecting stream, filtered, written exactly once."""
     topic, faults, out = tmp_path / "topic", tmp_path / "faults", str(tmp_path / "out")
-    write_lines(topic, ["spark hadoop"], ["error from the topic", "flink"], ["flink"])
+    write_lines(topic, ["spark hadoop"], ["error from the topic", "hive"], ["hive"])
     write_lines(faults, ["fine"], ["error injected"])
 
     def start():
@@ -339,11 +339,11 @@ def test_union_chain_fails_and_resumes(spark, tmp_path):
     os.utime(bad, (stamp, stamp))
     finish(start())
     got = spark.read.parquet(out).select(F.decode("value", "UTF-8").alias("v"))
-    assert rows_of(got) == [("fine",), ("flink",), ("flink",), ("mended",), ("spark hadoop",)]
+    assert rows_of(got) == [("fine",), ("hive",), ("hive",), ("mended",), ("spark hadoop",)]
 
 
 def test_record_operators_on_a_stream(spark, tmp_path):
-    write_lines(tmp_path / "in", ["spark,3", "flink,4"], ["spark,5"])
+    write_lines(tmp_path / "in", ["spark,3", "hive,4"], ["spark,5"])
     schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType())])
     stream = text.stream_lines(spark, str(tmp_path / "in"), 1)
     parsed = records.parse_delimited(stream, schema)
@@ -352,5 +352,5 @@ def test_record_operators_on_a_stream(spark, tmp_path):
         shouted, parsed, {"key": F.col("key"), "n": F.col("n")}, {"key": F.col("key"), "n": -F.col("n")}
     )
     assert rows_of(run_to_end(both, tmp_path / "cp")) == sorted(
-        [("SPARK", 3), ("FLINK", 4), ("SPARK", 5), ("spark", -3), ("flink", -4), ("spark", -5)], key=repr
+        [("SPARK", 3), ("HIVE", 4), ("SPARK", 5), ("spark", -3), ("hive", -4), ("spark", -5)], key=repr
     )
