@@ -65,9 +65,9 @@ def divided_join(
         marked_right.where(light).select(right.columns), on, how
     )
     divided = F.col("_divide_left")
-    heavy_pairs = _in_cells(marked_left.where(~light), left.columns, left_id, divided).join(
-        _in_cells(marked_right.where(~light), right.columns, right_id, ~divided), [*on, "_cell"]
-    )
+    heavy_left = _in_cells(marked_left.where(~light), on, left.columns, left_id, divided)
+    heavy_right = _in_cells(marked_right.where(~light), on, right.columns, right_id, ~divided)
+    heavy_pairs = heavy_left.join(heavy_right, [*on, "_cell"])
     return pairs.unionByName(heavy_pairs.drop("_cell"))
 
 
@@ -92,11 +92,17 @@ def _heavy_groups(
     )
 
 
-def _in_cells(rows: DataFrame, columns: list[str], row_id: str, divided: Column) -> DataFrame:
+def _in_cells(
+    rows: DataFrame, on: list[str], columns: list[str], row_id: str, divided: Column
+) -> DataFrame:
     splits = F.col("_splits")
     own = F.array(F.pmod(F.xxhash64(row_id), splits))
     every = F.sequence(F.lit(0).cast("bigint"), splits - 1)
-    return rows.select(*columns, F.explode(F.when(divided, own).otherwise(every)).alias("_cell"))
+    celled = rows.select(*columns, F.explode(F.when(divided, own).otherwise(every)).alias("_cell"))
+    # a fixed number of partitions: adaptive execution would merge cells that are
+    # small in bytes, and with them their pairs, into one task
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return celled.repartition(tasks, *on, "_cell")
 
 
 def versioned_lookup(
