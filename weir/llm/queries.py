@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import line_dedup, mixing, pairwise_quality, pieces, quality_rules, url_filter, vafile
+from weir.llm import dart_minhash, line_dedup, mixing, pairwise_quality, pieces, quality_rules, url_filter, vafile
 from weir.llm.common import read
 
 #: Folder of public tokenizer files, and the model used.
@@ -37,6 +37,11 @@ def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.rank(docs, pairwise_quality.learn(docs, seen))
 
 
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = dart_minhash.near_duplicate_classes(read(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -63,6 +68,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pairwise_quality": op2_pairwise_quality,
+    "op3_dart_minhash": op3_dart_minhash,
     "op4_url_filter": op4_url_filter,
     "op5_line_dedup": op5_line_dedup,
     "op7_exact_top_k": op7_exact_top_k,
