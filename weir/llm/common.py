@@ -30,6 +30,12 @@ def row_key(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(*parts), F.xxhash64(F.lit(1), *reversed(parts))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once. Inside a lambda, a plain column
+    expression would be computed again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared checkpoint folder and read them back: lineage ends
     there, so a lost executor does not cost the work before."""

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weir.llm.common import let, stored
+
 
 def cells(text: Column, alphabet: str) -> Column:
     """Cell index of every character; characters outside the alphabet share symbol 0,
@@ -20,16 +22,19 @@ def cells(text: Column, alphabet: str) -> Column:
     width = len(alphabet) + 2
     chars = F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
     codes = F.transform(chars, lambda c: F.instr(F.lit(alphabet), c))
-    # shifted copies, so that each lambda only looks up an element by its place
     start = F.lit(width - 1)
-    return F.transform(
-        codes,
-        lambda c, i: (
-            F.when(i >= 2, F.get(codes, i - 2)).otherwise(start) * (width * width)
-            + F.when(i >= 1, F.get(codes, i - 1)).otherwise(start) * width
-            + c
-        ),
-    )
+
+    def joined(codes: Column) -> Column:
+        return F.transform(
+            codes,
+            lambda c, i: (
+                F.when(i >= 2, F.get(codes, i - 2)).otherwise(start) * (width * width)
+                + F.when(i >= 1, F.get(codes, i - 1)).otherwise(start) * width
+                + c
+            ),
+        )
+
+    return let(codes, joined)
 
 
 def count_cells(samples: DataFrame) -> DataFrame:
@@ -43,6 +48,7 @@ def count_cells(samples: DataFrame) -> DataFrame:
 def ratios(spark: SparkSession, counts: DataFrame, alphabet: str) -> DataFrame:
     """One row with ``model``: array of log P(positive) - log P(negative) by cell."""
     a = len(alphabet) + 2
+    counts = stored(spark, counts, "markov-counts")  # used several times below
     dense = spark.range(a**3).select(F.col("id").cast("int").alias("cell"))
     dense = dense.join(counts, "cell", "left").na.fill(0, ["pos", "neg"])
     dense = dense.select(
@@ -80,7 +86,7 @@ def ratios(spark: SparkSession, counts: DataFrame, alphabet: str) -> DataFrame:
         return F.log(p2)
 
     scored = table.select("cell", (log_p("pos") - log_p("neg")).alias("ratio"))
-    packed = F.array_sort(F.collect_list(F.struct("cell", "ratio")))
+    packed = F.sort_array(F.collect_list(F.struct("cell", "ratio")))
     return scored.agg(F.transform(packed, lambda x: x["ratio"]).alias("model"))
 
 
@@ -93,22 +99,27 @@ def with_score(rows: DataFrame, model: DataFrame) -> DataFrame:
     return held.withColumn("score", F.when(n > 0, total / n).otherwise(0.0)).drop("__model")
 
 
-def best_cut(scored: DataFrame, bins: int = 200) -> DataFrame:
-    """One row with ``cut``: the score at which the shares of positive samples at or
-    above and of negative ones below add up to most. Scores are binned on [-10, 10],
-    so at most ``20 * bins`` rows are ordered; 0 without samples of both classes."""
+def best_cut(scored: DataFrame, bins: int = 200, empty_cut: float = 0.0) -> DataFrame:
+    """One row with ``cut``: where the shares of positive samples at or above and of
+    negative ones below add up to most, in the middle of the gap between the two
+    scores next to it. Scores are binned on [-10, 10], so at most ``20 * bins`` rows
+    are ordered; ``empty_cut`` without samples of both classes."""
     clipped = F.greatest(F.lit(-10.0), F.least(F.lit(10.0), F.col("score")))
     hist = scored.groupBy(F.floor(clipped * bins).alias("bin")).agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )
-    order = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("bin")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    merit = F.coalesce(F.sum("neg").over(order), F.lit(0)) / F.sum("neg").over(every) - F.coalesce(
-        F.sum("pos").over(order), F.lit(0)
-    ) / F.sum("pos").over(every)
-    has_both = (F.sum("neg").over(every) > 0) & (F.sum("pos").over(every) > 0)
-    judged = hist.select("bin", F.when(has_both, merit).alias("merit"))
-    best = F.max_by("bin", F.struct("merit", -F.col("bin")))
-    return judged.agg(
-        F.when(F.max("merit").isNotNull(), best / bins).otherwise(0.0).alias("cut")
+
+    def share_below(name: str) -> Column:
+        return F.coalesce(F.sum(name).over(before), F.lit(0)) / F.sum(name).over(every)
+
+    both = (F.sum("neg").over(every) > 0) & (F.sum("pos").over(every) > 0)
+    judged = hist.select(
+        "bin",
+        F.coalesce(F.lag("bin").over(order), F.col("bin")).alias("last"),
+        F.when(both, share_below("neg") - share_below("pos")).alias("merit"),
     )
+    best = F.max_by((F.col("bin") + F.col("last")) / 2, F.struct("merit", -F.col("bin")))
+    return judged.agg(F.when(F.max("merit").isNotNull(), best / bins).otherwise(empty_cut).alias("cut"))

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import dart_minhash, line_dedup, mixing, pairwise_quality, pieces, quality_rules, url_filter, vafile
+from weir.llm import dart_minhash, line_dedup, mixing, pairwise_quality, pieces, quality_rules, secrets, url_filter, vafile
 from weir.llm.common import read
 
 #: Folder of public tokenizer files, and the model used.
@@ -52,6 +52,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "lines_removed")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_dart_minhash": op3_dart_minhash,
     "op4_url_filter": op4_url_filter,
     "op5_line_dedup": op5_line_dedup,
+    "op6_secrets": op6_secrets,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_quality_rules": op8_quality_rules,
     "op10_pieces": op10_pieces,
