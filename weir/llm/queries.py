@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import dart_minhash, line_dedup, mixing, pairwise_quality, pieces, quality_rules, secrets, url_filter, vafile
+from weir.llm import block_anchors, dart_minhash, line_dedup, mixing, pairwise_quality, pieces, quality_rules, secrets, url_filter, vafile
 from weir.llm.common import read
 
 #: Folder of public tokenizer files, and the model used.
@@ -65,6 +65,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.learn(docs, labels))
 
 
+def op9_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_anchors.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(read(spark, sf_dir, "documents"), PIECES)
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_quality_rules": op8_quality_rules,
+    "op9_block_anchors": op9_block_anchors,
     "op10_pieces": op10_pieces,
 }
 
