@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from conftest import SMALL_DIR
+
+from weir.llm import pairwise_quality, quality_rules, text_stats
+from weir.llm.common import read
+from weir.llm.queries import QUERIES
+
+EDGES = "doc_id bigint, text string, score string, kept int"
+
+
+def edge_rows():
+    long = " ".join(f"w{i}" for i in range(30_000))
+    return [(1, None, "a", 1), (2, "", "b", 2), (3, long, None, None), (3, long, None, None), (None, "a b c", "x", 0)]
+
+
+def brute_stats(text):
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text or "") if w]
+    lines = [x for x in (text or "").split("\n") if __import__("re").search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    again = set()
+    for i, w in enumerate(windows):
+        if windows.count(w) > 1:
+            again |= {i, i + 1, i + 2}
+    dup = sum(x in lines[:i] for i, x in enumerate(lines))
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return (len(words), sum(map(len, words)), symbols, dup, len(again))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [None, "", " \n\t", "a", "a b a b a b", "x\nx\n x\n\nx", "é # |\x0b\x0c z\r\nü\xa0q", "\n".join(["t t t"] * 4)],
+)
+def test_base_counts(text):
+    assert text_stats.describe(text)[0] == brute_stats(text)
+
+
+def test_trees_keep_their_constraint():
+    draw = np.random.default_rng(1)
+    x = draw.random((2000, 3))
+    y = ((x[:, 0] + 0.3 * draw.random(2000) > 0.6) ^ (x[:, 1] > 0.9)).astype(float)
+    trees = quality_rules.fit_trees(x, y, np.array([1, 0, -1]), trees=20)
+    grid = np.linspace(0, 1, 50)
+    for sign, j in ((1, 0), (-1, 2)):
+        for row in x[:50]:
+            line = np.repeat(row[None], 50, 0)
+            line[:, j] = grid
+            assert (sign * np.diff(trees.raw(line)) >= -1e-12).all()
+    assert ((trees.score(x) > 0.5) == (y > 0)).mean() > 0.9
+
+
+def test_flat_trees_equal_a_walk():
+    draw = np.random.default_rng(2)
+    x, y = draw.random((500, 4)), (draw.random(500) > 0.5).astype(float)
+    trees = quality_rules.fit_trees(x, y, np.zeros(4), trees=5, depth=3)
+
+    def walk(row):
+        total = trees.base
+        for f, c, v in zip(trees.feature, trees.cut, trees.value):
+            j = 0
+            while j < len(f):
+                j = 2 * j + (2 if row[f[j]] > c[j] else 1)
+            total += v[j - len(f)]
+        return total
+
+    assert np.allclose(trees.raw(x), [walk(r) for r in x])
+
+
+def test_op8_follows_the_labels(spark):
+    got = QUERIES["op8_quality_rules"](spark, SMALL_DIR)
+    labels = read(spark, SMALL_DIR, "labels")
+    rows = got.join(labels, "doc_id").where("NOT base_failed").collect()
+    assert sum(r.kept == (r.quality == 1) for r in rows) >= 0.97 * len(rows)
+    assert all(not r.kept for r in got.where("base_failed").collect())
+    texts = {r.doc_id: r.text for r in read(spark, SMALL_DIR, "documents").collect()}
+    for r in got.collect()[:40]:
+        if len(texts[r.doc_id]) < 3000:
+            base = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+            assert base == brute_stats(texts[r.doc_id])
+
+
+def test_rules_on_edges(spark):
+    docs = spark.createDataFrame(edge_rows(), EDGES)
+    rows = quality_rules.judge(docs, None).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.kept) for r in rows) == [
+        (0, 3, False), (1, 0, False), (2, 0, False), (3, 30_000, True), (3, 30_000, True),
+    ]
+    assert quality_rules.keep_good(docs, None).columns == docs.columns
+    assert quality_rules.keep_good(docs, None).count() == 2
+    assert quality_rules.judge(docs.limit(0), None).count() == 0
+    labels = spark.createDataFrame([(1, 1), (1, None), (None, 0)], "doc_id bigint, quality int")
+    assert quality_rules.learn(docs, labels) is None
+
+
+def test_op2_ranks_held_out_documents(spark):
+    got = QUERIES["op2_pairwise_quality"](spark, SMALL_DIR)
+    import zlib
+
+    rows = got.collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    labelled = got.join(read(spark, SMALL_DIR, "labels"), "doc_id").where("held_out").collect()
+    assert sum(r.predicted == r.quality for r in labelled) >= 0.9 * len(labelled)
+
+
+def test_ranking_on_edges(spark):
+    docs = spark.createDataFrame(edge_rows(), EDGES)
+    labels = spark.createDataFrame([(3, 1)], "doc_id bigint, quality int")
+    ranking = pairwise_quality.learn(docs, labels)
+    rows = pairwise_quality.rank(docs, ranking).collect()
+    assert len(rows) == 5 and {r.score for r in rows} == {1.0}
+    nothing = pairwise_quality.learn(docs, labels.limit(0))
+    assert {r.score for r in pairwise_quality.rank(docs, nothing).collect()} == {0.5}
+    assert pairwise_quality.rank(docs.limit(0), ranking).count() == 0
+
+
+def test_pairs_learn_an_order():
+    draw = np.random.default_rng(3)
+    x = draw.random((800, 2))
+    y = (x[:, 0] > 0.3).astype(float)
+    ranking = pairwise_quality.fit_ranking(x, y)
+    assert ((ranking.score(x) >= 0.7) == (y > 0)).mean() > 0.95

@@ -99,6 +99,19 @@ def with_score(rows: DataFrame, model: DataFrame) -> DataFrame:
     return held.withColumn("score", F.when(n > 0, total / n).otherwise(0.0)).drop("__model")
 
 
+def learn(samples: DataFrame, alphabet: str, empty_cut: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Model and cut from rows (cells, positive), one row each. The cut is calibrated
+    on one half of the samples (by hash, so that equal ones stay together) with a model
+    of the other half, as a model rates what it has seen too well."""
+    spark = samples.sparkSession
+    half = F.pmod(F.xxhash64("cells"), F.lit(2))
+    seen, unseen = samples.where(half == 0), samples.where(half == 1)
+    trial = stored(spark, ratios(spark, count_cells(seen), alphabet), "markov-trial")
+    cut = stored(spark, best_cut(with_score(unseen, trial), empty_cut=empty_cut), "markov-cut")
+    model = stored(spark, ratios(spark, count_cells(samples), alphabet), "markov-model")
+    return model, cut
+
+
 def best_cut(scored: DataFrame, bins: int = 200, empty_cut: float = 0.0) -> DataFrame:
     """One row with ``cut``: where the shares of positive samples at or above and of
     negative ones below add up to most, in the middle of the gap between the two

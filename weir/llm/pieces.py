@@ -10,9 +10,11 @@ The search keeps a window: pieces are at most ``longest`` characters, so only pa
 that end in the last ``longest`` boundaries survive. Whenever the backpointers of all
 of them meet in one boundary, the ids before it are final and leave the window.
 
-No piece crosses from a visible character into a space mark, so every word, with
-the marks before it, is such a meeting point; the ids of a word are remembered (up to
-``REMEMBERED`` words a task). A text without spaces runs through the window.
+Where no piece spans two neighbouring characters, all paths meet for certain. Such
+boundaries are known from the vocabulary: before a run of space marks, and between
+a letter and a character (most punctuation) that no piece has after one. The text is
+cut there, and the ids of a cut are remembered (up to ``REMEMBERED`` a task).
+A text without such boundaries runs through the window.
 
 Defined cases: NULL text gives NULL ids; empty text no ids; repeated rows are encoded
 alike; an empty table gives an empty result; other columns are not read. A literal
@@ -24,13 +26,14 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, round_trip boolean"
 
 
@@ -53,19 +56,21 @@ class Model:
             if i not in self.byte_of and i not in self.hidden and i != self.unknown and not p.is_unused(i):
                 self.ids[piece] = i
         self.longest = max(map(len, self.ids), default=1)
-        self.tree: dict = {}  # by character; the id of a piece stands under ""
+        self.tree: dict = {}  # by character: the id of the piece so far or -1, and its subtree
         for piece, i in self.ids.items():
-            node = self.tree
+            tree, node = self.tree, None
             for char in piece:
-                node = node.setdefault(char, {})
-            node[""] = i
+                node = tree.setdefault(char, [-1, {}])
+                tree = node[1]
+            node[0] = i
         self.least = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10
         # a merging model scores by rank: whole numbers, none twice but for runs of spaces
         self.merges = all(float(self.scores[i]).is_integer() for i in self.ids.values())
         self.plain = p.normalize(" a  b ") == f"{MARK}{MARK}a{MARK}{MARK}b "
-        self.crossing = any(MARK in x.lstrip(MARK) for x in self.ids)
+        crossing = any(MARK in x.lstrip(MARK) for x in self.ids)
+        self.cuts = None if crossing else _cuts(self.ids)
         self._follow: dict[int, bool] = {}
-        self._words: dict[str, list[int]] = {}
+        self._words: dict[str, tuple[int, ...]] = {}
 
     def follows(self, before: int, piece: int) -> bool:
         """Whether merging the text of both gives exactly these two pieces."""
@@ -90,15 +95,16 @@ class Model:
 
     def encode(self, text: str) -> list[int]:
         marked = self.marked(text)
-        if self.crossing:
+        if self.cuts is None:
             return list(stream(self, [marked]))
         out: list[int] = []
         words = self._words
-        for word in _WORDS.findall(marked):
+        for word in self.cuts.findall(marked):
             ids = words.get(word)
             if ids is None:
-                ids = list(stream(self, [word]))
-                if len(word) <= 64:
+                brief = len(word) <= 32
+                ids = tuple(_brief(self, word) if brief and self.merges else stream(self, [word]))
+                if brief:
                     if len(words) >= REMEMBERED:
                         words.clear()
                     words[word] = ids
@@ -122,7 +128,17 @@ class Model:
         return text[1:] if text.startswith(" ") else text
 
 
-_WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+def _cuts(ids) -> re.Pattern:
+    """Pattern of the parts between certain boundaries: before space marks, and between
+    a letter or digit and an ASCII character that no piece has right after one."""
+    after = {b for x in ids for a, b in zip(x, x[1:]) if re.match(_ALNUM, a)}
+    free = {c for x in ids for c in x if not re.match(_ALNUM, c)} | set("\t\n\r")
+    tail = "".join(map(re.escape, sorted(c for c in free - after - {MARK} if c.isascii())))
+    head = f"{MARK}*{_ALNUM}+(?=[{tail}])|" if tail else ""
+    return re.compile(f"{head}{MARK}*[^{MARK}]+|{MARK}+")
+
+
+_ALNUM = r"[^\W_]"
 
 
 def merge(text: str, ids: dict[str, int], scores: list[float]) -> list[str]:
@@ -158,7 +174,7 @@ def stream(model: Model, chunks) -> Iterator[int]:
     back: list[int] = [0]  # by boundary in the window: where its last piece starts
     last: list[int] = [-1]  # that piece; -1 for bytes
     score: list[float] = [0.0]
-    for chunk in [*chunks, None]:
+    for chunk in chain(chunks, [None]):
         text += chunk or ""
         # a start is settled once all pieces that could end there have been tried
         end = len(text) if chunk is None else len(text) - model.longest
@@ -184,13 +200,13 @@ def _extend(model: Model, text: str, at: int, back, last, score) -> None:
         back += [-1] * short
         last += [-1] * short
         score += [float("-inf")] * short
-    previous, node, merges = last[at], model.tree, model.merges
+    previous, tree, merges = last[at], model.tree, model.merges
     for end in range(at, stop):
-        node = node.get(text[end])
+        node = tree.get(text[end])
         if node is None:
             break
-        i = node.get("")
-        if i is None:
+        i, tree = node
+        if i < 0:
             continue
         if merges:
             if back[end + 1] < 0 and (previous < 0 or model.follows(previous, i)):
@@ -204,6 +220,30 @@ def _extend(model: Model, text: str, at: int, back, last, score) -> None:
             back[at + 1], last[at + 1], score[at + 1] = at, -1, score[at] + model.least
 
 
+def _brief(model: Model, text: str) -> list[int]:
+    """The same search on a part that fits a window as a whole, for a merging model."""
+    n, top, known = len(text), model.tree, model._follow
+    back, last = [-1] * (n + 1), [-1] * (n + 1)
+    for at in range(n):
+        previous, tree, end = last[at], top, at
+        for char in text[at:]:
+            node = tree.get(char)
+            if node is None:
+                break
+            i, tree = node
+            end += 1
+            if i >= 0 and back[end] < 0:
+                if previous < 0:
+                    back[end], last[end] = at, i
+                else:
+                    free = known.get(previous << 32 | i)
+                    if model.follows(previous, i) if free is None else free:
+                        back[end], last[end] = at, i
+        if back[at + 1] < 0:  # no piece, or none that merging leaves: bytes
+            back[at + 1] = at
+    return _path(model, text, back, last, n)
+
+
 def _meeting(back: list[int], base: int, longest: int) -> int:
     """The boundary in which the paths of all surviving boundaries meet: those before
     ``base`` that a later piece may start from or that have been reached already."""

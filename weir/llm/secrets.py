@@ -12,8 +12,8 @@ Rows are never shuffled: the counts of cells are combined map-side into a number
 groups that the alphabet fixes.
 
 Defined cases: NULL text is as empty: no spans; repeated rows are scanned alike;
-positions count code points, ends are exclusive; without samples of both kinds there
-are no further spans; an empty table gives an empty result; other columns are not
+positions count code points, ends are exclusive; without samples of both kinds in
+both halves there are no further spans; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -110,8 +110,7 @@ def scan(docs: DataFrame) -> DataFrame:
         found.select(F.explode("tokens.value").alias("value"), F.lit(False).alias("positive"))
     )
     samples = samples.select(markov.cells(F.col("value"), ALPHABET).alias("cells"), "positive")
-    model = stored(spark, markov.ratios(spark, markov.count_cells(samples), ALPHABET), "secret-model")
-    cut = stored(spark, markov.best_cut(markov.with_score(samples, model), empty_cut=1e9), "secret-cut")
+    model, cut = markov.learn(samples, ALPHABET, empty_cut=1e9)
 
     # all long tokens of a document as one list of cells, scored token by token
     long = F.filter("tokens", lambda t: t["end"] - t["start"] >= MIN_TOKEN)

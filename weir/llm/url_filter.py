@@ -10,7 +10,8 @@ a fixed number of groups: no shuffle of URLs, so no key can be hot.
 
 Defined cases: a NULL url, or one without ``://``, has an empty host and path, fits
 no rule, scores 0 and takes the verdict of that score; repeated rows are judged alike;
-without verdicts of both kinds the cut and all scores are 0, so everything is allowed;
+without verdicts of both kinds (in both halves of the samples) the cut is 0, and all
+scores are where no verdict trains a model, so everything is allowed then;
 an empty table gives an empty result; other columns are not read.
 """
 
@@ -22,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm import markov
-from weir.llm.common import stored
 
 #: Symbols of the models; everything else counts as one more.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-_"
@@ -64,7 +64,6 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule], attribute: str)
 
 def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for every page."""
-    spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     ruled = parsed.select(
@@ -74,9 +73,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         markov.cells(F.lower(F.concat("host", "path")), ALPHABET).alias("cells"),
     )
     samples = ruled.where("ruled IS NOT NULL").select("cells", (F.col("ruled") == "allow").alias("positive"))
-    counts = markov.count_cells(samples)
-    model = stored(spark, markov.ratios(spark, counts, ALPHABET), "url-model")
-    cut = stored(spark, markov.best_cut(markov.with_score(samples, model)), "url-cut")
+    model, cut = markov.learn(samples, ALPHABET)
     judged = markov.with_score(ruled, model)
     own = F.when(F.col("score") >= cut.scalar(), "allow").otherwise("block")
     return judged.select(

@@ -117,8 +117,9 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     # the grid: each slice meets each query block, as rows dealt by both numbers
     tag = F.monotonically_increasing_id()
     left = slices.select(F.struct("*").alias("s"), tag.alias("slice"))
-    left = left.join(blocks.agg(F.count(F.lit(1)).cast("int").alias("m")), F.lit(True))
-    left = left.select("s", "slice", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("block"))
+    last = blocks.agg((F.count(F.lit(1)) - 1).cast("int")).scalar()
+    every_block = F.when(last >= 0, F.sequence(F.lit(0), last))
+    left = left.select("s", "slice", F.explode(every_block).alias("block"))
     number = F.row_number().over(Window.orderBy(F.xxhash64("ids"), "ids")) - 1
     names = stored(spark, blocks.select(F.struct("*").alias("q"), number.alias("block")), "va-numbered")
     work = left.repartition("slice", "block").join(names, "block").select("s.*", "q")
