@@ -90,26 +90,50 @@ def ratios(spark: SparkSession, counts: DataFrame, alphabet: str) -> DataFrame:
     return scored.agg(F.transform(packed, lambda x: x["ratio"]).alias("model"))
 
 
-def with_score(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """Add ``score``: log-likelihood ratio per character of ``cells``; 0 if empty.
-    The model is one row of fixed length and reaches the tasks as a scalar."""
-    held = rows.withColumn("__model", model.scalar())
-    total = F.aggregate("cells", F.lit(0.0), lambda acc, cell: acc + F.get("__model", cell))
-    n = F.size("cells")
-    return held.withColumn("score", F.when(n > 0, total / n).otherwise(0.0)).drop("__model")
-
-
-def learn(samples: DataFrame, alphabet: str, empty_cut: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """Model and cut from rows (cells, positive), one row each. The cut is calibrated
-    on one half of the samples (by hash, so that equal ones stay together) with a model
-    of the other half, as a model rates what it has seen too well."""
+def _half(cell_list: Column) -> Column:
+    return F.pmod(F.xxhash64(cell_list), F.lit(2))
+
+
+def score(cell_list: Column, even: Column, odd: Column) -> Column:
+    """Log-likelihood ratio per character, 0 if empty, by the model that learned from
+    the half of the samples which texts like this one are not in."""
+    given = F.struct(cell_list.alias("cells"), (_half(cell_list) == 0).alias("first"))
+
+    def rated(g: Column) -> Column:
+        def step(acc, cell):
+            return acc + F.when(g["first"], F.get(odd, cell)).otherwise(F.get(even, cell))
+
+        n = F.size(g["cells"])
+        return F.when(n > 0, F.aggregate(g["cells"], F.lit(0.0), step) / n).otherwise(0.0)
+
+    return let(given, rated)
+
+
+def with_models(rows: DataFrame, models: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """Add ``__even`` and ``__odd``. A model is one row of fixed length, which reaches
+    the tasks as a scalar."""
+    return rows.withColumns({"__even": models[0].scalar(), "__odd": models[1].scalar()})
+
+
+def with_score(rows: DataFrame, models: tuple[DataFrame, DataFrame]) -> DataFrame:
+    rated = score(F.col("cells"), F.col("__even"), F.col("__odd"))
+    return with_models(rows, models).withColumn("score", rated).drop("__even", "__odd")
+
+
+def learn(
+    samples: DataFrame, alphabet: str, empty_cut: float = 0.0
+) -> tuple[tuple[DataFrame, DataFrame], DataFrame]:
+    """Two models and a cut from rows (cells, positive). Each model learns from one half
+    of the samples (by hash, so that equal ones stay together) and rates the other, as
+    a model rates what it has seen by the label it saw; the cut is calibrated on these
+    ratings of all samples."""
     spark = samples.sparkSession
-    half = F.pmod(F.xxhash64("cells"), F.lit(2))
-    seen, unseen = samples.where(half == 0), samples.where(half == 1)
-    trial = stored(spark, ratios(spark, count_cells(seen), alphabet), "markov-trial")
-    cut = stored(spark, best_cut(with_score(unseen, trial), empty_cut=empty_cut), "markov-cut")
-    model = stored(spark, ratios(spark, count_cells(samples), alphabet), "markov-model")
-    return model, cut
+    models = tuple(
+        stored(spark, ratios(spark, count_cells(samples.where(_half(F.col("cells")) == half)), alphabet), "markov-model")
+        for half in (0, 1)
+    )
+    cut = stored(spark, best_cut(with_score(samples, models), empty_cut=empty_cut), "markov-cut")
+    return models, cut
 
 
 def best_cut(scored: DataFrame, bins: int = 200, empty_cut: float = 0.0) -> DataFrame:

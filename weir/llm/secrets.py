@@ -2,8 +2,9 @@
 
 Base spans come from three patterns (leftmost, not overlapping within a kind). The
 values they find are the labelled samples of random strings; other tokens of twelve
-characters or more are the samples of ordinary identifiers. One Markov model is
-learned from each, over the whole corpus, and a token of ``MIN_TOKEN`` characters or
+characters or more are the samples of ordinary identifiers. Markov models are
+learned from both, over the whole corpus (a token is rated by models of the half of
+the samples that it is not in), and a token of ``MIN_TOKEN`` characters or
 more that overlaps no base span becomes a further span (kind ``model``) where the
 log-likelihood ratio per character reaches a cut calibrated on the samples.
 
@@ -110,17 +111,14 @@ def scan(docs: DataFrame) -> DataFrame:
         found.select(F.explode("tokens.value").alias("value"), F.lit(False).alias("positive"))
     )
     samples = samples.select(markov.cells(F.col("value"), ALPHABET).alias("cells"), "positive")
-    model, cut = markov.learn(samples, ALPHABET, empty_cut=1e9)
+    models, cut = markov.learn(samples, ALPHABET, empty_cut=1e9)
 
-    # all long tokens of a document as one list of cells, scored token by token
     long = F.filter("tokens", lambda t: t["end"] - t["start"] >= MIN_TOKEN)
-    held = found.withColumns({"__model": model.scalar(), "__cut": cut.scalar()})
+    held = markov.with_models(found, models).withColumn("__cut", cut.scalar())
 
     def random(token):
-        total = F.aggregate(
-            markov.cells(token["value"], ALPHABET), F.lit(0.0), lambda acc, cell: acc + F.get("__model", cell)
-        )
-        return total / F.length(token["value"]) >= F.col("__cut")
+        rated = markov.score(markov.cells(token["value"], ALPHABET), F.col("__even"), F.col("__odd"))
+        return rated >= F.col("__cut")
 
     added = F.filter(long, random)
     spans = held.select(

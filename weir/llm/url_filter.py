@@ -73,8 +73,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         markov.cells(F.lower(F.concat("host", "path")), ALPHABET).alias("cells"),
     )
     samples = ruled.where("ruled IS NOT NULL").select("cells", (F.col("ruled") == "allow").alias("positive"))
-    model, cut = markov.learn(samples, ALPHABET)
-    judged = markov.with_score(ruled, model)
+    models, cut = markov.learn(samples, ALPHABET)
+    judged = markov.with_score(ruled, models)
     own = F.when(F.col("score") >= cut.scalar(), "allow").otherwise("block")
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "score"
