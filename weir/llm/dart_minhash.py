@@ -17,8 +17,8 @@ Joining:
 3. links are checked exactly: Jaccard similarity of the shingles >= ``THRESHOLD``;
 4. connected components of the links are classes;
 5. in buckets that still hold nodes of different classes besides the smallest, nodes
-   are compared by signature in blocks of a fixed size; pairs of different classes
-   that may be similar are checked exactly, too, and components are formed again.
+   meet in blocks of a fixed size; pairs of different classes that may be similar by
+   their signatures are checked exactly, too, and components are formed again.
 
 So no bucket is cut off: pairs inside one class need no link of their own, all others
 in a bucket are looked at. With 26 bands of 5 a pair at similarity 0.8 shares a bucket
@@ -184,19 +184,25 @@ def sign_documents(docs: DataFrame, counted: bool = False) -> DataFrame:
     return rows.mapInArrow(run, _SIGNED)
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose texts are similar enough. A text comes from the
-    node's first document, so that copies are not gathered."""
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes. A text comes from the node's first document,
+    so that copies are not gathered."""
     spark = docs.sparkSession
     named = docs.select(
         F.unhex(F.md5("text")).alias("node"), F.col("doc_id").cast("bigint").alias("id"), "text"
     )
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = wanted.join(nodes.select("node", "first"), "node")
     wanted = stored(spark, wanted.select(F.col("node").alias("want"), "first"), "dart-wanted")
     match = (F.col("node") == F.col("want")) & F.col("id").eqNullSafe(F.col("first"))
     texts = named.join(wanted, match).groupBy("node").agg(F.first("text").alias("text"))
-    texts = stored(spark, texts, "dart-texts")
+    return stored(spark, texts, "dart-texts")
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes whose texts are similar enough."""
+    spark = docs.sparkSession
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts(docs, nodes, wanted)
     left = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
     both = left.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
 
@@ -217,9 +223,13 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: fl
     return stored(spark, both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"), "dart-links")
 
 
-def _open_pairs(spark, bands: DataFrame, buckets: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different classes in one bucket that may be similar, apart from those
-    with the bucket's smallest node, which have been checked."""
+def _open_links(
+    docs: DataFrame, bands: DataFrame, buckets: DataFrame, comps: DataFrame, nodes: DataFrame, threshold: float
+) -> DataFrame:
+    """Links between different classes in one bucket, apart from those of its smallest
+    node, which have been checked. Members meet in blocks of a fixed size; only links
+    that join two classes of a block are returned, so they are fewer than its rows."""
+    spark = docs.sparkSession
     members = (
         bands.join(buckets, "band")
         .where("node <> hub")
@@ -231,38 +241,58 @@ def _open_pairs(spark, bands: DataFrame, buckets: DataFrame, comps: DataFrame, n
     )
     mixed = stored(spark, mixed.where("low <> high").select("band", "n"), "dart-mixed")
     rest = stored(spark, members.join(mixed, "band"), "dart-rest")
-    wanted = stored(spark, rest.select("node").distinct(), "dart-rest-nodes")
-    signed = stored(spark, nodes.select("node", "signature").join(wanted, "node"), "dart-rest-signatures")
+    wanted = rest.select("node").distinct()
+
+    def pack(batches):
+        for part in batches:
+            sets = [np.unique(shingles(t)).tobytes() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"]
+            )
+
+    sets = _texts(docs, nodes, wanted).mapInArrow(pack, "node binary, shingles binary")
+    signed = sets.join(nodes.select("node", "signature"), "node")
+    signed = stored(spark, signed, "dart-rest-sets")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
         rest.join(signed, "node")
-        .withColumn("blocks", blocks)
         .withColumn("mine", mine)
-        .withColumn("other", other)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
-            "band", "node", "comp", "signature", "mine",
+            "band", "node", "comp", "signature", "shingles", "mine",
             F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         )
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        left = part[part["mine"] == part["i"].iloc[0]]
-        right = part[part["mine"] == part["j"].iloc[0]]
-        codes = {c: k for k, c in enumerate(pd.unique(part["comp"]))}
-        matrix = np.stack([np.frombuffer(s, np.uint32) for s in right["signature"]])
-        kinds = right["comp"].map(codes).to_numpy()
-        names = right["node"].to_numpy()
+        i, j = part["i"].iloc[0], part["j"].iloc[0]
+        left, right = part[part["mine"] == i], part[part["mine"] == j]
+        matrix = np.stack([np.frombuffer(s, np.uint32) for s in right["signature"]]) if len(right) else None
+        parent = {c: c for c in part["comp"]}
+
+        def root(c):
+            while parent[c] != c:
+                c = parent[c]
+            return c
+
         found = []
-        for node, comp, signature in zip(left["node"], left["comp"], left["signature"]):
-            same = (matrix == np.frombuffer(signature, np.uint32)).mean(1)
-            for k in np.flatnonzero((same >= MAYBE) & (kinds != codes[comp])):
-                found.append((min(node, names[k]), max(node, names[k])))
+        names, comps, packed = (right[c].tolist() for c in ("node", "comp", "shingles"))
+        for at, row in enumerate(left.itertuples(index=False)):
+            if matrix is None:
+                break
+            same = (matrix == np.frombuffer(row.signature, np.uint32)).mean(1)
+            mine = np.frombuffer(row.shingles, np.uint64)
+            for k in np.flatnonzero(same >= MAYBE):
+                if i == j and k <= at:
+                    continue
+                a, b = root(row.comp), root(comps[k])
+                if a != b and similarity(mine, np.frombuffer(packed[k], np.uint64)) >= threshold:
+                    parent[b] = a
+                    found.append((row.node, names[k]))
         return pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
-    # a pair of equal blocks sees each pair twice; distinct() leaves one
-    return dealt.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+    return dealt.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicate_classes(
@@ -283,9 +313,9 @@ def near_duplicate_classes(
     pairs = stored(spark, pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "dart-pairs")
     links = _verified(docs, nodes, pairs, threshold)
     comps = stored(spark, components(links), "dart-components")
-    more = stored(spark, _open_pairs(spark, bands, buckets, comps, nodes), "dart-open")
+    more = stored(spark, _open_links(docs, bands, buckets, comps, nodes, threshold), "dart-open")
     if not more.isEmpty():
-        links = links.unionByName(_verified(docs, nodes, more, threshold))
+        links = links.unionByName(more)
         comps = stored(spark, components(links), "dart-components")
     of = nodes.select("node", "first").join(comps, "node", "left")
     of = of.select("node", "first", F.coalesce("comp", "node").alias("comp"))
