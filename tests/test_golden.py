@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from weir.functions.text import parse_double
 from weir.operators import joins, keyed_state, lateness, running, windows
 
 
@@ -100,7 +101,7 @@ def test_slides_wider_than_the_window_leave_gaps(spark):
 def test_count_window_tail(spark):
     rows = timed(spark, *[("a", 0, v) for v in range(1, 8)])
     assert rows_of(windows.count_window_sum(rows, "seq", "v", 5)) == [(0, 15)]
-    assert rows_of(windows.count_window_sum(rows, "seq", "v", 5, chunk_rows=2)) == [(0, 15)]
+    assert rows_of(windows.count_window_sum(rows, "seq", "v", 5, chunks=4)) == [(0, 15)]
     assert rows_of(windows.count_window_sum(rows, "seq", "v", 8)) == []
 
 
@@ -209,3 +210,35 @@ def test_empty_input(spark):
     assert windows.session_sum(rows, ["k"], "ts", "v", "1 second").isEmpty()
     assert lateness.flag_late(rows, ["seq"], "ts", "1 second").isEmpty()
     assert keyed_state.value_total_ttl(rows, ["k"], "ts", "seq", "v", 5).isEmpty()
+
+
+def test_retract_log_with_nulls(spark):
+    got = running.retract_changelog(keyed(spark, ("a", None), ("a", 5), ("a", None)), ["k"], "seq", "v")
+    changes = [(r.seq, r.is_add, r.total) for r in got.orderBy("seq", "is_add").collect()]
+    first = changes[0][0]
+    assert changes == [
+        (first, True, None), (first + 1, False, None), (first + 1, True, 5), (first + 2, False, 5), (first + 2, True, 5),
+    ]
+
+
+def test_expiry_with_nulls(spark):
+    rows = spark.createDataFrame(
+        [("a", 0, 1, 5), ("a", 50_000, 2, None), ("a", 51_000, 3, 3), ("a", 52_000, 4, None)],
+        "k string, ts bigint, seq bigint, v bigint",
+    )
+    got = keyed_state.value_total_ttl(rows, ["k"], "ts", "seq", "v", "20 seconds")
+    assert [r.total for r in got.orderBy("seq").collect()] == [5, None, 3, 3]
+
+
+def test_live_lists_out_of_order(spark):
+    rows = spark.createDataFrame(
+        [("a", 100_000, 1, "x"), ("a", 1000, 2, "y"), ("a", 100_500, 3, "z")],
+        "k string, ts bigint, seq bigint, v string",
+    )
+    got = keyed_state.list_ttl(rows, ["k"], "ts", "seq", "v", 1000)
+    assert rows_of(got, "seq", "element_seq") == [(1, 1), (2, 2), (3, 1), (3, 3)]
+
+
+def test_double_with_control_characters(spark):
+    rows = spark.createDataFrame([("1.5\t",), ("1.5\r",), ("\x01 2\x00",), ("\u00a01",)], "t string")
+    assert [r[0] for r in rows.select(parse_double(F.col("t"))).collect()] == [1.5, 1.5, 2.0, None]

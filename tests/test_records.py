@@ -117,18 +117,21 @@ def test_map_batches_keeps_rows(spark):
 
 
 def test_iterate(spark):
-    rows = spark.createDataFrame([(10,), (3,), (0,), (-1,), (100,)], "v BIGINT")
-    for rounds in (1, 3, 50):
-        out = iterate.iterate_until(rows, {"v": F.col("v") - 3}, F.col("v") > 0, rounds)
-        assert sorted(r.v for r in out.collect()) == [-4, -3, -2, -2, 0]
-    with pytest.raises(RuntimeError):
-        iterate.iterate_until(rows, {"v": F.col("v") - 3}, F.col("v") > 0, 2, max_rounds=4)
+    rows = spark.createDataFrame([(10,), (3,), (0,), (-1,), (100,), (300_000,), (None,)], "v BIGINT")
+    out = iterate.iterate_until(rows, lambda p: {"v": p["v"] - 3}, lambda p: p["v"] > 0)
+    assert rows_of(out) == sorted([(-2,), (0,), (-3,), (-4,), (-2,), (0,), (None,)], key=repr)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_custom_partitions(spark):
     rows = lines(spark, "apple", "bee", "cat")
     placed = placement.by_rule(rows, 4, placement.first_letter_rule(F.col("value")))
     assert rows_of(records.with_instance(placed)) == [("apple", 1), ("bee", 2), ("cat", 3)]
+    many = spark.range(900).select(F.concat(F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")), "id").alias("value"))
+    spread = placement.by_rule(many, 4, placement.first_letter_rule(F.col("value")), spread=5)
+    places = records.with_instance(spread).groupBy(F.substring("value", 1, 1), "instance").count().collect()
+    assert len(places) == 15 and all(r["instance"] // 5 == "?abc".index(r[0]) for r in places)
 
 
 def test_placement(spark):

@@ -20,13 +20,7 @@ def skewed(spark):
     return rows.withColumn("user_id", user).cache()
 
 
-SIZES = [
-    {"hot_rows": 100, "chunk_rows": 1},
-    {"hot_rows": 100, "chunk_rows": 7},
-    {"hot_rows": 0, "chunk_rows": 100},
-    {"hot_rows": 100, "chunk_rows": 100_000},
-    {},
-]
+SIZES = [{"chunks": 1}, {"chunks": 2}, {"chunks": 16}, {"chunks": 4096}, {}]
 UP_TO_NOW = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -63,28 +57,33 @@ def test_folds_equal_plain_windows(skewed, sizes):
     assert rows_of(got) == rows_of(expected)
 
 
-def test_hot_keys_are_the_large_ones(skewed):
-    assert [r.user_id for r in scan.hot_keys(skewed, ["user_id"], 200).collect()] == [999]
-    assert scan.hot_keys(skewed, ["user_id"]).isEmpty()
-
-
-def test_only_the_largest_keys_are_listed(skewed, monkeypatch):
-    monkeypatch.setattr(scan, "MAX_HOT_KEYS", 2)
-    assert scan.hot_keys(skewed, ["user_id"], 1).count() == 2
-    split = KeyedScan(skewed, ["user_id"], ["event_id"], hot_rows=1, chunk_rows=5)
-    got = split.add(total=scan.running_sum(F.col("cents"))).result()
-    whole = running.running_sum(skewed, ["user_id"], "event_id", "cents")
-    assert rows_of(got, "event_id", "total") == rows_of(whole, "event_id", "total")
+@pytest.mark.parametrize("sizes", SIZES, ids=str)
+def test_null_keys_and_orders_and_sparse_orders(spark, sizes):
+    """A hot NULL key, orders 1,000,003 apart, and NULL order values."""
+    rows = [(i * 1_000_003, None if i % 3 == 0 else i % 5, i % 4 or None) for i in range(2000)]
+    rows += [(None, None, 7), (None, 1, None)]
+    frame = spark.createDataFrame(rows, "s bigint, k int, v bigint")
+    window = Window.partitionBy("k").orderBy("s")
+    so_far = window.rowsBetween(*UP_TO_NOW)
+    expected = frame.select(
+        "k", "s", F.sum("v").over(so_far), F.first("s").over(so_far), F.last("v", True).over(so_far)
+    )
+    got = KeyedScan(frame, ["k"], ["s"], **sizes).add(
+        total=scan.running_sum(F.col("v")), first=scan.first_seen("s"), known=scan.last_known(F.col("v"))
+    )
+    assert rows_of(got.result(), "k", "s", "total", "first.s", "known") == rows_of(expected)
 
 
-def test_null_keys_stay_together(spark):
-    rows = spark.createDataFrame([(i, None if i % 2 else "a", 1) for i in range(20)], "s int, k string, v int")
-    got = running.running_sum(rows, ["k"], "s", "v", hot_rows=5, chunk_rows=3)
-    assert rows_of(got, "s", "total") == sorted(((i, i // 2 + 1) for i in range(20)), key=repr)
+def test_prefixes_stay_narrow(spark):
+    """The rows before a chunk's prefix are bounded by the chunks, not by the table."""
+    frame = spark.range(50_000).select((F.col("id") * 1_000_003).alias("s"), F.lit(1).alias("k"))
+    groups = KeyedScan(frame, ["k"], ["s"], chunks=64).frame.groupBy(scan.CHUNK).count().collect()
+    assert len(groups) == 64
+    assert max(r["count"] for r in groups) <= 2 * 50_000 / 64
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 3, 64, 100_000])
-def test_whole_table_scans(skewed, chunk_rows):
+@pytest.mark.parametrize("chunks", [1, 4, 64, 4096])
+def test_whole_table_scans(skewed, chunks):
     arrived = shuffled_arrival(skewed)
     order = Window.orderBy("arrival", "event_id")
     size = 3_600_000
@@ -92,19 +91,19 @@ def test_whole_table_scans(skewed, chunk_rows):
     seen = F.max("ts_ms").over(order.rowsBetween(Window.unboundedPreceding, -1))
     expected = arrived.select("event_id", F.coalesce(start + size <= seen, F.lit(False)))
     flagged = lateness.flag_late(
-        arrived, ["arrival", "event_id"], "ts_ms", size, chunk_rows=chunk_rows
+        arrived, ["arrival", "event_id"], "ts_ms", size, chunks=chunks
     )
     assert rows_of(flagged, "event_id", "late") == rows_of(expected)
 
     now = F.max("ts_ms").over(order.rowsBetween(*UP_TO_NOW))
     flushed = keyed_state.flush_at_watermark_boundary(
-        arrived, ["arrival", "event_id"], "ts_ms", size, chunk_rows=chunk_rows
+        arrived, ["arrival", "event_id"], "ts_ms", size, chunks=chunks
     )
     expected = arrived.select("event_id", now - now % size + size)
     assert rows_of(flushed, "event_id", "flush_ms") == rows_of(expected)
 
     counted = windows.count_window_sum(
-        skewed, "event_id", "cents", 7, chunk_rows=chunk_rows
+        skewed, "event_id", "cents", 7, chunks=chunks
     )
     values = [r.cents for r in skewed.orderBy("event_id").collect()]
     full = len(values) // 7
@@ -114,7 +113,7 @@ def test_whole_table_scans(skewed, chunk_rows):
 
 
 def test_operators_agree_with_and_without_splitting(skewed):
-    split = {"hot_rows": 50, "chunk_rows": 9}
+    split = {"chunks": 64}
     facts = skewed.where("event_type = 'purchase'").select("event_id", "user_id", "cents")
     changes = skewed.where("event_type in ('view', 'signup')").select(
         "event_id",
@@ -165,8 +164,6 @@ def test_sliding_windows_equal_builtin(skewed, size, slide):
 @pytest.mark.parametrize("sizes", SIZES, ids=str)
 def test_fold_with_any_function(skewed, sizes):
     texts = skewed.select("event_id", "user_id", F.col("cents").cast("string").alias("t"))
-    if sizes.get("chunk_rows") == 1:
-        sizes = {**sizes, "chunk_rows": 4}
     got = running.running_fold(texts, ["user_id"], "event_id", "t", max, **sizes)
     window = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(*UP_TO_NOW)
     expected = texts.select("event_id", F.max("t").over(window))

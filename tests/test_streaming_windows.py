@@ -217,7 +217,7 @@ def test_feedback_on_a_stream(spark, tmp_path):
     for batch in ([10, 3], [0, -1]):
         write_batch(tmp_path / "in", [{"v": v} for v in batch])
     writer = feedback.IterateEach(
-        str(tmp_path / "out"), {"v": F.col("v") - 3}, F.col("v") > 0, rounds_per_pass=3
+        str(tmp_path / "out"), lambda p: {"v": p["v"] - 3}, lambda p: p["v"] > 0
     )
     run_carried(spark, tmp_path / "in", "v BIGINT", writer, tmp_path / "cp")
     got = spark.read.parquet(str(tmp_path / "out"))

@@ -7,8 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters with a meaning in patterns, and accepted spellings of a number.
-PATTERN_CHARS = ".$|()[]{}^?*+\\"
+# Characters dropped around a number, and accepted spellings of one.
+CONTROLS = "".join(map(chr, range(0x21)))
 INTEGER_PATTERN = r"^[+-]?[0-9]+\z"
 DOUBLE_PATTERN = (
     r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)\z"
@@ -26,7 +26,7 @@ def split_fields(text: Column, separator: str) -> Column:
     return (
         F.when(text == "", F.array(F.lit("")))
         .when(body == "", F.array().cast("array<string>"))
-        .otherwise(F.split(body, re.escape(separator) if separator in PATTERN_CHARS else separator))
+        .otherwise(F.split(body, re.escape(separator)))
     )
 
 
@@ -41,7 +41,8 @@ def parse_integer(text: Column, type_name: str = "int") -> Column:
 
 
 def parse_double(text: Column) -> Column:
-    trimmed = F.trim(text)
+    """Blanks and control characters (up to U+0020) around the number are dropped."""
+    trimmed = F.btrim(text, F.lit(CONTROLS))
     return F.when(trimmed.rlike(DOUBLE_PATTERN), trimmed.try_cast("double"))
 
 

@@ -1,43 +1,42 @@
-"""Bounded feedback loop."""
+"""Feedback loop: every record goes round until it may leave."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable, Iterator
 
-from weir.operators.records import union_all
-from weir.session import ensure_checkpoint_dir
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
+#: New values by column name, and who goes round again, for the records still looping.
+Step = Callable[[pd.DataFrame], dict[str, pd.Series]]
+Again = Callable[[pd.DataFrame], pd.Series]
 
-def iterate_until(
-    rows: DataFrame,
-    step: dict[str, Column],
-    again: Column,
-    rounds_per_pass: int = 20,
-    max_rounds: int = 10_000,
-) -> DataFrame:
-    """Apply ``step`` (new column values) to each record until ``again`` is false.
+
+def iterate_until(rows: DataFrame, step: Step, again: Again) -> DataFrame:
+    """Apply ``step`` to each record until ``again`` is false for it.
 
     Every record takes at least one step, and leaves with the values of the step
-    after which ``again`` was false (or NULL). One pass runs ``rounds_per_pass``
-    steps as projections over the records still looping, then checkpoints, so the
-    plan stays short and lost executors cost one pass. The driver sees only whether
-    records remain. Reaching ``max_rounds`` fails; no record is dropped.
+    after which ``again`` was false (or NULL). Records loop inside their Arrow batch,
+    all of the batch at once, without shuffle, disk or driver, and without a limit on
+    rounds. Both functions see the columns as Arrow-typed pandas series, so integers
+    with NULLs stay integers; they must keep to each record's own values.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    loops = F.coalesce(again, F.lit(False))
-    next_round = {n: F.when(loops, v).otherwise(F.col(n)) for n, v in step.items()}
-    left: list[DataFrame] = []
-    looping, rounds = rows, 0
-    while rounds < max_rounds:
-        count = min(rounds_per_pass, max_rounds - rounds)
-        current = looping.withColumns(step)
-        for _ in range(count - 1):
-            current = current.withColumns(next_round)
-        rounds += count
-        current = current.checkpoint()
-        left.append(current.where(~loops))
-        looping = current.where(loops)
-        if looping.isEmpty():
-            return union_all(*left)
-    raise RuntimeError(f"records still looping after {max_rounds} rounds")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            looping = batch.to_pandas(types_mapper=pd.ArrowDtype)
+            left = []
+            while len(looping):
+                looping = looping.assign(**step(looping))
+                back = again(looping).fillna(False).to_numpy(dtype=bool)
+                if not back.all():
+                    left.append(looping[~back])
+                    looping = looping[back]
+            if left:
+                order = np.argsort(np.concatenate([part.index.to_numpy() for part in left]))
+                done = pd.concat(left).iloc[order]
+                yield pa.RecordBatch.from_pandas(done, schema=batch.schema, preserve_index=False)
+
+    return rows.mapInArrow(run, rows.schema)

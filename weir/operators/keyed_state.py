@@ -34,18 +34,24 @@ def value_total_ttl(
     """Running total that restarts when a key was idle for ``ttl`` or longer.
 
     The total since the last restart is the running total minus the running total
-    just before that restart. Both scans work on one shuffle.
+    just before that restart. NULL values add nothing; the total is NULL while there
+    is no value since the restart. Both scans work on one shuffle.
     """
     idle = F.col(ts) - F.col("_before_ts")
     restarts = F.col("_before_ts").isNull() | (idle >= duration_ms(ttl))
     return (
         KeyedScan(rows, keys, [seq], **sizes)
-        .add(_before_ts=scan.previous(F.col(ts)), _total=scan.running_sum(F.col(value)))
-        .map(_base=F.when(restarts, F.col("_total") - F.col(value)))
-        .add(_since=scan.last_known(F.col("_base")))
-        .map(**{out: F.col("_total") - F.col("_since")})
+        .add(
+            _before_ts=scan.previous(F.col(ts)),
+            _total=scan.running_sum(F.col(value)),
+            _valued=scan.running_count_of(F.col(value)),
+        )
+        .map(_base=F.when(restarts, F.coalesce("_total", F.lit(0)) - F.coalesce(value, F.lit(0))))
+        .map(_counted=F.when(restarts, F.col("_valued") - F.col(value).isNotNull().cast("int")))
+        .add(_since=scan.last_known(F.col("_base")), _counted_since=scan.last_known(F.col("_counted")))
+        .map(**{out: F.when(F.col("_valued") > F.col("_counted_since"), F.col("_total") - F.col("_since"))})
         .result()
-        .drop("_before_ts", "_total", "_base", "_since")
+        .drop("_before_ts", "_total", "_valued", "_base", "_counted", "_since", "_counted_since")
     )
 
 
@@ -59,7 +65,9 @@ def list_ttl(
     pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """For every record, one row per element still live at its arrival: elements
-    of the key that came no later and are younger than ``ttl``, itself included.
+    of the key that came no later and whose age by ``ts`` is at least 0 and below
+    ``ttl``, itself included. (Where ``ts`` falls along ``seq``, an element of a later
+    time is not yet live.)
 
     Live elements sit in the record's own ttl-wide time slot or the one before,
     so this is an equality join on (key, slot): no key is gathered in one place,
@@ -76,9 +84,8 @@ def list_ttl(
         F.col(element),
         F.explode(F.array(slot, slot + 1)).alias("_slot"),
     )
-    live = (F.col("element_seq") <= F.col(seq)) & (
-        F.col(ts) - F.col("_element_ts") < width
-    )
+    age = F.col(ts) - F.col("_element_ts")
+    live = (F.col("element_seq") <= F.col(seq)) & (age >= 0) & (age < width)
     on = [*keys, "_slot"]
     return (
         divided_join(records, elements, on, seq, "element_seq", "inner", pairs_per_task)
@@ -108,12 +115,12 @@ def flush_at_watermark_boundary(
     ts: str,
     size: str | int,
     out: str = "flush_ms",
-    chunk_rows: int = scan.CHUNK_ROWS,
+    chunks: int = scan.CHUNKS,
 ) -> DataFrame:
     """As ``flush_at_boundary``, counted from the largest event time seen so far
     in arrival order, the record itself included."""
     return (
-        KeyedScan(rows, [], order, chunk_rows=chunk_rows)
+        KeyedScan(rows, [], order, chunks=chunks)
         .add(_seen=scan.running_max(F.col(ts)))
         .map(**{out: next_boundary_ms(F.col("_seen"), duration_ms(size))})
         .result()

@@ -24,13 +24,13 @@ def flag_late(
     size: str | int,
     delay: str | int = 0,
     seen_before: int | None = None,
-    chunk_rows: int = scan.CHUNK_ROWS,
+    chunks: int = scan.CHUNKS,
 ) -> DataFrame:
     """Add the tumbling window bounds, ``late`` and ``place``, the 1-based place in
     arrival order. ``seen_before`` is the largest event time of earlier input, when
     the rows continue a stream."""
     windowed = with_tumbling_window(rows, ts, size)
-    scanned = KeyedScan(windowed, [], order, chunk_rows=chunk_rows).add(
+    scanned = KeyedScan(windowed, [], order, chunks=chunks).add(
         _seen=scan.max_before(F.col(ts)), place=scan.running_count()
     ).result()
     seen = F.col("_seen")

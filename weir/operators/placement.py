@@ -24,9 +24,13 @@ def shuffle_random(rows: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return rows.repartition(n, F.rand(seed))
 
 
-def by_rule(rows: DataFrame, n: int, partition: Column) -> DataFrame:
-    """Each record goes to the partition its expression names."""
-    return rows.repartitionById(n, partition)
+def by_rule(rows: DataFrame, n: int, partition: Column, spread: int = 1) -> DataFrame:
+    """Each record goes to the partition its expression names. With ``spread`` > 1
+    every named place has that many partitions in a row, which its records share."""
+    if spread == 1:
+        return rows.repartitionById(n, partition)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int")
+    return rows.repartitionById(n * spread, partition * spread + salt)
 
 
 def first_letter_rule(text: Column) -> Column:

@@ -58,22 +58,21 @@ def running_fold(
 ) -> DataFrame:
     """Running fold per key with any associative Python function of two values.
 
-    Chunks of hot keys are folded on their own first; the folds of a key's earlier
-    chunks then start each chunk. Python sees the sorted rows of a partition as a
-    stream of Arrow batches and holds one value between rows.
+    Chunks are folded on their own first; the folds of a key's earlier chunks then
+    start each chunk. Python sees the sorted rows of a partition as a stream of Arrow
+    batches and holds one value between rows.
     """
-    prepared = KeyedScan(rows, keys, [seq], **sizes)
-    chunked, chunk = prepared.frame, scan.CHUNK
+    chunked, group = KeyedScan(rows, keys, [seq], **sizes).frame, [scan.KEY, scan.CHUNK]
     parts = (
-        _fold_sorted(chunked.where(F.col(chunk).isNotNull()), [*keys, chunk], seq, value, fn)
-        .groupBy(*keys, chunk)
-        .agg(F.max_by(_FOLDED, seq).alias("_part"))
+        _fold_sorted(chunked, group, seq, value, fn)
+        .groupBy(*group)
+        .agg(F.max_by(_FOLDED, F.struct(seq)).alias("_part"))
     )
-    in_key = Window.partitionBy(*keys).orderBy(chunk)
-    carries = _fold_sorted(parts, keys, chunk, "_part", fn).select(
-        *keys, chunk, F.lag(_FOLDED).over(in_key).alias(_CARRY)
+    in_key = Window.partitionBy(scan.KEY).orderBy(scan.CHUNK)
+    carries = _fold_sorted(parts, [scan.KEY], scan.CHUNK, "_part", fn).select(
+        *group, F.lag(_FOLDED).over(in_key).alias(_CARRY)
     )
-    folded = _fold_sorted(chunked, [*keys, chunk], seq, value, fn, carries)
+    folded = _fold_sorted(chunked, group, seq, value, fn, carries)
     return folded.select(*rows.columns, F.col(_FOLDED).alias(out))
 
 
@@ -149,7 +148,7 @@ def running_views_and_users(
         {"_pv": F.lit(0), "_uv": F.lit(1)}
     )
     merged = base.unionByName(firsts, allowMissingColumns=True)
-    scanned = KeyedScan(merged, keys, [seq, "_pv"], count_rows=rows, **sizes).add(
+    scanned = KeyedScan(merged, keys, [seq, "_pv"], order_rows=rows, **sizes).add(
         pv=scan.running_sum(F.col("_pv")), uv=scan.running_sum(F.col("_uv"))
     )
     return scanned.result().where(F.col("_pv") == 1).drop("_pv", "_uv")
@@ -168,7 +167,7 @@ def running_two_level(
     (outer, inner) pair (``inner_total``)."""
     by_outer = running_sum(rows, [outer], seq, value, "outer_total", **sizes)
     by_pair = KeyedScan(
-        by_outer, [outer, inner], [seq], count_rows=rows, summary_rows=rows, **sizes
+        by_outer, [outer, inner], [seq], order_rows=rows, summary_rows=rows, **sizes
     )
     return by_pair.add(inner_total=scan.running_sum(F.col(value))).result()
 
@@ -179,10 +178,15 @@ def retract_changelog(
     """Change log of a grouped sum: every row retracts the key's old total
     (``is_add`` false; absent on the key's first row) and adds the new one."""
     scanned = KeyedScan(rows, keys, [seq], **sizes).add(
-        _new=scan.running_sum(F.col(value)), _nth=scan.running_count()
+        _new=scan.running_sum(F.col(value)), _nth=scan.running_count(),
+        _valued=scan.running_count_of(F.col(value)),
     ).result()
     added = _change(True, F.col("_new"))
-    retracted = _change(False, F.col("_new") - F.col(value))
+    # a NULL adds nothing; the total before the first value is NULL
+    before = F.when(
+        F.col("_valued") > F.col(value).isNotNull().cast("int"), F.col("_new") - F.coalesce(value, F.lit(0))
+    )
+    retracted = _change(False, before)
     changes = F.when(F.col("_nth") == 1, F.array(added)).otherwise(F.array(retracted, added))
     return scanned.select(*keys, seq, F.explode(changes).alias("_change")).select(
         *keys, seq, F.col("_change.is_add").alias("is_add"), F.col("_change.total").alias(out)

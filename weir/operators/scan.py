@@ -1,30 +1,22 @@
-"""Ordered scans (running totals, lags, carried values) that split hot keys.
-
-A window function puts every row of a key into one task. That is the cheapest
-plan while keys are small, and hopeless when one key holds a third of the table.
-``KeyedScan`` therefore treats the two cases apart:
-
-* keys above a row threshold are cut into chunks of their order column, each
-  chunk is scanned on its own, and the state entering a chunk comes from a
-  prefix over one summary row per chunk;
-* all other keys stay whole and need no second pass.
-
-Bounds that hold for any data, with N rows and an integer order column:
-
-* hot keys are the ``MAX_HOT_KEYS`` largest with more than ``hot_rows`` rows, so
-  their list may be broadcast;
-* any other key holds at most ``max(hot_rows, N / MAX_HOT_KEYS)`` rows, since that
-  many keys are at least as large;
-* a chunk covers ``chunk_rows`` consecutive order values, so it holds at most that
-  many rows of a key (times the rows sharing one order value);
-* the prefix over one key's chunks, or over the whole table's when there is no key,
-  sees at most ``N / chunk_rows`` rows when order values are dense: four million
-  for 10^12 rows.
-
-Rows are shuffled once, by (keys, chunk); the window and the join with the chunk
-prefixes use that same partitioning. The cost of the guard is one column-pruned
-count per key, which is combined map-side. Without hot keys the prefix branch is
-empty and adaptive execution drops it.
+"""Ordered scans (running totals, lags, carried values) that split every key.
+
+A window function puts every row of a key into one task, which is hopeless when one
+key (or NULL) holds a third of the table. ``KeyedScan`` cuts the order column at its
+own quantiles into ``chunks`` ranges and works on (key, chunk):
+
+1. one shuffle of the rows by (key, chunk), and a window in each of these groups;
+2. one summary row per (key, chunk), combined map-side, and a prefix over the
+   summaries of each key gives the state that enters a chunk;
+3. a join on the same partitioning adds it to the rows.
+
+There is one path for all keys and sizes: nothing is listed, counted or cut off. The
+prefix sees at most ``chunks`` rows per key (or in all, when there is no key), however
+the order values lie; a group holds about 1 / ``chunks`` of the table at most, more only
+where that many rows share one order value. Keys are compared as a struct, so NULL is
+a key like any other; NULL order values come first, as in a window.
+
+The cuts take one aggregate over the order column alone; they reach the tasks as a
+scalar, and their accuracy affects balance, not results.
 """
 
 from __future__ import annotations
@@ -35,11 +27,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
-HOT_ROWS = 1_000_000
-CHUNK_ROWS = 250_000
+CHUNKS = 1024
 
 CHUNK = "_chunk"
+KEY = "_scan_key"
 
 
 @dataclass(frozen=True)
@@ -80,6 +71,11 @@ def running_count() -> Fold:
     return running_sum(F.lit(1).cast("bigint"))
 
 
+def running_count_of(value: Column) -> Fold:
+    """Number of non-NULL values so far."""
+    return running_sum(value.isNotNull().cast("bigint"))
+
+
 def running_max(value: Column) -> Fold:
     return Fold(
         local=lambda w: F.max(value).over(_through_current(w)),
@@ -143,10 +139,10 @@ class KeyedScan:
     """Rows prepared for scans per key, in the order given.
 
     ``order[0]`` must be an integer column; further order columns break its ties.
-    Give ``keys=[]`` for one scan over the whole table, which is always chunked.
+    Give ``keys=[]`` for one scan over the whole table. ``chunks`` is a power of two.
 
     ``rows`` may be costly to compute. The optional frames spare doing so more than
-    once: ``count_rows`` stands in for it when keys are counted, ``summary_rows``
+    once: ``order_rows`` stands in for it when the order is cut, ``summary_rows``
     (the same rows, with the columns the first folds use) when chunks are summarised.
     """
 
@@ -156,54 +152,44 @@ class KeyedScan:
         keys: list[str],
         order: list[str],
         *,
-        hot_rows: int = HOT_ROWS,
-        chunk_rows: int = CHUNK_ROWS,
-        count_rows: DataFrame | None = None,
+        chunks: int = CHUNKS,
+        order_rows: DataFrame | None = None,
         summary_rows: DataFrame | None = None,
     ):
+        if chunks & (chunks - 1) or chunks < 1:
+            raise ValueError("chunks must be a power of two")
         self.keys = keys
         self.order = order
-        seq = F.col(order[0]).cast("bigint")
-        chunk = seq - F.pmod(seq, F.lit(chunk_rows))
-        hot = None
-        if keys:
-            counted = rows if count_rows is None else count_rows
-            hot = F.broadcast(
-                hot_keys(counted, keys, hot_rows).withColumn("_hot", F.lit(1).cast("bigint"))
-            )
+        self.columns = rows.columns
+        cuts = order_cuts(rows if order_rows is None else order_rows, order[0], chunks)
 
         def chunked(frame: DataFrame) -> DataFrame:
-            if hot is None:
-                return frame.withColumn(CHUNK, chunk)
-            marked = frame.join(hot, keys, "left")
-            return marked.withColumn(CHUNK, chunk * F.col("_hot")).drop("_hot")
+            key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+            return _with_chunk(frame.withColumn(KEY, key), F.col(order[0]), cuts, chunks)
 
         self.frame = chunked(rows)
         self.summarised = self.frame if summary_rows is None else chunked(summary_rows)
 
     def add(self, **folds: Fold) -> "KeyedScan":
         """Append one column per fold. Later calls reuse the same shuffle."""
-        keys, order = self.keys, [F.col(name) for name in self.order]
-        rows = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+        group, order = [KEY, CHUNK], [F.col(name) for name in self.order]
+        rows = Window.partitionBy(*group).orderBy(*order)
         local = self.frame.select(
             "*", *[fold.local(rows).alias(f"_local_{name}") for name, fold in folds.items()]
         )
-        position = order[0] if len(order) == 1 else F.struct(*order)
-        summaries = (
-            self.summarised.where(F.col(CHUNK).isNotNull())
-            .groupBy(*keys, CHUNK)
-            .agg(*[fold.summary(position).alias(f"_part_{name}") for name, fold in folds.items()])
+        position = F.struct(*order)  # never NULL itself, so NULL order values count
+        summaries = self.summarised.groupBy(*group).agg(
+            *[fold.summary(position).alias(f"_part_{name}") for name, fold in folds.items()]
         )
-        earlier = _before_current(Window.partitionBy(*keys).orderBy(CHUNK))
+        earlier = _before_current(Window.partitionBy(KEY).orderBy(CHUNK))
         carries = summaries.select(
-            *keys,
-            CHUNK,
+            *group,
             *[
                 fold.carry(F.col(f"_part_{name}"), earlier).alias(f"_carry_{name}")
                 for name, fold in folds.items()
             ],
         )
-        merged = local.join(carries, [*keys, CHUNK], "left").select(
+        merged = local.join(carries, group, "left").select(
             *self.frame.columns,
             *[
                 fold.merge(F.col(f"_carry_{name}"), F.col(f"_local_{name}")).alias(name)
@@ -217,19 +203,32 @@ class KeyedScan:
         return self._with(self.frame.withColumns(columns))
 
     def result(self) -> DataFrame:
-        return self.frame.drop(CHUNK)
+        return self.frame.drop(CHUNK, KEY)
 
     def _with(self, frame: DataFrame) -> "KeyedScan":
         other = object.__new__(KeyedScan)
-        other.keys, other.order = self.keys, self.order
+        other.keys, other.order, other.columns = self.keys, self.order, self.columns
         other.frame = other.summarised = frame
         return other
 
 
-def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys too large for one task: the ``MAX_HOT_KEYS`` largest among those with
-    more than ``hot_rows`` rows. NULL is no key to look up, so rows with a NULL key
-    are never split."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.where(F.col("_n") > hot_rows)
-    return large.orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS).select(*keys)
+def order_cuts(rows: DataFrame, order: str, chunks: int) -> Column:
+    """``chunks`` - 1 quantiles of the order column, as a scalar array."""
+    if chunks == 1:
+        return F.array().cast("array<bigint>")
+    shares = [i / chunks for i in range(1, chunks)]
+    seq = F.col(order).cast("bigint")
+    return rows.agg(F.percentile_approx(seq, shares).alias("cuts")).scalar()
+
+
+def _with_chunk(rows: DataFrame, order: Column, cuts: Column, chunks: int) -> DataFrame:
+    """Number of cuts below the order value, by halving; NULL is in chunk 0."""
+    names = []
+    found, step, kept = F.lit(0), chunks // 2, rows.columns
+    while step:
+        name = f"_chunk_{step}"
+        names.append(name)
+        above = order > F.get(cuts, found + (step - 1))
+        rows = rows.withColumn(name, found + F.when(above, F.lit(step)).otherwise(0))
+        found, step = F.col(name), step // 2
+    return rows.select(*kept, found.alias(CHUNK))

@@ -141,11 +141,11 @@ def count_window_sum(
     value: str,
     size: int = 5,
     out: str = "total",
-    chunk_rows: int = scan.CHUNK_ROWS,
+    chunks: int = scan.CHUNKS,
 ) -> DataFrame:
     """Sum of every ``size`` consecutive records in arrival order, over the whole
     input; an incomplete last window is not emitted."""
-    indexed = KeyedScan(rows, [], [seq], chunk_rows=chunk_rows).add(_nth=scan.running_count())
+    indexed = KeyedScan(rows, [], [seq], chunks=chunks).add(_nth=scan.running_count())
     return (
         indexed.result()
         .groupBy(F.floor((F.col("_nth") - 1) / F.lit(size)).alias("window_index"))

@@ -31,7 +31,7 @@ from weir.plans.tables import as_lines, events, events_of, shuffled_arrival, tab
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-PLACES = 4
+LETTER_PLACES = 4  # places 1 to 3 of the first-letter rule, and an unused 0
 LINE = T.StructType(
     [
         T.StructField("ts", T.LongType()),
@@ -410,8 +410,8 @@ def window_all_sum(spark, sf_dir):
 
 @query
 def count_window_sum(spark, sf_dir):
-    rows = events_of(spark, sf_dir, "purchase").select("event_id", "cents")
-    return windows.count_window_sum(rows, "event_id", "cents", 5)
+    rows = events(spark, sf_dir).select("event_id", "cents")
+    return windows.count_window_sum(rows, "event_id", "cents", 7)
 
 
 @query
@@ -491,32 +491,59 @@ def timer_flush_event(spark, sf_dir):
 @query
 def iterate_feedback(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", F.col("k").cast("bigint").alias("v"))
-    return iterate.iterate_until(rows, {"v": F.col("v") - 3}, F.col("v") > 0)
+    return iterate.iterate_until(rows, lambda p: {"v": p["v"] - 3}, lambda p: p["v"] > 0)
 
 
 def _placed(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", "event_type")
 
 
+def _places(spark):
+    """As many as the session has shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query
 def partition_by_key(spark, sf_dir):
-    return placement.by_key(_placed(spark, sf_dir), PLACES, "event_type", spread=PLACES)
+    """Rows per key, and the number of places they lie in: one."""
+    placed = placement.by_key(_placed(spark, sf_dir), _places(spark), "event_type")
+    return (
+        records.with_instance(placed)
+        .groupBy("event_type")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("instance").alias("places"))
+    )
+
+
+def _spread(spark, placed):
+    """Rows in all, whether every place has some, and whether none has twice the mean
+    and 20 more."""
+    sizes = records.with_instance(placed).groupBy("instance").agg(F.count(F.lit(1)).alias("n"))
+    places = _places(spark)
+    fair = F.max("n") <= 2 * F.sum("n") / places + 20
+    return sizes.agg(
+        F.sum("n").alias("n"),
+        (F.count(F.lit(1)) == F.least(F.lit(places), F.sum("n"))).alias("all_places"),
+        fair.alias("even"),
+    )
 
 
 @query
 def rebalance(spark, sf_dir):
-    return placement.rebalance(_placed(spark, sf_dir), PLACES)
+    return _spread(spark, placement.rebalance(_placed(spark, sf_dir), _places(spark)))
 
 
 @query
 def shuffle_random(spark, sf_dir):
-    return placement.shuffle_random(_placed(spark, sf_dir), PLACES)
+    return _spread(spark, placement.shuffle_random(_placed(spark, sf_dir), _places(spark)))
 
 
 @query
 def partition_custom(spark, sf_dir):
+    """Every place of the rule has its share of the session's partitions."""
     letters = records.map_columns(
         _placed(spark, sf_dir), word=F.translate("event_type", "cv", "ab")
     )
-    placed = placement.by_rule(letters, PLACES, placement.first_letter_rule(F.col("word")))
-    return records.with_instance(placed)
+    spread = max(1, _places(spark) // (LETTER_PLACES - 1))
+    rule = placement.first_letter_rule(F.col("word"))
+    placed = records.with_instance(placement.by_rule(letters, LETTER_PLACES, rule, spread))
+    return placed.withColumn("instance", F.floor(F.col("instance") / spread).cast("int"))

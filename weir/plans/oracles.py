@@ -194,10 +194,10 @@ FROM copies GROUP BY ALL""",
 FROM ranked WHERE rank <= 3""",
     "count_window_sum": _with(
         """nth AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i
-  FROM ev WHERE event_type = 'purchase')"""
+  FROM ev)"""
     )
-    + """SELECT i // 5 AS window_index, CAST(sum(cents) AS BIGINT) AS total
-FROM nth GROUP BY i // 5 HAVING count(*) = 5""",
+    + """SELECT i // 7 AS window_index, CAST(sum(cents) AS BIGINT) AS total
+FROM nth GROUP BY i // 7 HAVING count(*) = 7""",
     "window_cumulative": _with(
         f"""sums AS (SELECT {_floor('ts_ms', HOUR)} AS window_start, event_type, sum(cents) AS s
   FROM ev GROUP BY ALL)"""
@@ -222,7 +222,7 @@ FROM flagged WHERE NOT late GROUP BY window_start, window_end, event_type""",
     "list_state_ttl": _with()
     + f"""SELECT a.event_id, a.user_id, b.event_id AS element_seq, b.event_type
 FROM ev a JOIN ev b ON a.user_id = b.user_id AND b.event_id <= a.event_id
-  AND a.ts_ms - b.ts_ms < {12 * HOUR}""",
+  AND a.ts_ms - b.ts_ms >= 0 AND a.ts_ms - b.ts_ms < {12 * HOUR}""",
     "minute_bucket_sum": _with()
     + f"""SELECT event_id, user_id, strftime(make_timestamp(ts_ms * 1000), '%Y%m%d-%H%M') AS minute,
   CAST(sum(cents) OVER (PARTITION BY user_id, ts_ms // {MINUTE} ORDER BY event_id
@@ -239,9 +239,9 @@ FROM seen""",
     "iterate_feedback": _with()
     + """SELECT event_id, CAST(CASE WHEN k > 0 THEN k - 3 * ceil(k / 3.0) ELSE k - 3 END AS BIGINT) AS v
 FROM ev""",
-    "partition_by_key": _placed(),
-    "rebalance": _placed(),
-    "shuffle_random": _placed(),
+    "partition_by_key": "SELECT event_type, count(*) AS n, 1 AS places FROM events GROUP BY event_type",
+    "rebalance": "SELECT count(*) AS n, true AS all_places, true AS even FROM events",
+    "shuffle_random": "SELECT count(*) AS n, true AS all_places, true AS even FROM events",
     "partition_custom": _placed(
         """, translate(event_type, 'cv', 'ab') AS word,
   CASE WHEN starts_with(event_type, 'c') THEN 1 WHEN starts_with(event_type, 'v') THEN 2

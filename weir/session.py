@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = (
@@ -24,6 +22,7 @@ def configure_streaming(spark: SparkSession) -> SparkSession:
     checkpoint, so commit time follows the batch and not the size of the state.
     """
     configure(spark)
+    _ = spark.streams  # starts the coordinator that batch runs of processors need, too
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     spark.conf.set(
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
@@ -32,19 +31,12 @@ def configure_streaming(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Directory for ``DataFrame.checkpoint``.
-
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-    session, where every task sees the same disk, may fall back to a temporary one.
-    """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``. Where it
+    is unset, a local session, whose tasks all see one disk, gets a folder beside its
+    warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="weir-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_weir_checkpoint"
