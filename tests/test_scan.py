@@ -197,9 +197,13 @@ def test_heavy_join_groups_are_divided(skewed, how, pairs_per_task):
     assert rows_of(divided) == rows_of(plain)
 
 
-def test_only_the_heaviest_join_groups_are_divided(skewed, monkeypatch):
-    monkeypatch.setattr(joins, "MAX_HEAVY_GROUPS", 3)
-    test_heavy_join_groups_are_divided(skewed, "left", 2)
+def test_copies_grow_with_the_root_of_the_pairs(spark):
+    side = spark.range(4000).select(F.col("id").alias("l"), F.lit(1).alias("k"))
+    other = side.withColumnRenamed("l", "r")
+    grids = joins._grids(side, other, ["k"], 10_000)
+    copied = joins._in_cells(side.join(grids, "k", "left"), ["k"], side.columns, "l", True)
+    assert copied.count() == 4000 * 40
+    assert joins.divided_join(side, other, ["k"], "l", "r", "inner", 10_000).count() == 4000 * 4000
 
 
 def test_heavy_lists_are_divided(skewed):

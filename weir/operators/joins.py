@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.operators import scan
@@ -12,7 +12,6 @@ from weir.operators.windows import END, START, with_tumbling_window
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
 PAIRS_PER_TASK = 50_000_000
-MAX_HEAVY_GROUPS = 10_000
 
 
 def window_join(
@@ -34,8 +33,9 @@ def window_join(
     adaptive execution splits partitions that are large in bytes. A (key, window)
     may also be small in bytes and huge in pairs. With unique columns ``left_id``
     and ``right_id`` given, groups of more than ``pairs_per_task`` pairs are found by
-    counting; in those, the larger side is divided over several tasks and the
-    smaller one copied to each, so every pair still meets once.
+    counting and become a grid: the left side is divided over its rows, the right one
+    over its columns, and every pair meets in one cell. With equal sides a row is
+    copied about as often as the root of the number of cells.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -58,51 +58,54 @@ def divided_join(
 ) -> DataFrame:
     """Inner or left equality join that divides the groups with most pairs, see
     ``window_join``. Without such groups the dividing branch is dropped at run time."""
-    heavy = F.broadcast(_heavy_groups(left, right, on, pairs_per_task))
-    marked_left, marked_right = left.join(heavy, on, "left"), right.join(heavy, on, "left")
-    light = F.col("_splits").isNull()
+    grids = _grids(left, right, on, pairs_per_task)
+    marked_left, marked_right = left.join(grids, on, "left"), right.join(grids, on, "left")
+    if how == "inner":
+        # one path: groups without a grid are a single cell
+        both = _in_cells(marked_left, on, left.columns, left_id, True).join(
+            _in_cells(marked_right, on, right.columns, right_id, False), [*on, "_row", "_column"]
+        )
+        return both.drop("_row", "_column")
+    light = F.col("_rows").isNull()
     pairs = marked_left.where(light).select(left.columns).join(
         marked_right.where(light).select(right.columns), on, how
     )
-    divided = F.col("_divide_left")
-    heavy_left = _in_cells(marked_left.where(~light), on, left.columns, left_id, divided)
-    heavy_right = _in_cells(marked_right.where(~light), on, right.columns, right_id, ~divided)
-    heavy_pairs = heavy_left.join(heavy_right, [*on, "_cell"])
-    return pairs.unionByName(heavy_pairs.drop("_cell"))
+    heavy_left = _in_cells(marked_left.where(~light), on, left.columns, left_id, True)
+    heavy_right = _in_cells(marked_right.where(~light), on, right.columns, right_id, False)
+    heavy_pairs = heavy_left.join(heavy_right, [*on, "_row", "_column"])
+    return pairs.unionByName(heavy_pairs.drop("_row", "_column"))
 
 
-def _heavy_groups(
-    left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: int
-) -> DataFrame:
-    """The groups with the most pairs, at most ``MAX_HEAVY_GROUPS``."""
+def _grids(left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: int) -> DataFrame:
+    """(on, _rows, _columns) of the groups with more pairs than a task should hold. The
+    sides share out the cells so that the rows copied in all are fewest."""
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_left")).join(
         right.groupBy(*on).agg(F.count(F.lit(1)).alias("_right")), on
     )
     pairs = F.col("_left").cast("double") * F.col("_right")
-    largest = (
-        counts.withColumn("_pairs", pairs)
-        .where(F.col("_pairs") > pairs_per_task)
-        .orderBy(F.desc("_pairs"), *on)
-        .limit(MAX_HEAVY_GROUPS)
-    )
-    return largest.select(
-        *on,
-        F.ceil(F.col("_pairs") / F.lit(pairs_per_task)).alias("_splits"),
-        (F.col("_left") >= F.col("_right")).alias("_divide_left"),
+    cells = F.ceil(pairs / F.lit(pairs_per_task))
+    shape = F.ceil(F.sqrt(cells * F.col("_left") / F.col("_right")))
+    return (
+        counts.where(pairs > pairs_per_task)
+        .select(*on, cells.alias("_cells"), F.least(shape, cells).alias("_rows"))
+        .select(*on, "_rows", F.ceil(F.col("_cells") / F.col("_rows")).alias("_columns"))
     )
 
 
 def _in_cells(
-    rows: DataFrame, on: list[str], columns: list[str], row_id: str, divided: Column
+    rows: DataFrame, on: list[str], columns: list[str], row_id: str, is_left: bool
 ) -> DataFrame:
-    splits = F.col("_splits")
-    own = F.array(F.pmod(F.xxhash64(row_id), splits))
-    every = F.sequence(F.lit(0).cast("bigint"), splits - 1)
-    celled = rows.select(*columns, F.explode(F.when(divided, own).otherwise(every)).alias("_cell"))
+    """A left row has a row of the grid by its id and goes to all columns, a right row
+    the other way round."""
+    own, across = ("_rows", "_columns") if is_left else ("_columns", "_rows")
+    mine = F.pmod(F.xxhash64(row_id), F.coalesce(own, F.lit(1).cast("bigint")))
+    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce(across, F.lit(1).cast("bigint")) - 1)
+    names = ("_row", "_column") if is_left else ("_column", "_row")
+    celled = rows.select(*columns, mine.alias(names[0]), F.explode(every).alias(names[1]))
     # a fixed number of partitions: adaptive execution would merge cells that are
     # small in bytes, and with them their pairs, into one task
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return celled.repartition(tasks, *on, "_cell")
+    return celled.repartition(tasks, *on, "_row", "_column")
 
 
 def versioned_lookup(
