@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from conftest import rows_of
 from weir.functions import text as tx
 from weir.functions import times
-from weir.operators import iterate, joins, placement, records
+from weir.operators import custom, iterate, joins, placement, records
 
 KEY_INT = T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType())])
 
@@ -208,3 +208,35 @@ def test_random_texts_against_plain_python(spark):
             for word in split(line, " "):
                 expected[word] = expected.get(word, 0) + 1
     assert {r.word: r.cnt for r in counted.collect()} == expected
+
+
+def test_route_by_rules(spark):
+    rows = spark.createDataFrame([(1,), (4,), (9,), (None,)], "v int")
+    rules = {"even": F.col("v") % 2 == 0, "big": F.col("v") > 3}
+    got = custom.route_by_rules(rows, rules, "rest")
+    assert rows_of(got) == sorted([(1, "rest"), (4, "even"), (4, "big"), (9, "big"), (None, "rest")], key=repr)
+    assert rows_of(custom.route_by_rules(rows, rules)) == sorted([(4, "even"), (4, "big"), (9, "big")], key=repr)
+
+
+def test_window_reduce_with_any_function(spark):
+    rows = [(i * 10, "a" if i % 3 else None, i if i % 5 else None) for i in range(500)]
+    frame = spark.createDataFrame(rows, "ts bigint, k string, v bigint").repartition(7)
+    got = custom.window_reduce(frame, ["k"], "ts", "v", 1000, max)
+    expected = frame.where("v IS NOT NULL").groupBy((F.floor(F.col("ts") / 1000) * 1000).alias("s"), "k").agg(F.max("v"))
+    assert rows_of(got, "window_start", "k", "reduced") == rows_of(expected)
+
+
+def test_flat_map_and_cogroup_edges(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "id int, t string")
+    got = custom.flat_map(rows, "t", lambda t: t.split() if t else None, "w", "string")
+    assert rows_of(got, "id", "w") == [(1, "a"), (1, "b")]
+    left = spark.createDataFrame([(0, "x"), (5, "y")], "ts bigint, k string")
+    right = spark.createDataFrame([(1, "x"), (2, "x"), (3, "z")], "ts bigint, k string")
+
+    def sizes(key, a, b):
+        import pandas as pd
+
+        return pd.DataFrame([(key[2], len(a), len(b))], columns=["k", "a", "b"])
+
+    both = custom.window_cogroup(left, right, ["k"], 10, "ts", "ts", sizes, "k string, a int, b int")
+    assert rows_of(both) == [("x", 1, 2), ("y", 1, 0), ("z", 0, 1)]

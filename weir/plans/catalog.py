@@ -6,8 +6,10 @@ are hours where a live stream would use seconds.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from weir.functions import text as tx
 from weir.functions import times
 from weir.operators import (
+    custom,
     iterate,
     joins,
     keyed_state,
@@ -263,8 +266,12 @@ def running_sum(spark, sf_dir):
 
 @query
 def running_reduce(spark, sf_dir):
+    """A reducer that Spark has no running form of: bits seen in any value so far."""
     rows = _amounts(spark, sf_dir).drop("user_id")
-    return running.running_reduce(rows, ["event_type"], "event_id", "cents").drop("cents")
+    folded = running.running_fold(
+        rows, ["event_type"], "event_id", "cents", operator.or_, "reduced"
+    )
+    return folded.drop("cents")
 
 
 @query
@@ -403,6 +410,60 @@ def window_top3(spark, sf_dir):
     return top.select("window_start", "event_type", "event_id", "cents", "rank")
 
 
+@query
+def window_reduce_fn(spark, sf_dir):
+    rows = _timed(spark, sf_dir)
+    return custom.window_reduce(rows, ["event_type"], "ts_ms", "cents", "1 hour", operator.or_)
+
+
+@query
+def window_apply_fn(spark, sf_dir):
+    """Of each hour and type: records, and the change from its first to its last value."""
+
+    def change(part: pd.DataFrame) -> pd.DataFrame:
+        by_arrival = part.sort_values("event_id")
+        head, tail = by_arrival.iloc[0], by_arrival.iloc[-1]
+        row = (head["window_start"], head["event_type"], len(part), tail["cents"] - head["cents"])
+        return pd.DataFrame([row], columns=["window_start", "event_type", "n", "change"])
+
+    schema = "window_start bigint, event_type string, n bigint, change bigint"
+    return custom.window_apply(_timed(spark, sf_dir), ["event_type"], "ts_ms", "1 hour", change, schema)
+
+
+@query
+def cogroup_fn(spark, sf_dir):
+    """Per user and day: purchases, clicks, and purchases after the first click."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts_ms")
+    buys, clicks = (
+        rows.where(F.col("event_type") == kind).drop("event_type") for kind in ("purchase", "click")
+    )
+
+    def after(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        later = int((left["event_id"] > right["event_id"].min()).sum()) if len(right) else 0
+        row = (key[0], key[2], len(left), len(right), later)
+        return pd.DataFrame([row], columns=["window_start", "user_id", "buys", "clicks", "later"])
+
+    schema = "window_start bigint, user_id bigint, buys bigint, clicks bigint, later bigint"
+    return custom.window_cogroup(buys, clicks, ["user_id"], "1 day", "ts_ms", "ts_ms", after, schema)
+
+
+@query
+def route_by_rules(spark, sf_dir):
+    rules = {"large": F.col("cents") > 5000, "even": F.col("cents") % 2 == 0}
+    rows = events(spark, sf_dir).select("event_id", "cents")
+    return custom.route_by_rules(rows, rules, "rest")
+
+
+@query
+def flat_map_fn(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def long_words(text):
+        return [w for w in (text or "").split(" ") if len(w) >= 12]
+
+    return custom.flat_map(rows, "text", long_words, "word", "string").drop("text")
+
+
 @query
 def window_all_sum(spark, sf_dir):
     return windows.window_all_sum(_timed(spark, sf_dir), "ts_ms", "cents", "1 hour")

@@ -120,7 +120,26 @@ FROM facts f ASOF LEFT JOIN changes c ON f.user_id = c.user_id AND f.event_id >=
     "broadcast_lookup": """SELECT c_custkey, n_name, r_name FROM customer
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "running_sum": _running("user_id", "total"),
-    "running_reduce": _running("event_type", "reduced"),
+    "running_reduce": _running("event_type", "reduced").replace("sum(cents)", "bit_or(cents)"),
+    "window_reduce_fn": _tumble("event_type", "reduced").replace("sum(cents)", "bit_or(cents)"),
+    "window_apply_fn": _with()
+    + f"""SELECT {_floor('ts_ms', HOUR)} AS window_start, event_type, count(*) AS n,
+  arg_max(cents, event_id) - arg_min(cents, event_id) AS change FROM ev GROUP BY ALL""",
+    "cogroup_fn": _with(
+        f"""d AS (SELECT event_id, user_id, event_type, {_floor('ts_ms', DAY)} AS window_start FROM ev
+  WHERE event_type IN ('purchase', 'click'))""",
+        """f AS (SELECT *, min(event_id) FILTER (event_type = 'click')
+  OVER (PARTITION BY user_id, window_start) AS first FROM d)""",
+    )
+    + """SELECT window_start, user_id, count(*) FILTER (event_type = 'purchase') AS buys,
+  count(*) FILTER (event_type = 'click') AS clicks,
+  count(*) FILTER (event_type = 'purchase' AND event_id > first) AS later FROM f GROUP BY ALL""",
+    "route_by_rules": _with()
+    + """SELECT event_id, cents, 'large' AS tag FROM ev WHERE cents > 5000
+UNION ALL SELECT event_id, cents, 'even' FROM ev WHERE cents % 2 = 0
+UNION ALL SELECT event_id, cents, 'rest' FROM ev WHERE NOT (cents > 5000 OR cents % 2 = 0)""",
+    "flat_map_fn": """SELECT doc_id, word FROM (
+  SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) WHERE length(word) >= 12""",
     "value_state_total": _running("event_type", "total"),
     "running_sum_concat_key": _with(
         "keyed AS (SELECT *, CAST(user_id AS VARCHAR) || CAST(k AS VARCHAR) AS key FROM ev)"
