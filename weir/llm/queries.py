@@ -7,12 +7,27 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import block_anchors, dart_minhash, line_dedup, mixing, pairwise_quality, pieces, quality_rules, secrets, url_filter, vafile
+from weir.llm import (
+    alignment,
+    block_anchors,
+    dart_minhash,
+    filter_audit,
+    line_dedup,
+    mixing,
+    pairwise_quality,
+    pieces,
+    pii,
+    quality_rules,
+    secrets,
+    url_filter,
+    vafile,
+)
 from weir.llm.common import read
 
 #: Folder of public tokenizer files, and the model used.
 TOKENIZERS = os.environ.get("WEIR_TOKENIZERS", "/opt/tokenizers")
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+BYTES = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 URL_RULES = [
     url_filter.Rule("allow", "org/"),
@@ -73,6 +88,19 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(read(spark, sf_dir, "documents"), PIECES)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.find(read(spark, sf_dir, "documents")))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filters = filter_audit.text_filters(F.col("text"))
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), filters)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pairwise_quality": op2_pairwise_quality,
@@ -84,6 +112,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_block_anchors": op9_block_anchors,
     "op10_pieces": op10_pieces,
+    "op11_alignment": op11_alignment,
+    "op12_pii": op12_pii,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 OP1_SQL = r"""
@@ -173,8 +204,62 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP13_SQL = r"""
+WITH l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+),
+t AS (
+  SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t FROM documents
+),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY t) AS first
+  FROM t
+),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(words) < 100)::INT
+         + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(w.doc_id > first, false)::INT AS mask
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+),
+r AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order,
+         [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+s AS (
+  SELECT filter_order, CAST(step AS INT) AS step, bits[step] AS bit,
+         coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM o, unnest([1, 2, 3, 4, 5]) u(step)
+),
+x AS (
+  SELECT part, filter_order, step, bit,
+         CAST(sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM r, s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM x
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op7_exact_top_k": OP7_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
