@@ -1,0 +1,163 @@
+"""Tokenizer alignment against a brute-force version that walks tokens one by one."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SMALL_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from weir.llm import alignment
+from weir.llm.common import read
+from weir.llm.queries import BYTES, PIECES, QUERIES
+
+
+@pytest.fixture(scope="module")
+def aligner():
+    return alignment.Aligner(alignment._read(BYTES), alignment._read(PIECES))
+
+
+def naive(aligner, texts):
+    """Per text (n_a, n_b, groups, links as id pairs)."""
+    out = []
+    for text in texts:
+        a, b = aligner.encode([text]) if text else ([[]], [[]])
+        a, b = a[0], b[0]
+        spans = []
+        for ids, side in ((a, aligner.a), (b, aligner.b)):
+            at, found = 0, []
+            for i in ids:
+                found.append((at, at + len(side.tokens[i]), i))
+                at = found[-1][1]
+            spans.append(found)
+        links = [(x[2], y[2]) for x in spans[0] for y in spans[1] if x[0] < y[1] and y[0] < x[1]]
+        ends = sorted({x[1] for x in spans[0]} & {y[1] for y in spans[1]})
+        groups, low = [], 0
+        for end in ends:
+            groups.append(tuple([s[2] for s in side if low <= s[0] and s[1] <= end] for side in spans))
+            low = end
+        out.append((len(a), len(b), groups, links))
+    return out
+
+
+def expected(aligner, texts):
+    found = naive(aligner, texts)
+    counts = Counter(link for f in found for link in f[3])
+    highest = {}
+    for (_, b), n in counts.items():
+        highest[b] = max(n, highest.get(b, 0))
+    for n_a, n_b, groups, links in found:
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        yield (
+            n_a, n_b, len(groups), len(links),
+            sum(counts[x] == highest[x[1]] for x in links),
+            sum(counts[x] for x in links),
+            hashlib.sha256(shown.encode()).hexdigest() if shown else "",
+        )
+
+
+EDGES = [
+    None, "", " ", "  ", "a", "\n\n", "naïve café", "日本語のテキスト", "▁ marked", "a▁b", "<|endoftext|> and </s>", "🙂🙃" * 20,
+    "tab\tand  two", "\x00nul", "ﬁ ligature", "x" * 3000, "word " * 3000, "é" * 2000, " lead", "trail ",
+]
+
+
+def test_edges_by_brute_force(spark, aligner, monkeypatch):
+    texts = EDGES + ["a", "a"]
+    rows = [(i, t, 1, "p", 2) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, pair int, block string, number int")
+    got = {r.doc_id: tuple(r)[1:] for r in alignment.align(docs, BYTES, PIECES).collect()}
+    assert got == dict(enumerate(expected(aligner, texts)))
+    assert got[8][-1] == ""  # the mark itself comes back as a space
+    assert alignment.align(docs.limit(0), BYTES, PIECES).count() == 0
+    null_id = alignment.align(docs.selectExpr("cast(null as bigint) doc_id", "text"), BYTES, PIECES)
+    assert null_id.where("doc_id IS NULL").count() == len(texts)
+
+
+def test_query_by_brute_force(spark, aligner):
+    rows = sorted((r.doc_id, r.text) for r in read(spark, SMALL_DIR, "documents").select("doc_id", "text").collect())
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op11_alignment"](spark, SMALL_DIR).collect()}
+    short = [r for r in rows if len(r[1]) < 1500]
+    # counts are of the corpus: links by the arrays, checked on short texts by the walk
+    whole = alignment.Aligned(aligner, *aligner.encode([t for _, t in rows]))
+    doc, pair, n = whole.pairs()
+    width = len(aligner.b_size)
+    total = Counter()
+    for p, k in zip(pair.tolist(), n.tolist()):
+        total[divmod(p, width)] += k
+    highest = {}
+    for (_, b), k in total.items():
+        highest[b] = max(k, highest.get(b, 0))
+    for (i, _), (n_a, n_b, groups, links) in zip(short, naive(aligner, [t for _, t in short])):
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        assert got[i] == (
+            n_a, n_b, len(groups), len(links),
+            sum(total[x] == highest[x[1]] for x in links),
+            sum(total[x] for x in links),
+            hashlib.sha256(shown.encode()).hexdigest(),
+        )
+    assert len(got) == len(rows) and len(short) > 50
+
+
+def test_blocks_are_cut_anywhere(spark, aligner, monkeypatch):
+    docs = read(spark, SMALL_DIR, "documents").limit(40).repartition(3).cache()
+    found = alignment.blocks(docs, BYTES, PIECES)
+    pairs = found.where("pair IS NOT NULL").select("pair", "n").collect()
+    counted = Counter()
+    for r in pairs:
+        counted[r.pair] += r.n
+    doc, pair, n = alignment.Aligned(aligner, *aligner.encode([r.text for r in docs.collect()])).pairs()
+    direct = Counter()
+    for p, k in zip(pair.tolist(), n.tolist()):
+        direct[p] += k
+    assert counted == direct
+    table = alignment.pair_counts(found, len(aligner.b_size)).collect()
+    assert {(r.a_id, r.b_id): r.links for r in table} == {divmod(p, len(aligner.b_size)): k for p, k in direct.items()}
+
+
+def test_streamed_sums_by_block(monkeypatch):
+    """Batches may end anywhere in a block."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for block in range(5):
+        links, best = rng.integers(1, 9, 7), rng.integers(0, 2, 7).astype(bool)
+        rows += [(block, i, int(links[i]), bool(best[i]), *[None] * 8) for i in range(7)]
+        for doc in range(4):
+            numbers = np.sort(rng.choice(7, 3, replace=False)).astype("<u4")
+            times = rng.integers(1, 4, 3).astype("<u4")
+            want[block * 10 + doc] = (int((best[numbers] * times).sum()), int((links[numbers] * times).sum()))
+            rows.append((block, None, None, None, block * 10 + doc, 1, 1, 1, 1, "x", numbers.tobytes(), times.tobytes()))
+    names = ["block", "number", "links", "best", *alignment._DOC, "numbers", "times"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), *alignment._DOC_TYPES, pa.binary(), pa.binary()]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+    for size in (1, 4, 9, 1000):
+        got = {}
+        for out in alignment._sum_links(iter(table.to_batches(size))):
+            for i, x, y in zip(*(out.column(c).to_pylist() for c in ("doc_id", "n_best", "count_sum"))):
+                got[i] = (x, y)
+        assert got == want
+
+
+def test_groups_operator(spark, aligner):
+    docs = spark.createDataFrame([(1, "the cat's naïve"), (2, None), (3, "▁")], "doc_id bigint, text string")
+    got = {r.doc_id: r.groups for r in alignment.groups(docs, BYTES, PIECES).collect()}
+    assert got[2] is None and got[3] is None
+    [(_, _, groups, _)] = naive(aligner, ["the cat's naïve"])
+    assert got[1] == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 40), st.sets(st.integers(1, 40)), st.sets(st.integers(1, 40)))
+def test_pointers_end_at_terminals(n, a, b):
+    a_end = np.array(sorted({x for x in a if x < n} | {n}))
+    b_end = np.array(sorted({x for x in b if x < n} | {n}))
+    label = alignment.terminals(a_end, b_end)
+    common = sorted(set(a_end.tolist()) & set(b_end.tolist()))
+    for end, found in zip([*a_end, *b_end], label):
+        assert a_end[found] == next(c for c in common if c >= end)
