@@ -144,6 +144,15 @@ def test_streamed_sums_by_block(monkeypatch):
         assert got == want
 
 
+def test_both_ways_of_byte_encoding_agree(aligner):
+    side = aligner.a
+    rng = np.random.default_rng(3)
+    points = [*range(0x20), *range(0x20, 0x3000, 7), *rng.integers(0x3000, 0xD800, 300), *rng.integers(0xE000, 0x110000, 300)]
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1{chr(c)} \n{chr(c)}! {chr(c)}'s{chr(c)}" for c in map(int, points)]
+    texts += [" " * n + "x" + "\n" * n for n in (1, 3, 1999, 2000, 100_000)] + ["ab" * 100_000, "<|endoftext|>"]
+    assert side.encode(texts) == side._by_merges([" " + t for t in texts])
+
+
 def test_groups_operator(spark, aligner):
     docs = spark.createDataFrame([(1, "the cat's naïve"), (2, None), (3, "▁")], "doc_id bigint, text string")
     got = {r.doc_id: r.groups for r in alignment.groups(docs, BYTES, PIECES).collect()}
