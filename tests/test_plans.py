@@ -72,18 +72,47 @@ def test_filters_and_columns_reach_the_scan(spark):
         assert columns <= {"event_id", "value"}
 
 
-def test_running_sum_shuffles_rows_once(spark):
-    """Rows are shuffled by (key, chunk); only aggregates pass the other exchanges."""
+def row_shuffles(lines: list[str]) -> list[int]:
+    """Shuffles with no aggregate between them and the rows they carry."""
+    found = []
+    for i, line in enumerate(lines):
+        if not re.search(r"Exchange (hash|range)partitioning", line) or "Reused" in line:
+            continue
+        below = []
+        for other in lines[i + 1 :]:
+            if depth(other) <= depth(line) or "Exchange" in other:
+                break
+            below.append(other)
+        if not any("Aggregate" in l for l in below):
+            found.append(i)
+    return found
+
+
+@pytest.mark.parametrize("name", ["running_sum", "value_state_total", "income_province_city", "ad_pv_uv_running", "retract_changelog", "late_window_sum"])
+def test_scans_shuffle_rows_once(spark, name):
+    """Whether keys are heavy (the second and third) or not, only aggregates pass the
+    other exchanges; see test_scan.py for how many rows these have."""
+    assert len(row_shuffles(plan_of(spark, name))) == 1, plan_of(spark, name)
+
+
+def test_light_keys_are_plain_windows(spark):
     lines = plan_of(spark, "running_sum")
-    shuffles = [i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l]
-    of_rows = [i for i in shuffles if re.search(r"[-:] (\*\(\d+\) )?Project", lines[i + 1])]
-    assert len(of_rows) == 1
-    assert "_chunk" in lines[of_rows[0]]
+    assert sum("Exchange" in l for l in lines) == 1
+    assert not any("Join" in l for l in lines)
+
 
+def test_sessions_are_not_ordered_per_key(spark):
+    """Slots are ordered by (key, block); only the ends of blocks by key."""
+    lines = plan_of(spark, "session_sum")
+    windows = [l for l in lines if re.search(r"[-:] Window ", l)]
+    assert any("_block" in l.split("],")[-2] for l in windows)
 
-def test_cuts_read_the_order_only(spark):
-    scans = [l for l in plan_of(spark, "running_sum") if "FileScan" in l]
-    assert any(re.search(r"ReadSchema: struct<event_id:bigint>", l) for l in scans)
+
+def test_functions_of_windows_share_one_shuffle(spark):
+    for name in ("cogroup_fn", "window_apply_fn"):
+        text = "\n".join(plan_of(spark, name))
+        assert text.count("Exchange") == 1 and "MapInArrow" in text
+        assert "InPandas" not in text
 
 
 def test_contract(spark):

@@ -234,9 +234,15 @@ def test_flat_map_and_cogroup_edges(spark):
     right = spark.createDataFrame([(1, "x"), (2, "x"), (3, "z")], "ts bigint, k string")
 
     def sizes(key, a, b):
+        yield key[2], sum(x.num_rows for x in a), sum(x.num_rows for x in b)
+
+    def frames(key, a, b):
         import pandas as pd
 
         return pd.DataFrame([(key[2], len(a), len(b))], columns=["k", "a", "b"])
 
-    both = custom.window_cogroup(left, right, ["k"], 10, "ts", "ts", sizes, "k string, a int, b int")
-    assert rows_of(both) == [("x", 1, 2), ("y", 1, 0), ("z", 0, 1)]
+    for fn in (sizes, custom.on_frames(frames)):
+        both = custom.window_cogroup(left, right, ["k"], 10, "ts", "ts", fn, "k string, a int, b int")
+        assert rows_of(both) == [("x", 1, 2), ("y", 1, 0), ("z", 0, 1)]
+    none = custom.window_cogroup(left.limit(0), right.limit(0), ["k"], 10, "ts", "ts", sizes, "k string, a int, b int")
+    assert none.count() == 0

@@ -74,14 +74,74 @@ def test_null_keys_and_orders_and_sparse_orders(spark, sizes):
     assert rows_of(got.result(), "k", "s", "total", "first.s", "known") == rows_of(expected)
 
 
-def test_prefixes_stay_narrow(spark):
-    """The rows before a chunk's prefix are bounded by the chunks, not by the table."""
+def _scanned(frame, **sizes):
+    return KeyedScan(frame, ["k"], ["s"], **sizes)
+
+
+def test_a_heavy_key_is_cut_evenly(spark):
+    """The prefix of a key is as long as its chunks, not as its rows."""
     frame = spark.range(50_000).select((F.col("id") * 1_000_003).alias("s"), F.lit(1).alias("k"))
-    groups = KeyedScan(frame, ["k"], ["s"], chunks=64).frame.groupBy(scan.CHUNK).count().collect()
-    assert len(groups) == 64
+    groups = _scanned(frame, chunks=64).frame.groupBy(scan.CHUNK).count().collect()
+    assert 60 <= len(groups) <= 64
     assert max(r["count"] for r in groups) <= 2 * 50_000 / 64
 
 
+@pytest.mark.parametrize("shares", [8, 64, 1000])
+@pytest.mark.parametrize("order", ["s", "-s", "s % 97", "xxhash64(s)"])
+def test_only_heavy_keys_have_summaries(spark, shares, order):
+    """Zipf-like keys: whatever the order, keys above two and a half shares are cut into
+    chunks of about a share, light ones never, and summaries are no more than shares."""
+    n = 40_000
+    rows = spark.range(n).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN NULL ELSE floor(pow(10000, (id % 7919) / 7919.0)) END").cast("int").alias("k"),
+        F.col("id").alias("s"),
+    ).withColumn("s", F.expr(order).cast("bigint"))
+    scanned = _scanned(rows, chunks=shares)
+    share = n / shares
+    seen = 0
+    for r in scanned.frame.groupBy("k").agg(
+        F.count("*").alias("n"), F.max(scan.CHUNK).alias("top"), F.count_distinct("s").alias("orders")
+    ).collect():
+        if r.n > 2.5 * share:
+            assert r.top is not None
+            if r.orders > 1000:
+                assert r.top + 1 >= r.n / share / 2
+        if r.n < 0.8 * share:
+            assert r.top is None
+        seen += r.top is not None
+    summaries = scanned.summaries(n=scan.running_count())
+    assert seen and summaries.count() <= shares
+    if order in ("s", "-s"):
+        assert summaries.agg(F.max("_part_n")).first()[0] <= 3 * share
+
+
+def test_light_keys_need_no_summaries(spark):
+    frame = spark.range(10_000).select(F.col("id").alias("s"), (F.col("id") % 997).alias("k"))
+    scanned = _scanned(frame)
+    assert not scanned.divided
+    plan = scanned.add(n=scan.running_count()).result()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_chunks_follow_rows_and_partitions(spark, monkeypatch):
+    frame = spark.range(10_000).select(F.col("id").alias("s"), F.lit(5).alias("k"))
+    few = _scanned(frame).summaries(n=scan.running_count()).count()
+    assert few <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 100)
+    for keys in (["k"], []):
+        many = KeyedScan(frame, keys, ["s"]).summaries(n=scan.running_count())
+        assert 90 <= many.count() <= 100 and many.agg(F.max("_part_n")).first()[0] <= 210
+
+
+def test_given_chunks(spark):
+    rows = [(i % 3 or None, i, i) for i in range(300)] + [(None, None, 7), (1, None, None)]
+    frame = spark.createDataFrame(rows, "k int, s bigint, v bigint")
+    so_far = Window.partitionBy("k").orderBy("s").rowsBetween(*UP_TO_NOW)
+    expected = frame.select("k", "s", F.sum("v").over(so_far))
+    got = KeyedScan(frame, ["k"], ["s"], chunk=F.floor(F.col("s") / 7)).add(t=scan.running_sum(F.col("v")))
+    assert rows_of(got.result(), "k", "s", "t") == rows_of(expected)
+
+
 @pytest.mark.parametrize("chunks", [1, 4, 64, 4096])
 def test_whole_table_scans(skewed, chunks):
     arrived = shuffled_arrival(skewed)
@@ -179,6 +239,76 @@ def test_fold_with_any_function(skewed, sizes):
     assert {r.user_id: r.f for r in longest} == kept
 
 
+@pytest.mark.parametrize("sizes", SIZES, ids=str)
+def test_fold_skips_nulls(spark, sizes):
+    values = {1: [5, None, 3], 2: [None, None], None: [None, 8, None, 4], 3: [7] * 50}
+    rows = [(k, i, v) for k, vs in values.items() for i, v in enumerate(vs)]
+    frame = spark.createDataFrame(rows, "k int, s bigint, v bigint")
+    got = running.running_fold(frame, ["k"], "s", "v", lambda a, b: a | b, **sizes)
+    expected = []
+    for k, vs in values.items():
+        total = None
+        for i, v in enumerate(vs):
+            total = v if total is None else total if v is None else total | v
+            expected.append((k, i, total))
+    assert rows_of(got, "k", "s", "folded") == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("sizes", SIZES, ids=str)
+def test_distinct_and_two_levels_by_brute_force(spark, sizes):
+    rows = [(None if i % 3 == 0 else i % 2, None if i % 11 == 0 else (i * 7) % 13, i, None if i % 5 == 0 else i % 4) for i in range(900)]
+    rows += [(77, 1, i, 1) for i in range(900, 905)]
+    frame = spark.createDataFrame(rows, "k int, u int, s bigint, v bigint")
+    users, views, outer, inner = {}, {}, {}, {}
+    counted, totals = [], []
+    for k, u, s, v in rows:
+        users.setdefault(k, set()).add(u)
+        views[k] = views.get(k, 0) + 1
+        counted.append((s, views[k], len(users[k])))
+        for table, key in ((outer, k), (inner, (k, u))):
+            before = table.get(key)
+            table[key] = before if v is None else v + (before or 0)
+        totals.append((s, outer[k], inner[k, u]))
+    got = running.running_views_and_users(frame, ["k"], "u", "s", **sizes)
+    assert got.columns == [*frame.columns, "pv", "uv"]
+    assert rows_of(got, "s", "pv", "uv") == sorted(counted, key=repr)
+    got = running.running_two_level(frame, "k", "u", "s", "v", **sizes)
+    assert rows_of(got, "s", "outer_total", "inner_total") == sorted(totals, key=repr)
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 4096])
+def test_sessions_across_blocks(spark, monkeypatch, block):
+    """Sessions within, across and over many blocks, and NULL keys."""
+    monkeypatch.setattr(windows, "BLOCK", block)
+    times = [0, 3, 10, 20, 31, 200, 205, 500, 501, *range(600, 800, 9), 2000, 2010, 2021]
+    rows = [(k, t + i, 1 + i) for i, k in enumerate(["a", None, "b"]) for t in times]
+    frame = spark.createDataFrame(rows, "k string, t bigint, v bigint")
+    expected = []
+    for i, k in enumerate(["a", None, "b"]):
+        open_ = None
+        for t in [x + i for x in times]:
+            if open_ and t - open_[1] <= 10:
+                open_ = (open_[0], t, open_[2] + 1 + i)
+                continue
+            if open_:
+                expected.append((k, open_[0], open_[1] + 10, open_[2]))
+            open_ = (t, t, 1 + i)
+        expected.append((k, open_[0], open_[1] + 10, open_[2]))
+    got = windows.session_sum(frame, ["k"], "t", "v", 10)
+    assert rows_of(got, "k", "window_start", "window_end", "total") == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("block", [1, 3, 4096])
+def test_cumulative_windows_across_blocks(skewed, monkeypatch, block):
+    monkeypatch.setattr(windows, "BLOCK", block)
+    width = 3_600_000
+    sums = windows.tumble_sum(skewed, ["user_id"], "ts_ms", "cents", width, "s")
+    so_far = Window.partitionBy("user_id").orderBy("window_start").rowsBetween(*UP_TO_NOW)
+    expected = sums.select("user_id", "window_start", F.sum("s").over(so_far))
+    got = windows.window_cumulative(skewed, ["user_id"], "ts_ms", "cents", width)
+    assert rows_of(got, "user_id", "window_start", "total") == rows_of(expected)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("pairs_per_task", [1, 6, 100, 10**9])
 def test_heavy_join_groups_are_divided(skewed, how, pairs_per_task):

@@ -1,20 +1,26 @@
 """Operators that take the user's own function.
 
-Functions run on Arrow or pandas batches. What must fit one task is said with each;
-where a function is associative, it is applied before the shuffle, too.
+Functions run on Arrow batches. Where a function is associative, it is applied before
+the shuffle, too. Functions of a whole window read it as a stream: the rows of a group
+are in one task, one batch at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from weir.operators.windows import END, START, with_tumbling_window
+from weir.operators import groups
+from weir.operators.groups import Batches
+from weir.operators.running import running_fold
+from weir.operators.windows import END, START, window_block, with_tumbling_window
 
 Frame = pd.DataFrame
 
@@ -66,38 +72,73 @@ def window_reduce(
 def _fold_groups(rows: DataFrame, group: list[str], value: str, fn) -> DataFrame:
     """One row per run of equal groups in the sorted rows of each partition."""
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, total, schema = None, None, None
-        for batch in batches:
-            schema = batch.schema
-            done = []
-            keys = zip(*(batch.column(c).to_pylist() for c in group))
-            for key, item in zip(keys, batch.column(value).to_pylist()):
-                if key == current:
-                    total = fn(total, item)
-                    continue
-                if current is not None:
-                    done.append((*current, total))
-                current, total = key, item
-            yield _batch(done, schema)
-        if current is not None:
-            yield _batch([(*current, total)], schema)
+    def fold(key: tuple, part: Batches) -> Iterator[tuple]:
+        total = None
+        for batch in part:
+            for item in batch.column(value).to_pylist():
+                total = item if total is None else fn(total, item)
+        yield (*key, total)
 
-    return rows.sortWithinPartitions(*group).mapInArrow(fold, rows.schema)
+    run = groups.apply_to_groups(fold, group, to_arrow_schema(rows.schema))
+    return rows.sortWithinPartitions(*group).mapInArrow(run, rows.schema)
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
+def window_reduce_process(
+    rows: DataFrame,
+    keys: list[str],
+    ts: str,
+    value: str,
+    size: str | int,
+    fn: Callable[[Any, Any], Any],
+    carry: Callable[[Any, Any], Any],
+    emit: Callable[[tuple, Any, Any], Iterable[tuple]],
+    schema: str,
+) -> DataFrame:
+    """Pre-aggregated window function with state of its key.
+
+    ``fn`` folds the values of a key's tumbling window, as in ``window_reduce``. The
+    state of a key goes from window to window: ``carry(state, reduced)``, any
+    associative function, takes in the window's result, which is the state where there
+    is none yet. ``emit(key, reduced, state)`` is then called for each window, with the
+    key ``(window start, window end, *keys)`` and the state that holds this window,
+    and gives any number of result rows.
+
+    One row per key and window is ordered, in blocks of windows: the state that enters a
+    block is folded from those before, so no task holds all windows of a key.
+    """
+    reduced = window_reduce(rows, keys, ts, value, size, fn, "_reduced")
+    stated = running_fold(reduced, keys, START, "_reduced", carry, "_state", chunk=window_block(size))
+    result = T.StructType.fromDDL(schema)
+    arrow, by = to_arrow_schema(result), [START, END, *keys]
+
+    def run(batches: Batches) -> Batches:
+        def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+            names = [*by, "_reduced", "_state"]
+            for *key, value, state in zip(*(batch.column(c).to_pylist() for c in names)):
+                yield from emit(tuple(key), value, state) or ()
+
+        yield from groups.collected((row for batch in batches for row in rows_of(batch)), arrow)
+
+    return stated.mapInArrow(run, result)
 
 
 def window_apply(
-    rows: DataFrame, keys: list[str], ts: str, size: str | int, fn: Callable[[Frame], Frame], schema: str
+    rows: DataFrame,
+    keys: list[str],
+    ts: str,
+    size: str | int,
+    fn: Callable[[tuple, Batches], Iterable[tuple]],
+    schema: str,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """Full-window function: ``fn`` sees all rows of a key's tumbling window, with its
-    bounds, and returns any number of rows. A window of one key must fit one task; use
-    ``window_reduce`` where an associative function will do."""
-    return with_tumbling_window(rows, ts, size).groupBy(START, END, *keys).applyInPandas(fn, schema)
+    """Full-window function: ``fn(key, batches)`` sees all rows of a key's tumbling
+    window, sorted by ``order``, as a stream of Arrow batches, and gives any number of
+    result rows. ``key`` is ``(window start, window end, *keys)``. The rows of a window
+    of one key are in one task, which holds one batch of them; use ``window_reduce``
+    where an associative function will do."""
+    by, result = [START, END, *keys], T.StructType.fromDDL(schema)
+    placed = _dealt(with_tumbling_window(rows, ts, size), by).sortWithinPartitions(*by, *(order or []))
+    return placed.mapInArrow(groups.apply_to_groups(fn, by, to_arrow_schema(result)), result)
 
 
 def window_cogroup(
@@ -107,21 +148,55 @@ def window_cogroup(
     size: str | int,
     left_ts: str,
     right_ts: str,
-    fn: Callable[[tuple, Frame, Frame], Frame],
+    fn: Callable[[tuple, Batches, Batches], Iterable[tuple]],
     schema: str,
+    left_order: list[str] | None = None,
+    right_order: list[str] | None = None,
 ) -> DataFrame:
-    """Co-group function: ``fn(key, left rows, right rows)`` is called for every
-    (window start, window end, keys) that either side has; the other may be empty.
-    Both sides of one group must fit one task."""
-    on = [START, END, *keys]
-    one = with_tumbling_window(left, left_ts, size)
-    # new attributes, as both sides may come from one frame
-    other = with_tumbling_window(right, right_ts, size)
-    other = other.select(*[F.col(c).alias(c) for c in other.columns])
-    left_names, right_names = one.columns, other.columns
-
-    def call(key: tuple, a: Frame, b: Frame) -> Frame:
-        # an empty side comes without columns
-        return fn(key, a.reindex(columns=left_names), b.reindex(columns=right_names))
-
-    return one.groupBy(*on).cogroup(other.groupBy(*on)).applyInPandas(call, schema)
+    """Co-group function: ``fn(key, left, right)`` is called for every
+    ``(window start, window end, *keys)`` that either side has; the other may be empty.
+
+    Both sides go through one shuffle, tagged, and come as streams of Arrow batches in
+    their orders. A task holds one batch where ``fn`` reads the left side to its end
+    first; if it begins with the right side, the left rows are kept meanwhile."""
+    by, result = [START, END, *keys], T.StructType.fromDDL(schema)
+
+    def tagged(rows: DataFrame, ts: str, side: int) -> DataFrame:
+        timed = with_tumbling_window(rows, ts, size)
+        return timed.select(*by, F.lit(side).alias("_side"), F.struct("*").alias(f"_rows{side}"))
+
+    both = tagged(left, left_ts, 0).unionByName(tagged(right, right_ts, 1), allowMissingColumns=True)
+    orders = [f"_rows{i}.{c}" for i, names in enumerate((left_order, right_order)) for c in names or []]
+    placed = _dealt(both, by).sortWithinPartitions(*by, "_side", *orders)
+    arrow = to_arrow_schema(result)
+
+    def run(batches: Batches) -> Batches:
+        def results() -> Iterator[tuple]:
+            for key, group in groups.each_group(batches, by, ["_side"]):
+                sides = groups.Sides(group, "_side", ("_rows0", "_rows1"))
+                yield from fn(key, sides.read(0), sides.read(1)) or ()
+
+        yield from groups.collected(results(), arrow)
+
+    return placed.mapInArrow(run, result)
+
+
+def _dealt(rows: DataFrame, by: list[str]) -> DataFrame:
+    """A fixed number of partitions: adaptive execution would merge those that are small
+    in bytes, and with them the calls of a function, into one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def on_frames(fn: Callable[..., Frame]) -> Callable[..., Iterable[tuple]]:
+    """A function of whole pandas frames, ``fn(key, frame)`` or ``fn(key, left, right)``,
+    for ``window_apply`` and ``window_cogroup``. Each group must fit the task's memory;
+    an empty side is an empty frame without columns."""
+
+    def call(key: tuple, *sides: Batches) -> Iterable[tuple]:
+        frames = []
+        for side in sides:
+            held = list(side)
+            frames.append(pa.Table.from_batches(held).to_pandas() if held else pd.DataFrame())
+        return fn(key, *frames).itertuples(index=False, name=None)
+
+    return call

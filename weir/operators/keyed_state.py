@@ -115,7 +115,7 @@ def flush_at_watermark_boundary(
     ts: str,
     size: str | int,
     out: str = "flush_ms",
-    chunks: int = scan.CHUNKS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """As ``flush_at_boundary``, counted from the largest event time seen so far
     in arrival order, the record itself included."""

@@ -24,7 +24,7 @@ def flag_late(
     size: str | int,
     delay: str | int = 0,
     seen_before: int | None = None,
-    chunks: int = scan.CHUNKS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Add the tumbling window bounds, ``late`` and ``place``, the 1-based place in
     arrival order. ``seen_before`` is the largest event time of earlier input, when

@@ -1,36 +1,47 @@
-"""Ordered scans (running totals, lags, carried values) that split every key.
+"""Ordered scans (running totals, lags, carried values) that split heavy keys.
 
 A window function puts every row of a key into one task, which is hopeless when one
-key (or NULL) holds a third of the table. ``KeyedScan`` cuts the order column at its
-own quantiles into ``chunks`` ranges and works on (key, chunk):
-
-1. one shuffle of the rows by (key, chunk), and a window in each of these groups;
-2. one summary row per (key, chunk), combined map-side, and a prefix over the
-   summaries of each key gives the state that enters a chunk;
-3. a join on the same partitioning adds it to the rows.
-
-There is one path for all keys and sizes: nothing is listed, counted or cut off. The
-prefix sees at most ``chunks`` rows per key (or in all, when there is no key), however
-the order values lie; a group holds about 1 / ``chunks`` of the table at most, more only
-where that many rows share one order value. Keys are compared as a struct, so NULL is
-a key like any other; NULL order values come first, as in a window.
-
-The cuts take one aggregate over the order column alone; they reach the tasks as a
-scalar, and their accuracy affects balance, not results.
+key (or NULL) holds a third of the table. ``KeyedScan`` finds the keys that are heavier
+than a share of the table and cuts them, and only them, at quantiles of their own order.
+
+How keys are found: the table has ``shares`` equal shares, twice the shuffle partitions
+or more. Quantiles of a hash of the key, one per share, are taken over all rows. A key
+that owns two neighbouring quantiles is heavy; one with two and a half shares always
+owns two, so none is missed, and there are at most ``shares`` / 2 of them. A second
+aggregate, over the rows of heavy keys alone, cuts each by its own order into about as
+many chunks as it has shares. All chunks together are no more than the shares.
+
+* Rows of light keys are in one chunk: a plain window.
+* Rows of heavy keys are scanned by (key, chunk). One summary per chunk, combined
+  map-side, and a prefix over the summaries of a key give the state that enters a chunk.
+
+Rows are shuffled once, summaries number as many as the chunks at most, and without a
+heavy key the plan is that of the window alone. A scan without key is one heavy key.
+The cuts decide on balance only; results do not depend on them. Keys are compared as a
+struct, so NULL is a key like any other; NULL order values come first, as in a window.
+
+The cuts are found when the scan is built (a job over the key, and one over the order of
+heavy keys); no more than ``shares`` numbers reach the driver. Where order values are
+dense and unique within a key (windows, slots), ``chunk`` may name ranges of them
+instead, and there is no job.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNKS = 1024
+#: Rows that a chunk has at most, where there are more than the shares would make.
+CHUNK_ROWS = 1 << 23
 
 CHUNK = "_chunk"
 KEY = "_scan_key"
+HASH = "_scan_hash"
 
 
 @dataclass(frozen=True)
@@ -139,11 +150,14 @@ class KeyedScan:
     """Rows prepared for scans per key, in the order given.
 
     ``order[0]`` must be an integer column; further order columns break its ties.
-    Give ``keys=[]`` for one scan over the whole table. ``chunks`` is a power of two.
+    Give ``keys=[]`` for one scan over the whole table. ``chunks`` is the number of
+    shares; by default it follows the shuffle partitions and the number of rows.
 
-    ``rows`` may be costly to compute. The optional frames spare doing so more than
-    once: ``order_rows`` stands in for it when the order is cut, ``summary_rows``
-    (the same rows, with the columns the first folds use) when chunks are summarised.
+    ``rows`` may be costly to compute; ``order_rows`` then stands in for it when cuts
+    are found. ``chunk`` is an integer column that grows with the order, in place of cuts.
+
+    ``divided`` tells whether any key has several chunks, ``frame`` has the rows with
+    ``KEY`` and ``CHUNK``.
     """
 
     def __init__(
@@ -152,43 +166,36 @@ class KeyedScan:
         keys: list[str],
         order: list[str],
         *,
-        chunks: int = CHUNKS,
+        chunks: int | None = None,
         order_rows: DataFrame | None = None,
-        summary_rows: DataFrame | None = None,
+        chunk: Column | None = None,
     ):
-        if chunks & (chunks - 1) or chunks < 1:
-            raise ValueError("chunks must be a power of two")
         self.keys = keys
         self.order = order
         self.columns = rows.columns
-        cuts = order_cuts(rows if order_rows is None else order_rows, order[0], chunks)
-
-        def chunked(frame: DataFrame) -> DataFrame:
-            key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-            return _with_chunk(frame.withColumn(KEY, key), F.col(order[0]), cuts, chunks)
-
-        self.frame = chunked(rows)
-        self.summarised = self.frame if summary_rows is None else chunked(summary_rows)
+        key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+        keyed = rows.withColumn(KEY, key)
+        if chunk is not None:
+            self.divided = True
+            first = F.lit(-(1 << 62)).cast("bigint")  # a NULL order comes first
+            self.frame = keyed.withColumn(CHUNK, F.coalesce(chunk.cast("bigint"), first))
+            return
+        cuts = find_cuts(rows if order_rows is None else order_rows, keys, order[0], chunks)
+        self.divided = bool(cuts)
+        self.frame = _with_chunk(keyed, F.col(order[0]), cuts, bool(keys))
 
     def add(self, **folds: Fold) -> "KeyedScan":
         """Append one column per fold. Later calls reuse the same shuffle."""
         group, order = [KEY, CHUNK], [F.col(name) for name in self.order]
-        rows = Window.partitionBy(*group).orderBy(*order)
+        rows = Window.partitionBy(*(group if self.divided else [KEY])).orderBy(*order)
+        if not self.divided:
+            return self._with(
+                self.frame.select("*", *[fold.local(rows).alias(name) for name, fold in folds.items()])
+            )
         local = self.frame.select(
             "*", *[fold.local(rows).alias(f"_local_{name}") for name, fold in folds.items()]
         )
-        position = F.struct(*order)  # never NULL itself, so NULL order values count
-        summaries = self.summarised.groupBy(*group).agg(
-            *[fold.summary(position).alias(f"_part_{name}") for name, fold in folds.items()]
-        )
-        earlier = _before_current(Window.partitionBy(KEY).orderBy(CHUNK))
-        carries = summaries.select(
-            *group,
-            *[
-                fold.carry(F.col(f"_part_{name}"), earlier).alias(f"_carry_{name}")
-                for name, fold in folds.items()
-            ],
-        )
+        carries = self.carries(**folds)
         merged = local.join(carries, group, "left").select(
             *self.frame.columns,
             *[
@@ -198,6 +205,27 @@ class KeyedScan:
         )
         return self._with(merged)
 
+    def summaries(self, **folds: Fold) -> DataFrame:
+        """One row per (key, chunk) of the heavy keys: what ``carry`` folds over."""
+        position = F.struct(*self.order)  # never NULL itself, so NULL order values count
+        return (
+            self.frame.where(F.col(CHUNK).isNotNull())
+            .groupBy(KEY, CHUNK)
+            .agg(*[fold.summary(position).alias(f"_part_{name}") for name, fold in folds.items()])
+        )
+
+    def carries(self, **folds: Fold) -> DataFrame:
+        """The state that enters each chunk of the heavy keys."""
+        earlier = _before_current(Window.partitionBy(KEY).orderBy(CHUNK))
+        return self.summaries(**folds).select(
+            KEY,
+            CHUNK,
+            *[
+                fold.carry(F.col(f"_part_{name}"), earlier).alias(f"_carry_{name}")
+                for name, fold in folds.items()
+            ],
+        )
+
     def map(self, **columns: Column) -> "KeyedScan":
         """Append plain columns between two scans."""
         return self._with(self.frame.withColumns(columns))
@@ -208,27 +236,101 @@ class KeyedScan:
     def _with(self, frame: DataFrame) -> "KeyedScan":
         other = object.__new__(KeyedScan)
         other.keys, other.order, other.columns = self.keys, self.order, self.columns
-        other.frame = other.summarised = frame
+        other.divided, other.frame = self.divided, frame
         return other
 
 
-def order_cuts(rows: DataFrame, order: str, chunks: int) -> Column:
-    """``chunks`` - 1 quantiles of the order column, as a scalar array."""
-    if chunks == 1:
-        return F.array().cast("array<bigint>")
-    shares = [i / chunks for i in range(1, chunks)]
+def find_cuts(
+    rows: DataFrame, keys: list[str], order: str, shares: int | None = None
+) -> list[tuple[int, list[int]]]:
+    """(hash of the key, cuts of its order) for every heavy key."""
     seq = F.col(order).cast("bigint")
-    return rows.agg(F.percentile_approx(seq, shares).alias("cuts")).scalar()
-
-
-def _with_chunk(rows: DataFrame, order: Column, cuts: Column, chunks: int) -> DataFrame:
-    """Number of cuts below the order value, by halving; NULL is in chunk 0."""
-    names = []
-    found, step, kept = F.lit(0), chunks // 2, rows.columns
+    if not keys:
+        wanted = shares or _shares(rows)
+        found = _quantiles(rows, seq, wanted)
+        if shares is None and found["n"] > CHUNK_ROWS * wanted:
+            found = _quantiles(rows, seq, math.ceil(found["n"] / CHUNK_ROWS))
+        cuts = sorted(set(found["cuts"] or ()))
+        return [(0, cuts)] if cuts else []
+    hashed = rows.select(_hash(keys).alias(HASH), seq.alias(order))
+    wanted = shares or _shares(rows)
+    found = _quantiles(hashed, F.col(HASH), wanted)
+    if shares is None and found["n"] > CHUNK_ROWS * wanted:
+        wanted = math.ceil(found["n"] / CHUNK_ROWS)
+        found = _quantiles(hashed, F.col(HASH), wanted)
+    owned: dict[int, int] = {}
+    for h in found["cuts"] or ():
+        owned[h] = owned.get(h, 0) + 1
+    heavy = {h: n for h, n in owned.items() if n > 1}
+    if not heavy:
+        return []
+    most = max(heavy.values())
+    each = hashed.where(F.col(HASH).isin(list(heavy))).groupBy(HASH).agg(
+        F.percentile_approx(order, _steps(most), _accuracy(most)).alias("cuts")
+    )
+    # of the finest cuts, a key takes as many as it has shares
+    cuts = []
+    for h, fine in each.collect():
+        n = heavy[h]
+        picked = {fine[i * most // n - 1] for i in range(1, n)} if fine else set()
+        if picked:
+            cuts.append((h, sorted(picked)))
+    return cuts
+
+
+def _hash(keys: list[str]) -> Column:
+    """NULLs are told apart from values: they change the hash of what follows. The hash
+    has 52 bits, as quantiles are taken of doubles."""
+    whole = F.xxhash64(*[part for k in keys for part in (F.col(k).isNull(), F.col(k))])
+    return F.shiftrightunsigned(whole, 12)
+
+
+def _shares(rows: DataFrame) -> int:
+    return 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _steps(n: int) -> list[float]:
+    return [i / n for i in range(1, n)]
+
+
+def _accuracy(n: int) -> int:
+    """Ranks are off by a tenth of a share at most."""
+    return max(10_000, 10 * n)
+
+
+def _quantiles(rows: DataFrame, value: Column, shares: int):
+    if shares < 2:
+        return {"n": 0, "cuts": None}
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(value, _steps(shares), _accuracy(shares)).alias("cuts"),
+    ).first()
+
+
+def _with_chunk(
+    rows: DataFrame, order: Column, cuts: list[tuple[int, list[int]]], keyed: bool
+) -> DataFrame:
+    """``CHUNK`` is the number of a heavy key's cuts below the order value (0 for NULL),
+    found by halving; NULL for light keys."""
+    kept = rows.columns
+    if not cuts:
+        return rows.withColumn(CHUNK, F.lit(None).cast("int"))
+    if keyed:
+        # the key's cuts come by a join with at most half as many rows as there are shares
+        hashes, lists = zip(*cuts)
+        table = rows.sparkSession.createDataFrame(
+            pa.table({HASH: pa.array(hashes, pa.int64()), "_cuts": pa.array(lists, pa.list_(pa.int64()))})
+        )
+        rows = rows.withColumn(HASH, _hash([f"{KEY}.{k}" for k in rows.schema[KEY].dataType.names]))
+        rows, cut = rows.join(F.broadcast(table), HASH, "left"), F.col("_cuts")
+        heavy = cut.isNotNull()
+    else:
+        cut, heavy = F.lit(cuts[0][1]), F.lit(True)
+    found, step = F.lit(0), 1 << (max(len(c) for _, c in cuts).bit_length() - 1)
     while step:
+        # beyond the last cut there is NULL, and nothing is above it
+        above = order > F.get(cut, found + (step - 1))
         name = f"_chunk_{step}"
-        names.append(name)
-        above = order > F.get(cuts, found + (step - 1))
         rows = rows.withColumn(name, found + F.when(above, F.lit(step)).otherwise(0))
         found, step = F.col(name), step // 2
-    return rows.select(*kept, found.alias(CHUNK))
+    return rows.select(*kept, F.when(heavy, found).alias(CHUNK))

@@ -83,28 +83,45 @@ def session_sum(
     """Sum per session; a pause longer than ``gap`` starts a new one, and a pause
     of exactly ``gap`` does not. ``window_end`` is the last record plus the gap.
 
-    Records in one gap-wide slot always share a session, so they are combined
-    first (map-side too). The sequence to cut into sessions then has at most one
-    row per key and slot: its length follows the time range, not the data.
+    Records in one gap-wide slot always share a session, so they are combined first
+    (map-side too). ``BLOCK`` slots in a row make a block, and each block is cut into
+    sessions on its own. Those in the middle of a block are closed; only its first and
+    its last may go on in a neighbour. So a key's blocks are joined by two rows each.
     """
     width = duration_ms(gap)
     slots = rows.groupBy(*keys, F.floor(F.col(ts) / F.lit(width)).alias("_slot")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum(value).alias("_sum")
     )
-    in_key = Window.partitionBy(*keys).orderBy("_slot")
-    pause = F.col("_first") - F.lag("_last").over(in_key)
-    starts = F.when(pause > width, 1).otherwise(0)
-    numbered = slots.withColumn("_starts", starts).withColumn(
-        "_session", F.sum("_starts").over(in_key.rowsBetween(Window.unboundedPreceding, 0))
+    block = [*keys, "_block"]
+    blocks = slots.withColumn("_block", F.floor(F.col("_slot") / F.lit(BLOCK)))
+    parts = _sessions(blocks, block, ["_slot"], width)
+    every = Window.partitionBy(*block)
+    marked = parts.withColumn("_most", F.max("_session").over(every))
+    open_ended = (F.col("_session") == 0) | (F.col("_session") == F.col("_most"))
+    ends = marked.where(open_ended).drop("_session", "_most")
+    joined = _sessions(ends, keys, ["_block", "_first"], width)
+    closed = marked.where(~open_ended)
+    names = [*keys, "_first", "_last", "_sum"]
+    return joined.select(*names).unionByName(closed.select(*names)).select(
+        *keys, F.col("_first").alias(START), (F.col("_last") + F.lit(width)).alias(END), F.col("_sum").alias(out)
     )
-    return (
-        numbered.groupBy(*keys, "_session")
-        .agg(
-            F.min("_first").alias(START),
-            (F.max("_last") + F.lit(width)).alias(END),
-            F.sum("_sum").alias(out),
-        )
-        .drop("_session")
+
+
+#: Slots or windows in a row that one task orders.
+BLOCK = 4096
+
+
+def _sessions(parts: DataFrame, group: list[str], order: list[str], width: int) -> DataFrame:
+    """(group, _session, _first, _last, _sum): parts of a group joined where the pause
+    is at most ``width``, numbered from 0."""
+    ordered = Window.partitionBy(*group).orderBy(*order)
+    pause = F.col("_first") - F.lag("_last").over(ordered)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = parts.withColumn("_starts", F.when(pause > width, 1).otherwise(0)).withColumn(
+        "_session", F.sum("_starts").over(so_far)
+    )
+    return numbered.groupBy(*group, "_session").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_sum").alias("_sum")
     )
 
 
@@ -129,10 +146,17 @@ def window_cumulative(
     rows: DataFrame, keys: list[str], ts: str, value: str, size: str | int, out: str = "total"
 ) -> DataFrame:
     """Per window and key: the key's total over this and all earlier windows. The
-    running part sees one row per key and window."""
+    running part sees one row per key and window, ``BLOCK`` windows of a key at a time."""
     sums = tumble_sum(rows, keys, ts, value, size, "_sum")
-    so_far = Window.partitionBy(*keys).orderBy(START).rowsBetween(Window.unboundedPreceding, 0)
-    return sums.select(START, END, *keys, F.sum("_sum").over(so_far).alias(out))
+    scanned = KeyedScan(sums, keys, [START], chunk=window_block(size)).add(
+        **{out: scan.running_sum(F.col("_sum"))}
+    )
+    return scanned.result().select(START, END, *keys, out)
+
+
+def window_block(size: str | int) -> Column:
+    """Ranges of windows in a row, as chunks of a scan along them."""
+    return F.floor(F.col(START) / F.lit(duration_ms(size) * BLOCK))
 
 
 def count_window_sum(
@@ -141,7 +165,7 @@ def count_window_sum(
     value: str,
     size: int = 5,
     out: str = "total",
-    chunks: int = scan.CHUNKS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Sum of every ``size`` consecutive records in arrival order, over the whole
     input; an incomplete last window is not emitted."""

@@ -9,7 +9,6 @@ from __future__ import annotations
 import operator
 from collections.abc import Callable
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -416,18 +415,36 @@ def window_reduce_fn(spark, sf_dir):
     return custom.window_reduce(rows, ["event_type"], "ts_ms", "cents", "1 hour", operator.or_)
 
 
+@query
+def window_reduce_carry_fn(spark, sf_dir):
+    """Of each hour and type: bits seen in any value, and of these the ones seen in an
+    odd number of hours so far."""
+
+    def emit(key, reduced, state):
+        yield key[0], key[2], reduced, state, state.bit_count()
+
+    schema = "window_start bigint, event_type string, reduced bigint, odd bigint, n_odd bigint"
+    return custom.window_reduce_process(
+        _timed(spark, sf_dir), ["event_type"], "ts_ms", "cents", "1 hour", operator.or_, operator.xor, emit, schema
+    )
+
+
 @query
 def window_apply_fn(spark, sf_dir):
     """Of each hour and type: records, and the change from its first to its last value."""
 
-    def change(part: pd.DataFrame) -> pd.DataFrame:
-        by_arrival = part.sort_values("event_id")
-        head, tail = by_arrival.iloc[0], by_arrival.iloc[-1]
-        row = (head["window_start"], head["event_type"], len(part), tail["cents"] - head["cents"])
-        return pd.DataFrame([row], columns=["window_start", "event_type", "n", "change"])
+    def change(key, batches):
+        n, head, tail = 0, None, None
+        for batch in batches:
+            cents = batch.column("cents")
+            head = cents[0].as_py() if head is None else head
+            n, tail = n + len(cents), cents[-1].as_py()
+        yield key[0], key[2], n, tail - head
 
     schema = "window_start bigint, event_type string, n bigint, change bigint"
-    return custom.window_apply(_timed(spark, sf_dir), ["event_type"], "ts_ms", "1 hour", change, schema)
+    return custom.window_apply(
+        _timed(spark, sf_dir), ["event_type"], "ts_ms", "1 hour", change, schema, ["event_id"]
+    )
 
 
 @query
@@ -438,13 +455,22 @@ def cogroup_fn(spark, sf_dir):
         rows.where(F.col("event_type") == kind).drop("event_type") for kind in ("purchase", "click")
     )
 
-    def after(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        later = int((left["event_id"] > right["event_id"].min()).sum()) if len(right) else 0
-        row = (key[0], key[2], len(left), len(right), later)
-        return pd.DataFrame([row], columns=["window_start", "user_id", "buys", "clicks", "later"])
+    def after(key, clicked, bought):
+        n, first = 0, None
+        for batch in clicked:
+            first = batch.column("event_id")[0].as_py() if first is None else first
+            n += batch.num_rows
+        later, m = 0, 0
+        for batch in bought:
+            m += batch.num_rows
+            if first is not None:
+                later += sum(i > first for i in batch.column("event_id").to_pylist())
+        yield key[0], key[2], m, n, later
 
     schema = "window_start bigint, user_id bigint, buys bigint, clicks bigint, later bigint"
-    return custom.window_cogroup(buys, clicks, ["user_id"], "1 day", "ts_ms", "ts_ms", after, schema)
+    return custom.window_cogroup(
+        clicks, buys, ["user_id"], "1 day", "ts_ms", "ts_ms", after, schema, ["event_id"]
+    )
 
 
 @query

@@ -122,6 +122,13 @@ JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionke
     "running_sum": _running("user_id", "total"),
     "running_reduce": _running("event_type", "reduced").replace("sum(cents)", "bit_or(cents)"),
     "window_reduce_fn": _tumble("event_type", "reduced").replace("sum(cents)", "bit_or(cents)"),
+    "window_reduce_carry_fn": _with(
+        f"""sums AS (SELECT {_floor('ts_ms', HOUR)} AS window_start, event_type, bit_or(cents) AS reduced
+  FROM ev GROUP BY ALL)""",
+        """states AS (SELECT *, bit_xor(reduced) OVER (PARTITION BY event_type ORDER BY window_start
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS odd FROM sums)""",
+    )
+    + "SELECT *, CAST(bit_count(odd) AS BIGINT) AS n_odd FROM states",
     "window_apply_fn": _with()
     + f"""SELECT {_floor('ts_ms', HOUR)} AS window_start, event_type, count(*) AS n,
   arg_max(cents, event_id) - arg_min(cents, event_id) AS change FROM ev GROUP BY ALL""",
