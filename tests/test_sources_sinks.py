@@ -105,6 +105,51 @@ def test_ticker(spark, tmp_path):
     assert {m.group(1) for m in found} == {"0", "1", "2"}
 
 
+def test_tail_batches_are_bounded(spark, tmp_path):
+    """A backlog in bounded batches, also after a restart; one file has a long line."""
+    tail.register(spark)
+    folder, seen = tmp_path / "logs", []
+    folder.mkdir()
+    lines = {"0": [f"a{i}" * 3 for i in range(200)], "1": ["b" * 900] + [f"b{i}" for i in range(50)], "22": ["c"]}
+    for name, content in lines.items():
+        (folder / f"{name}.txt").write_text("\n".join(content) + "\n", encoding="utf-8")
+    (folder / "note.md").write_text("x\n")
+
+    def collect(batch, batch_id):
+        seen.append((batch_id, [r.value for r in batch.collect()]))
+
+    def run(until):
+        stream = spark.readStream.format("weir_tail").options(
+            path=f"file://{folder}", max_bytes=300, split_bytes=64, progress=str(tmp_path / "plan.json")
+        ).load()
+        query = stream.writeStream.foreachBatch(collect).option("checkpointLocation", str(tmp_path / "cp")).start()
+        assert wait_until(lambda: len({b for b, _ in seen}) >= until)
+        query.stop()
+
+    run(3)
+    run(6)
+    first = len(seen)
+    with open(folder / "22.txt", "a", encoding="utf-8") as file:
+        file.write("later\nunfinished")
+    total = sum(map(len, lines.values())) + 1
+    with pytest.raises(Exception, match="max_bytes needs"):
+        lost = spark.readStream.format("weir_tail").options(path=str(folder), max_bytes=300).load()
+        run_to_end(lost, tmp_path / "lost")
+    stream_done = lambda: len({v for _, vs in seen for v in vs}) >= total
+    stream = spark.readStream.format("weir_tail").options(
+        path=str(folder), max_bytes=300, progress=str(tmp_path / "plan.json")
+    ).load()
+    query = stream.writeStream.foreachBatch(collect).option("checkpointLocation", str(tmp_path / "cp")).start()
+    assert wait_until(stream_done)
+    query.stop()
+    batches = dict(seen)  # a replayed batch is the same
+    assert all(batches[b] == vs for b, vs in seen) and first >= 6
+    got = [v for b in sorted(batches) for v in batches[b]]
+    assert sorted(got) == sorted([f"{i}:{x}" for i, xs in lines.items() for x in xs] + ["22:later"])
+    sizes = [sum(len(v.split(":", 1)[1]) + 1 for v in vs) for vs in batches.values()]
+    assert max(sizes) <= 2 * 300 + 901 and sorted(sizes)[-2] <= 2 * 300
+
+
 def test_tail_resumes_at_its_offsets(spark, tmp_path):
     tail.register(spark)
     folder = tmp_path / "in"
@@ -200,16 +245,31 @@ def test_jdbc_retries(spark):
     def failing(batch):
         attempts.append(1)
         if len(attempts) < 4:
-            raise OSError("down")
+            raise ConnectionRefusedError("down")
 
     insert._insert = failing
     insert(None, 0)
     assert len(attempts) == 4 and waits == [1.0, 2.0, 4.0]
     attempts.clear()
-    insert._insert = lambda batch: attempts.append(1) or (_ for _ in ()).throw(OSError("down"))
+    insert._insert = lambda batch: attempts.append(1) or (_ for _ in ()).throw(ConnectionRefusedError("down"))
     with pytest.raises(OSError):
         insert(None, 0)
     assert len(attempts) == 6
+    # what trying again cannot help fails at once
+    attempts.clear()
+    insert._insert = lambda batch: attempts.append(1) or (_ for _ in ()).throw(ValueError("no such column"))
+    with pytest.raises(ValueError):
+        insert(None, 0)
+    assert len(attempts) == 1
+
+
+def test_transient_failures():
+    yes = ["java.sql.SQLTransientConnectionException: x", "SQLState: 08006", "Deadlock found", "Connection reset by peer"]
+    no = ["java.sql.SQLSyntaxErrorException: near", "SQLState: 42P01", "duplicate key", "value too long"]
+    assert all(jdbc.is_transient(Exception(m)) for m in yes) and not any(jdbc.is_transient(Exception(m)) for m in no)
+    wrapped = RuntimeError("job aborted")
+    wrapped.__cause__ = Exception("Communications link failure")
+    assert jdbc.is_transient(wrapped)
 
 
 def test_upsert_log(spark, tmp_path):
@@ -228,6 +288,50 @@ def test_upsert_log(spark, tmp_path):
     assert rows_of(small.read(spark), "word", "seq", "cnt") == expected
 
 
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_upsert_table_levels(spark, tmp_path, fanout):
+    """Thirty batches, replays and a merge that was cut off; few runs are read."""
+    table = upsert.UpsertTable(str(tmp_path / "t"), ["k", "j"], "seq", buckets=5, fanout=fanout)
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+    latest, schema = {}, "k STRING, j INT, seq BIGINT, v DOUBLE"
+    for n in range(14):
+        rows = [(None if i % 4 == 0 else f"k{(n * i) % 11}", i % 3 or None, n * 10 + i, None if i == 5 else n + i / 4) for i in range(8)]
+        latest.update({r[:2]: r for r in rows})
+        batch = spark.createDataFrame(rows, schema)
+        table(batch, n)
+        if n in (3, 9):
+            table(batch, n)  # replayed, after it may have been merged
+        if n == 6:
+            (tmp_path / "t" / "run=0-99").mkdir()  # a merge that did not end
+    expected = sorted(latest.values(), key=repr)
+    assert rows_of(table.read(spark), "k", "j", "seq", "v") == expected
+    runs = table.runs(spark)
+    assert runs[0][0] == 0 and runs[-1][1] == 13 and all(a[1] + 1 == b[0] for a, b in zip(runs, runs[1:]))
+    assert len(runs) <= fanout * 3
+    wanted = spark.createDataFrame([(None, 1), ("k3", 2), ("none", 9)], "k STRING, j INT")
+    found = table.lookup(wanted)
+    assert rows_of(found, "k", "j", "seq", "v") == [r for r in expected if r[:2] in {(None, 1), ("k3", 2)}]
+    one = table.lookup(wanted.where("j = 9"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan or one.count() == 0
+    assert table.vacuum(spark) > 0 and rows_of(table.read(spark), "k", "j", "seq", "v") == expected
+
+
+def test_upsert_table_reads_do_not_grow_with_batches():
+    """Runs after n batches, by the merging rule alone."""
+    table = upsert.UpsertTable("unused", ["k"], "seq", fanout=4)
+    runs, most, rewritten = [], 0, 0
+    for n in range(1000):
+        runs.append((n, n))
+        while chosen := table._full(runs):
+            at = runs.index(chosen[0])
+            runs[at : at + len(chosen)] = [(chosen[0][0], chosen[-1][1])]
+            rewritten += chosen[-1][1] - chosen[0][0] + 1
+        most = max(most, len(runs))
+    assert most <= 4 * 5 and rewritten <= 1000 * 5
+
+
 def test_key_value_upsert(spark, tmp_path):
     out = str(tmp_path / "store")
     os.makedirs(out)

@@ -9,7 +9,7 @@ from conftest import SMALL_DIR, rows_of
 from streams import finish, run_to_end, stream_of, write_batch
 from weir.operators import joins, lateness, windows
 from weir.plans.tables import events, shuffled_arrival
-from weir.streaming import carried, feedback
+from weir.streaming import carried, counts, feedback, stateful
 from weir.streaming import joins as stream_joins
 from weir.streaming import windows as stream_windows
 
@@ -126,6 +126,72 @@ def test_window_joins(spark, rows, source, tmp_path):
         assert rows_of(got, "l", "r") == rows_of(expected, "l", "r")
 
 
+@pytest.mark.parametrize("hot", [None, "k = 1"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_divided_window_joins(spark, rows, source, tmp_path, how, hot):
+    def side(kind, **names):
+        frame = timed(spark, source).where(F.col("event_type").isin(kind, "end"))
+        return frame.select("etime", (F.col("ts_ms") % 3).alias("k"), *[F.col(c).alias(n) for n, c in names.items()])
+
+    def batch_side(kind, **names):
+        frame = rows.where(F.col("event_type") == kind)
+        return frame.select((F.col("ts_ms") % 3).alias("k"), *[F.col(c).alias(n) for n, c in names.items()])
+
+    frame = stream_joins.window_join(
+        side("purchase", l="event_id"), side("click", r="event_id"), ["k"], "1 day", how, left_id="l", spread=4, hot=hot
+    )
+    got = run_to_end(frame, tmp_path).where("l >= 0")
+    expected = joins.window_join(
+        batch_side("purchase", l="event_id", lt="ts_ms"), batch_side("click", r="event_id", rt="ts_ms"),
+        ["k"], "1 day", "lt", "rt", how,
+    )
+    assert rows_of(got, "l", "r") == rows_of(expected, "l", "r")
+
+
+def test_a_hot_key_is_spread_over_tasks(spark, rows):
+    """A third of the left rows in one (window, key): no task joins more than its share."""
+    left = spark.range(9000).select(
+        F.timestamp_millis(F.lit(0)).alias("etime"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("l")
+    )
+    right = spark.range(10).select(F.timestamp_millis(F.lit(0)).alias("etime"), F.col("id").alias("k"), F.col("id").alias("r"))
+    joined = stream_joins.window_join(left, right.hint("shuffle_hash"), ["k"], "1 day", left_id="l", spread=16, hot="k = 0")
+    plain = stream_joins.window_join(left, right, ["k"], "1 day")
+    assert rows_of(joined, "l", "k", "r") == rows_of(plain, "l", "k", "r")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in sizes) > 3000 and max(r["count"] for r in sizes) < 1500
+
+
+@pytest.mark.parametrize("cuts", [[40], [7, 7, 7, 7, 12], [1] * 13 + [27], [3, 30, 0, 7]])
+def test_count_windows_over_micro_batches(spark, tmp_path, cuts):
+    data = [{"seq": i, "v": None if i % 6 == 0 else i, "k": "ab"[i % 3 == 0]} for i in range(40)]
+    schema = "seq BIGINT, v BIGINT, k STRING"
+    writer = counts.CountWindowWriter(str(tmp_path / "out"), "seq", "v", 5)
+    at = 0
+    for n, size in enumerate(cuts):
+        part = spark.createDataFrame([tuple(r.values()) for r in data[at : at + size]], schema)
+        writer(part, n)
+        writer(part, n)  # a replay
+        at += size
+    batch = windows.count_window_sum(spark.createDataFrame([tuple(r.values()) for r in data], schema), "seq", "v", 5)
+    assert rows_of(writer.read(spark), "window_index", "total") == rows_of(batch, "window_index", "total")
+    assert batch.count() == 8
+
+
+def test_count_windows_per_key_on_a_stream(spark, tmp_path):
+    data = [{"seq": i, "v": i / 4, "k": "ab"[i % 3 == 0]} for i in range(40)]
+    for start, end in ((0, 11), (11, 12), (12, 40)):
+        write_batch(tmp_path / "in", data[start:end][::-1])
+    frame = stream_of(spark, tmp_path / "in", "seq BIGINT, v DOUBLE, k STRING")
+    got = run_to_end(stateful.CountWindows("k", "seq", "v", 5).apply(frame), tmp_path / "cp")
+    batch = windows.count_window_sum(spark.read.json(str(tmp_path / "in")), "seq", "v", 5, keys=["k"])
+    assert rows_of(got, "k", "window_index", "total") == rows_of(batch, "k", "window_index", "total")
+    assert rows_of(batch.groupBy("k").count()) == [("a", 5), ("b", 2)]
+
+
 def run_carried(spark, directory, schema, writer, checkpoint):
     query = (
         stream_of(spark, directory, schema).writeStream.foreachBatch(writer)

@@ -166,16 +166,22 @@ def count_window_sum(
     size: int = 5,
     out: str = "total",
     chunks: int | None = None,
+    keys: list[str] | None = None,
 ) -> DataFrame:
-    """Sum of every ``size`` consecutive records in arrival order, over the whole
-    input; an incomplete last window is not emitted."""
-    indexed = KeyedScan(rows, [], [seq], chunks=chunks).add(_nth=scan.running_count())
-    return (
-        indexed.result()
-        .groupBy(F.floor((F.col("_nth") - 1) / F.lit(size)).alias("window_index"))
-        .agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") == size)
-        .drop("_n")
+    """Sum of every ``size`` consecutive records in arrival order, of each key or over
+    the whole input; an incomplete last window is not emitted."""
+    keys = keys or []
+    indexed = KeyedScan(rows, keys, [seq], chunks=chunks).add(_nth=scan.running_count()).result()
+    counted = numbered_sums(indexed, keys, F.col("_nth") - 1, value, size, out)
+    return counted.where(F.col("n") == size).drop("n")
+
+
+def numbered_sums(
+    rows: DataFrame, keys: list[str], place: Column, value: str, size: int, out: str
+) -> DataFrame:
+    """(keys, window_index, out, n) of count windows, given each record's place from 0."""
+    return rows.groupBy(*keys, F.floor(place / F.lit(size)).alias("window_index")).agg(
+        F.sum(value).alias(out), F.count(F.lit(1)).alias("n")
     )
 
 

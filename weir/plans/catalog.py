@@ -501,6 +501,12 @@ def count_window_sum(spark, sf_dir):
     return windows.count_window_sum(rows, "event_id", "cents", 7)
 
 
+@query
+def count_window_keyed(spark, sf_dir):
+    rows = events(spark, sf_dir).select("event_id", "user_id", "cents")
+    return windows.count_window_sum(rows, "event_id", "cents", 5, keys=["user_id"])
+
+
 @query
 def window_cumulative(spark, sf_dir):
     return windows.window_cumulative(

@@ -224,6 +224,12 @@ FROM ranked WHERE rank <= 3""",
     )
     + """SELECT i // 7 AS window_index, CAST(sum(cents) AS BIGINT) AS total
 FROM nth GROUP BY i // 7 HAVING count(*) = 7""",
+    "count_window_keyed": _with(
+        """nth AS (SELECT user_id, cents,
+  (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 5 AS window_index FROM ev)"""
+    )
+    + """SELECT user_id, window_index, CAST(sum(cents) AS BIGINT) AS total
+FROM nth GROUP BY ALL HAVING count(*) = 5""",
     "window_cumulative": _with(
         f"""sums AS (SELECT {_floor('ts_ms', HOUR)} AS window_start, event_type, sum(cents) AS s
   FROM ev GROUP BY ALL)"""

@@ -345,6 +345,34 @@ class MinuteBuckets(KeyedOperator):
         yield key, row[self.seq], name[0], total
 
 
+class CountWindows(KeyedOperator):
+    """(key, seq, window_index, total) for every ``size`` records of a key: the record
+    that fills the window, the window's number and the sum of its values."""
+
+    def __init__(self, key: str, seq: str, value: str, size: int):
+        super().__init__(key, seq)
+        self.value, self.size = value, size
+
+    def results(self) -> T.StructType:
+        return self.keyed(window_index=T.LongType(), total=sum_type(self.types[self.value]))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        kinds = _fields(n=T.LongType(), total=sum_type(self.types[self.value]))
+        self.state = handle.getValueState("open", kinds)
+
+    def begin(self) -> None:
+        self.n, self.total = self.state.get() or (0, None)
+
+    def end(self) -> None:
+        self.state.update((self.n, self.total))
+
+    def on_record(self, key, row, timers):
+        self.n, self.total = self.n + 1, add(self.total, row[self.value])
+        if self.n % self.size == 0:
+            yield key, row[self.seq], self.n // self.size - 1, self.total
+            self.total = None
+
+
 class VersionedLookup(KeyedOperator):
     """Facts with the current dimension name: (key, seq, payload, name). Input rows
     are facts (``kind`` 1) and changes (``kind`` 0) of one key, as laid out by
