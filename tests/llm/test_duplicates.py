@@ -106,6 +106,18 @@ def test_signatures_estimate_weighted_similarity(weights):
     assert abs((signed[0] == signed[1]).mean() - exact) < 0.05
 
 
+def test_counted_elements_have_weighted_similarity():
+    texts = ["a b c d e " * 4 + "f", "a b c d e " * 3 + "f g", "a b c d e f", "", None]
+    for x in texts:
+        for y in texts:
+            one, two = (Counter(dart_minhash.shingles(t).tolist()) for t in (x, y))
+            top = sum((one | two).values())
+            expected = sum((one & two).values()) / top if top else 0.0
+            got = dart_minhash.similarity(*(dart_minhash.elements(t, True) for t in (x, y)))
+            assert got == pytest.approx(expected)
+    assert dart_minhash.elements("a b c d e a b c d e a").tolist() == sorted(set(dart_minhash.shingles("a b c d e a b c d e a").tolist()))
+
+
 def test_components_of_paths_and_stars(spark):
     draw = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 80)]

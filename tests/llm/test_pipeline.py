@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 from conftest import SMALL_DIR
+from pyspark.sql import functions as F
 from test_duplicates import brute_classes
 
 from weir.llm import mixing, quality_rules
@@ -59,3 +60,15 @@ def test_stages_on_an_empty_table_and_odd_rows(spark):
     for frame in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, frame, SMALL_DIR).collect()
+
+
+def test_columns_of_any_name_go_through(spark):
+    """Names that operators use themselves are kept as they came, to the last stage."""
+    names = ["position", "positions", "taken", "target", "source_size", "size", "lines_removed"]
+    docs = read(spark, SMALL_DIR, "documents").limit(60)
+    odd = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        odd = stored(spark, stage(spark, odd, SMALL_DIR), "odd")
+        assert odd.columns == [*docs.columns, *names], name
+    rows = odd.collect()
+    assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)

@@ -14,10 +14,14 @@ Joining:
 1. equal texts are one node; copies never meet in a join;
 2. signatures are cut into bands of ``ROWS``; nodes that share a band form a bucket,
    and each links to the bucket's smallest node;
-3. links are checked exactly: Jaccard similarity of the shingles >= ``THRESHOLD``;
-4. connected components of the links are classes;
+3. links whose signatures (a byte of each coordinate) agree too little go, before any
+   text moves; each node's best link is checked exactly: (weighted) Jaccard similarity of
+   the shingles >= ``THRESHOLD``; connected components are classes; of the other links,
+   those between different classes are checked then;
+4. components of all links are classes;
 5. in buckets that still hold nodes of different classes besides the smallest, nodes
-   meet in blocks of a fixed size; pairs of different classes that may be similar by
+   meet in blocks of a fixed size: those of the bucket's most frequent class meet only the
+   others, which also meet each other. Pairs of different classes that may be similar by
    their signatures are checked exactly, too, and components are formed again.
 
 So no bucket is cut off: pairs inside one class need no link of their own, all others
@@ -38,7 +42,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import stored
@@ -54,7 +58,7 @@ MAYBE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / K) ** 0.5
 BLOCK = 512
 _DOCS_AT_ONCE = 128
 
-_SIGNED = "node binary, doc_id bigint, bands array<bigint>, signature binary"
+_SIGNED = "node binary, doc_id bigint, bands array<bigint>, signature binary, brief binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -79,6 +83,17 @@ def shingles(text: str | None) -> np.ndarray:
     return h
 
 
+def elements(text: str | None, counted: bool = False) -> np.ndarray:
+    """Distinct shingles; counted, the n-th of its kind is an element of its own, so that
+    the similarity of two sets is that of the weights."""
+    found = np.sort(shingles(text))
+    if not counted or not len(found):
+        return np.unique(found)
+    starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+    nth = np.arange(len(found)) - np.repeat(starts, np.diff(np.r_[starts, len(found)]))
+    return np.unique(_mix(found + _mix(nth.astype(np.uint64))))
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sets of distinct hashes."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -176,8 +191,9 @@ def sign_documents(docs: DataFrame, counted: bool = False) -> DataFrame:
                     part.column("doc_id"),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(signatures, pa.binary()),
+                    pa.array([None if x is None else x[::4] for x in signatures], pa.binary()),  # low bytes
                 ],
-                ["node", "doc_id", "bands", "signature"],
+                ["node", "doc_id", "bands", "signature", "brief"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -198,7 +214,47 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(spark, texts, "dart-texts")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+def _agreeing(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, agree) of the pairs that may be similar by a byte of each coordinate."""
+    brief = nodes.select("node", "brief")
+    left = pairs.join(brief.withColumnsRenamed({"node": "b", "brief": "brief_b"}), "b")
+    both = left.join(brief.withColumnsRenamed({"node": "a", "brief": "brief_a"}), "a")
+
+    def run(batches):
+        for part in batches:
+            a, b = (
+                np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, K) for c in ("brief_a", "brief_b")
+            )
+            same = (a == b).mean(1)
+            keep = np.flatnonzero(same >= MAYBE)
+            rows = pa.array(keep)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("a").take(rows), part.column("b").take(rows), pa.array(same[keep])], ["a", "b", "agree"]
+            )
+
+    rated = both.select("a", "b", "brief_a", "brief_b").mapInArrow(run, "a binary, b binary, agree double")
+    return stored(pairs.sparkSession, rated, "dart-rated")
+
+
+def _hub_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float, counted: bool) -> DataFrame:
+    """Links to hubs that join all that the pairs would join: each node's best one is
+    checked first, then those between classes that are still apart."""
+    spark = docs.sparkSession
+    rated = _agreeing(nodes, pairs)
+    best = rated.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("top"))
+    best = stored(spark, best.select(F.col("b").alias("node"), "top.a"), "dart-best")
+    links = _verified(docs, nodes, best.select("a", F.col("node").alias("b")), threshold, counted)
+    comps = stored(spark, components(links), "dart-components")
+    others = rated.join(best.withColumnRenamed("a", "tried"), F.col("b") == F.col("node")).where("a <> tried")
+    others = others.select("a", "b")
+    for end in ("a", "b"):
+        of = comps.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+        others = others.join(of, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+    apart = stored(spark, others.where("comp_a <> comp_b").select("a", "b"), "dart-apart")
+    return links.unionByName(_verified(docs, nodes, apart, threshold, counted))
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float, counted: bool) -> DataFrame:
     """Pairs (a, b) of nodes whose texts are similar enough."""
     spark = docs.sparkSession
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -213,8 +269,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: fl
             columns = (part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
             for a, b, text_a, text_b in zip(*columns):
                 if seen[0] != a:  # one node's pairs come together
-                    seen = (a, np.unique(shingles(text_a)))
-                if similarity(seen[1], np.unique(shingles(text_b))) >= threshold:
+                    seen = (a, elements(text_a, counted))
+                if similarity(seen[1], elements(text_b, counted)) >= threshold:
                     kept.append((a, b))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in kept], pa.binary()) for i in (0, 1)], ["a", "b"]
@@ -224,11 +280,19 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: fl
 
 
 def _open_links(
-    docs: DataFrame, bands: DataFrame, buckets: DataFrame, comps: DataFrame, nodes: DataFrame, threshold: float
+    docs: DataFrame,
+    bands: DataFrame,
+    buckets: DataFrame,
+    comps: DataFrame,
+    nodes: DataFrame,
+    threshold: float,
+    counted: bool,
 ) -> DataFrame:
     """Links between different classes in one bucket, apart from those of its smallest
-    node, which have been checked. Members meet in blocks of a fixed size; only links
-    that join two classes of a block are returned, so they are fewer than its rows."""
+    node, which have been checked. Members of the bucket's most frequent class and the
+    others are dealt to blocks of a fixed size; each block of the one meets each of the
+    other, and the others' blocks meet each other. Only links that join two classes of a
+    meeting are returned, so they are fewer than its rows."""
     spark = docs.sparkSession
     members = (
         bands.join(buckets, "band")
@@ -236,16 +300,21 @@ def _open_links(
         .join(comps, "node", "left")
         .select("band", "node", F.coalesce("comp", "node").alias("comp"))
     )
-    mixed = members.groupBy("band").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n")
+    per = members.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per.groupBy("band").agg(
+        F.max_by("comp", "n").alias("main"),
+        F.max("n").alias("n_main"),
+        (F.sum("n") - F.max("n")).alias("n_other"),
+    )
+    mixed = stored(spark, mixed.where("n_other > 0"), "dart-mixed")
+    rest = stored(
+        spark, members.join(mixed, "band").withColumn("main", F.col("comp") == F.col("main")), "dart-rest"
     )
-    mixed = stored(spark, mixed.where("low <> high").select("band", "n"), "dart-mixed")
-    rest = stored(spark, members.join(mixed, "band"), "dart-rest")
     wanted = rest.select("node").distinct()
 
     def pack(batches):
         for part in batches:
-            sets = [np.unique(shingles(t)).tobytes() for t in part.column("text").to_pylist()]
+            sets = [elements(t, counted).tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"]
             )
@@ -253,21 +322,34 @@ def _open_links(
     sets = _texts(docs, nodes, wanted).mapInArrow(pack, "node binary, shingles binary")
     signed = sets.join(nodes.select("node", "signature"), "node")
     signed = stored(spark, signed, "dart-rest-sets")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    main_blocks, other_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_main", "n_other"))
+    zero = F.lit(0)
+    mine = F.pmod(F.xxhash64("node"), F.when(F.col("main"), main_blocks).otherwise(other_blocks)).cast("int")
+
+    def cells(last: Column, cell) -> Column:
+        return F.transform(F.sequence(zero, last - 1), cell)
+
+    def cell(crossed: bool, i: Column, j: Column) -> Column:
+        return F.struct(F.lit(crossed).alias("crossed"), i.alias("i"), j.alias("j"))
+
+    own = F.col("mine")
+    of_main = cells(other_blocks, lambda j: cell(True, own, j))
+    to_main = cells(main_blocks, lambda i: cell(True, i, own))
+    to_others = cells(other_blocks, lambda j: cell(False, F.least(own, j), F.greatest(own, j)))
+    met = F.when(F.col("main"), of_main).when(F.col("n_other") == 1, to_main).otherwise(F.concat(to_main, to_others))
     dealt = (
         rest.join(signed, "node")
         .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "band", "node", "comp", "signature", "shingles", "mine",
-            F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        )
+        .withColumn("cell", F.explode(met))
+        .select("band", "node", "comp", "signature", "shingles", "main", "mine", "cell.*")
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        i, j = part["i"].iloc[0], part["j"].iloc[0]
-        left, right = part[part["mine"] == i], part[part["mine"] == j]
+        crossed, i, j = (part[c].iloc[0] for c in ("crossed", "i", "j"))
+        if crossed:
+            left, right = part[part["main"]], part[~part["main"]]
+        else:
+            left, right = part[part["mine"] == i], part[part["mine"] == j]
         matrix = np.stack([np.frombuffer(s, np.uint32) for s in right["signature"]]) if len(right) else None
         parent = {c: c for c in part["comp"]}
 
@@ -284,7 +366,7 @@ def _open_links(
             same = (matrix == np.frombuffer(row.signature, np.uint32)).mean(1)
             mine = np.frombuffer(row.shingles, np.uint64)
             for k in np.flatnonzero(same >= MAYBE):
-                if i == j and k <= at:
+                if not crossed and i == j and k <= at:
                     continue
                 a, b = root(row.comp), root(comps[k])
                 if a != b and similarity(mine, np.frombuffer(packed[k], np.uint64)) >= threshold:
@@ -292,7 +374,7 @@ def _open_links(
                     found.append((row.node, names[k]))
         return pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
-    return dealt.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
+    return dealt.groupBy("band", "crossed", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicate_classes(
@@ -303,7 +385,10 @@ def near_duplicate_classes(
     spark = docs.sparkSession
     signed = stored(spark, sign_documents(docs, counted), "dart-signed")
     nodes = signed.where("bands IS NOT NULL").groupBy("node").agg(
-        F.first("bands").alias("bands"), F.first("signature").alias("signature"), F.min("doc_id").alias("first")
+        F.first("bands").alias("bands"),
+        F.first("signature").alias("signature"),
+        F.first("brief").alias("brief"),
+        F.min("doc_id").alias("first"),
     )
     nodes = stored(spark, nodes, "dart-nodes")
     bands = nodes.select(F.explode("bands").alias("band"), "node")
@@ -311,9 +396,9 @@ def near_duplicate_classes(
     buckets = stored(spark, ends.where("hub <> last").select("band", "hub"), "dart-buckets")
     pairs = bands.join(buckets, "band").where("node <> hub")
     pairs = stored(spark, pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "dart-pairs")
-    links = _verified(docs, nodes, pairs, threshold)
+    links = _hub_links(docs, nodes, pairs, threshold, counted)
     comps = stored(spark, components(links), "dart-components")
-    more = stored(spark, _open_links(docs, bands, buckets, comps, nodes, threshold), "dart-open")
+    more = stored(spark, _open_links(docs, bands, buckets, comps, nodes, threshold, counted), "dart-open")
     if not more.isEmpty():
         links = links.unionByName(more)
         comps = stored(spark, components(links), "dart-components")

@@ -70,8 +70,11 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, *, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """The documents without repeated boilerplate, and ``lines_removed``."""
+def dedup_lines(
+    docs: DataFrame, *, site: str = "source", min_sites: int = MIN_SITES, removed: str = "lines_removed"
+) -> DataFrame:
+    """The documents without repeated boilerplate, and how many lines went in a column
+    named ``removed``; where the documents have such a column, ``__line_`` goes before."""
     spark = docs.sparkSession
     lines = _lines(docs, site)
     common = boilerplate(lines, min_sites).select(
@@ -98,5 +101,5 @@ def dedup_lines(docs: DataFrame, *, site: str = "source", min_sites: int = MIN_S
             else F.col("__line_row")[name].alias(name)
             for name in names
         ],
-        F.when(cut, F.size(all_lines) - F.size(kept)).otherwise(0).cast("bigint").alias("lines_removed"),
+        F.when(cut, F.size(all_lines) - F.size(kept)).otherwise(0).cast("bigint").alias(removed if removed not in names else f"__line_{removed}"),
     )

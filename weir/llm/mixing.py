@@ -103,6 +103,35 @@ def mix(
 
     ``schedules`` has (source, knots array<struct<t, w>>), a row per source.
     """
+    placed = _placed(docs, schedules, size, max_repeats)
+
+    def named(name: str, instead: str | None = None) -> str:
+        return name if name not in docs.columns else P + (instead or name)
+
+    first = F.get(P + "positions", F.lit(0))
+    ranged = placed.repartitionByRange(first.asc_nulls_last(), F.col(P + "row.doc_id")).sortWithinPartitions(
+        first.asc_nulls_last(), F.col(P + "row.doc_id")
+    )
+    return ranged.select(
+        P + "row.*",
+        F.col(P + "size").alias(named("size", "words")),
+        *[F.col(P + c).alias(named(c)) for c in ("source_size", "target", "taken", "positions")],
+    )
+
+
+def training_order(
+    docs: DataFrame, schedules: DataFrame, *, size: Column | None = None, max_repeats: int = MAX_REPEATS
+) -> DataFrame:
+    """The columns of ``docs``, a row for each pass taken, range-sorted by position: the
+    rows are shuffled once to be placed and once to be sorted."""
+    placed = _placed(docs, schedules, size, max_repeats)
+    each = placed.select(P + "row", F.explode(P + "positions").alias(P + "position"))
+    order = [F.col(P + "position"), F.col(P + "row.doc_id")]
+    return each.repartitionByRange(*order).sortWithinPartitions(*order).select(P + "row.*")
+
+
+def _placed(docs: DataFrame, schedules: DataFrame, size: Column | None, max_repeats: int) -> DataFrame:
+    """Each document as a struct, with its size, its source's, and its positions."""
     spark = docs.sparkSession
     mixed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select(
@@ -129,17 +158,13 @@ def mix(
     starts = F.filter(starts, lambda x: (n > 0) & (x + n / 2 < F.col("target")))
     scale = F.when(F.col("target") > 0, F.col("weight") / F.col("target")).otherwise(0.0)
     positions = F.transform(starts, lambda x: F.least(F.lit(1.0), invert(F.col("pieces"), x * scale)))
-    out = placed.select(
-        P + "row.*",
-        n.alias("size") if "size" not in docs.columns else n.alias(P + "words"),
-        "source_size",
-        "target",
-        (n * F.size(starts)).alias("taken"),
-        positions.alias("positions"),
-    )
-    first = F.get("positions", F.lit(0))
-    return out.repartitionByRange(first.asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(
-        first.asc_nulls_last(), F.col("doc_id")
+    return placed.select(
+        P + "row",
+        P + "size",
+        F.col("source_size").alias(P + "source_size"),
+        F.col("target").alias(P + "target"),
+        (n * F.size(starts)).alias(P + "taken"),
+        positions.alias(P + "positions"),
     )
 
 
