@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's ``docs``. All but the last return the columns
-of ``documents``.
+of ``documents``, and any others that these have, whatever their names.
+
+Defined cases, beside those of each operator: a NULL, empty or wordless text fails the
+first stage's rules; of repeated rows, one stays after the third; a row that is taken
+several times comes as often from the fourth on; an empty table goes through all stages.
 """
 
 from __future__ import annotations
@@ -23,9 +27,10 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go but for one occurrence; so do documents made of nothing else."""
-    cut = line_dedup.dedup_lines(docs)
-    left = cut.where((F.col("lines_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    changed = F.when(F.col("lines_removed") > 0, F.length("text").cast("bigint"))
+    n = "__lines_cut"
+    cut = line_dedup.dedup_lines(docs, removed=n)
+    left = cut.where((F.col(n) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = F.when(F.col(n) > 0, F.length("text").cast("bigint"))
     return left.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(*docs.columns)
 
 
@@ -36,8 +41,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time a document is trained on, in training order."""
-    taken = mixing.mix(docs, mixing.cycling_schedules(docs))
-    return mixing.training_rows(taken).select(*docs.columns)
+    return mixing.training_order(docs, mixing.cycling_schedules(docs))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
