@@ -208,8 +208,9 @@ def test_pieces_equal_the_library(spark, model):
     texts = ["".join(draw.choice(some) for _ in range(draw.randrange(40))) for _ in range(3000)]
     texts += ["", " " * 1000, "-" * 777, "a" * 5000, "the" * 3000, "=" * 501 + " x", "é" * 300]
     for text in texts:
-        ids = model.encode(text)
+        ids = model.encode(text).tolist()
         assert ids == library.encode(text)
+        assert list(pieces.stream(model, [model.marked(text)])) == ids
         assert model.decode(ids) == text
     for r in QUERIES["op10_pieces"](spark, SMALL_DIR).join(read(spark, SMALL_DIR, "documents"), "doc_id").collect():
         assert r.ids == library.encode(r.text) and r.n_tokens == len(r.ids) and r.round_trip

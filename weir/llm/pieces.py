@@ -8,13 +8,15 @@ one path. Characters without a piece become their bytes.
 
 The search keeps a window: pieces are at most ``longest`` characters, so only paths
 that end in the last ``longest`` boundaries survive. Whenever the backpointers of all
-of them meet in one boundary, the ids before it are final and leave the window.
+of them meet in one boundary, the ids before it are final and leave the window. They
+meet for certain where no piece reaches beyond the boundary at hand; else the paths are
+followed back when the window has grown to four times ``longest``.
 
-Where no piece spans two neighbouring characters, all paths meet for certain. Such
-boundaries are known from the vocabulary: before a run of space marks, and between
-a letter and a character (most punctuation) that no piece has after one. The text is
-cut there, and the ids of a cut are remembered (up to ``REMEMBERED`` a task).
-A text without such boundaries runs through the window.
+Some of these boundaries are known from the vocabulary alone, as no piece spans the two
+characters there: before a run of space marks, and between a letter and a character
+(most punctuation) that no piece has after one. No path depends on what lies beyond, so
+the search may start anew there, and what it found for a part of a text is remembered
+(within ``REMEMBERED``, by each worker). Parts of any length go through the window.
 
 Defined cases: NULL text gives NULL ids; empty text no ids; repeated rows are encoded
 alike; an empty table gives an empty result; other columns are not read. A literal
@@ -23,17 +25,25 @@ U+2581 in a text comes back as a space, as the format asks.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED = 500_000
+#: Characters of parts that a worker remembers, each part counted as ``PART`` more, in
+#: each of two generations; and the number of pairs of pieces.
+REMEMBERED, PART = 30_000_000, 50
+PAIRS = 1_000_000
+#: Characters that enter the window at once.
+CHUNK = 4096
 SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, round_trip boolean"
 
 
@@ -51,6 +61,8 @@ class Model:
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(len(self.pieces)) if p.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.hidden = {i for i in range(len(self.pieces)) if p.is_control(i)}
+        self.special = np.zeros(len(self.pieces), bool)
+        self.special[[*self.byte_of, *self.hidden]] = True
         self.unknown = p.unk_id()
         for i, piece in enumerate(self.pieces):
             if i not in self.byte_of and i not in self.hidden and i != self.unknown and not p.is_unused(i):
@@ -69,19 +81,19 @@ class Model:
         self.plain = p.normalize(" a  b ") == f"{MARK}{MARK}a{MARK}{MARK}b "
         crossing = any(MARK in x.lstrip(MARK) for x in self.ids)
         self.cuts = None if crossing else _cuts(self.ids)
-        self._follow: dict[int, bool] = {}
-        self._words: dict[str, tuple[int, ...]] = {}
+        self._follow: dict[int, dict[int, bool]] = {}
+        self._pairs = 0
+        self._parts = _Parts(self)
 
     def follows(self, before: int, piece: int) -> bool:
         """Whether merging the text of both gives exactly these two pieces."""
-        key = before << 32 | piece
-        known = self._follow.get(key)
-        if known is None:
-            if len(self._follow) > 2 * REMEMBERED:
-                self._follow.clear()
+        known = self._follow.setdefault(before, {})
+        free = known.get(piece)
+        if free is None:
             pair = [self.pieces[before], self.pieces[piece]]
-            known = self._follow[key] = merge("".join(pair), self.ids, self.scores) == pair
-        return known
+            free = known[piece] = merge("".join(pair), self.ids, self.scores) == pair
+            self._pairs += 1
+        return free
 
     def fallback(self, char: str) -> list[int]:
         if not self.bytes:
@@ -93,28 +105,21 @@ class Model:
             return MARK + text.replace(" ", MARK) if text else ""
         return self.normalize(text)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, as 32-bit integers."""
         marked = self.marked(text)
-        if self.cuts is None:
-            return list(stream(self, [marked]))
-        out: list[int] = []
-        words = self._words
-        for word in self.cuts.findall(marked):
-            ids = words.get(word)
-            if ids is None:
-                brief = len(word) <= 32
-                ids = tuple(_brief(self, word) if brief and self.merges else stream(self, [word]))
-                if brief:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    words[word] = ids
-            out += ids
-        return out
+        parts = [marked] if self.cuts is None else self.cuts.findall(marked)
+        found = b"".join(map(self._parts.__getitem__, parts))
+        self._parts.trim()
+        return np.frombuffer(found, np.int32)
 
     def decode(self, ids) -> str:
+        ids = np.asarray(ids, np.int64)
         parts: list[str] = []
+        if not self.special[ids].any():
+            parts, ids = list(map(self.pieces.__getitem__, ids.tolist())), ids[:0]
         pending = bytearray()
-        for i in ids:
+        for i in ids.tolist():
             byte = self.byte_of.get(i)
             if byte is not None:
                 pending.append(byte)
@@ -128,14 +133,41 @@ class Model:
         return text[1:] if text.startswith(" ") else text
 
 
+class _Parts(dict):
+    """Ids, as bytes, of parts of texts that have come up. Beyond the limit the parts
+    become the older generation; of those before it, only the ones met again stay."""
+
+    def __init__(self, model: Model):
+        self.model, self.chars = model, 0
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.older.get(part)
+        if found is None:
+            chunks = [part[i : i + CHUNK] for i in range(0, len(part), CHUNK)]
+            found = array("i", stream(self.model, chunks)).tobytes()
+        self[part] = found
+        self.chars += len(part) + PART
+        return found
+
+    def trim(self) -> None:
+        if self.chars > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+            self.chars = 0
+        if self.model._pairs > PAIRS:
+            self.model._follow.clear()
+            self.model._pairs = 0
+
+
 def _cuts(ids) -> re.Pattern:
     """Pattern of the parts between certain boundaries: before space marks, and between
     a letter or digit and an ASCII character that no piece has right after one."""
     after = {b for x in ids for a, b in zip(x, x[1:]) if re.match(_ALNUM, a)}
     free = {c for x in ids for c in x if not re.match(_ALNUM, c)} | set("\t\n\r")
     tail = "".join(map(re.escape, sorted(c for c in free - after - {MARK} if c.isascii())))
-    head = f"{MARK}*{_ALNUM}+(?=[{tail}])|" if tail else ""
-    return re.compile(f"{head}{MARK}*[^{MARK}]+|{MARK}+")
+    head = f"{MARK}*+{_ALNUM}++(?=[{tail}])|" if tail else ""
+    return re.compile(f"{head}{MARK}*+[^{MARK}]++|{MARK}++")
 
 
 _ALNUM = r"[^\W_]"
@@ -170,101 +202,127 @@ def merge(text: str, ids: dict[str, int], scores: list[float]) -> list[str]:
 
 def stream(model: Model, chunks) -> Iterator[int]:
     """Ids of the text that the chunks make up, as soon as they are final."""
-    text, base = "", 0  # the window's text, and the boundary all paths come from
+    longest, extend = model.longest, _merged if model.merges else _scored
+    text, base = "", 0  # the window's text, and the boundary that pieces are tried from next
     back: list[int] = [0]  # by boundary in the window: where its last piece starts
     last: list[int] = [-1]  # that piece; -1 for bytes
     score: list[float] = [0.0]
+    far = 0  # the last boundary that a path has reached
     for chunk in chain(chunks, [None]):
         text += chunk or ""
+        new = len(text) + 1 - len(back)
+        back += [-1] * new
+        last += [-1] * new
+        score += [float("-inf")] * new
         # a start is settled once all pieces that could end there have been tried
-        end = len(text) if chunk is None else len(text) - model.longest
+        end = len(text) if chunk is None else len(text) - longest
+        final = 0
         while base < end:
-            _extend(model, text, base, back, last, score)
-            base += 1
-            if base >= 4 * model.longest:
-                meet = _meeting(back, base, model.longest)
-                if meet:
-                    yield from _path(model, text, back, last, meet)
-                    text, base, end = text[meet:], base - meet, end - meet
-                    back = [b if b < 0 else max(0, b - meet) for b in back[meet:]]
-                    last, score = last[meet:], score[meet:]
+            # up to where the window is full, or all paths may meet
+            base, far = extend(model, text, base, min(end, final + 4 * longest), far, back, last, score)
+            meet = base if base == far else _meeting(back, base, far)
+            if meet > final:
+                yield from _path(model, text, back, last, final, meet)
+                final = meet
+            if base < end and base >= final + 4 * longest:  # the paths have not met yet
+                base, far = extend(model, text, base, min(end, base + longest), far, back, last, score)
+        if final:
+            text, base, far = text[final:], base - final, far - final
+            back = [max(0, b - final) if b >= 0 else -1 for b in back[final:]]
+            last, score = last[final:], score[final:]
     if text:
-        yield from _path(model, text, back, last, len(text))
-
-
-def _extend(model: Model, text: str, at: int, back, last, score) -> None:
-    """Try all pieces that start at boundary ``at``."""
-    stop = min(len(text), at + model.longest)
-    short = stop + 1 - len(back)
-    if short > 0:
-        back += [-1] * short
-        last += [-1] * short
-        score += [float("-inf")] * short
-    previous, tree, merges = last[at], model.tree, model.merges
-    for end in range(at, stop):
-        node = tree.get(text[end])
-        if node is None:
-            break
-        i, tree = node
-        if i < 0:
-            continue
-        if merges:
-            if back[end + 1] < 0 and (previous < 0 or model.follows(previous, i)):
-                back[end + 1], last[end + 1] = at, i
-        elif score[at] + model.scores[i] > score[end + 1]:
-            back[end + 1], last[end + 1], score[end + 1] = at, i, score[at] + model.scores[i]
-    if text[at] not in model.ids:
-        if merges:
-            back[at + 1] = at
-        elif score[at] + model.least > score[at + 1]:
-            back[at + 1], last[at + 1], score[at + 1] = at, -1, score[at] + model.least
-
-
-def _brief(model: Model, text: str) -> list[int]:
-    """The same search on a part that fits a window as a whole, for a merging model."""
-    n, top, known = len(text), model.tree, model._follow
-    back, last = [-1] * (n + 1), [-1] * (n + 1)
-    for at in range(n):
-        previous, tree, end = last[at], top, at
-        for char in text[at:]:
+        yield from _path(model, text, back, last, 0, len(text))
+
+
+def _merged(model: Model, text: str, at: int, end: int, far: int, back, last, score) -> tuple[int, int]:
+    """Try all pieces that start at the boundaries from ``at`` to ``end``, for a merging
+    model: a boundary keeps the first piece that may follow."""
+    top, known, none, longest = model.tree, model._follow, {}, model.longest
+    while at < end:
+        previous, tree, to = last[at], top, at
+        pairs = None if previous < 0 else known.get(previous, none)
+        for char in text[at : at + longest]:
+            node = tree.get(char)
+            if node is None:
+                break
+            i, tree = node
+            to += 1
+            if i >= 0 and back[to] < 0:
+                free = pairs is None or pairs.get(i)
+                if model.follows(previous, i) if free is None else free:
+                    back[to], last[to] = at, i
+                    if to > far:
+                        far = to
+        at += 1
+        if back[at] < 0:  # no piece, or none that merging leaves: bytes
+            back[at] = at - 1
+            far = max(far, at)
+    return at, far
+
+
+def _scored(model: Model, text: str, at: int, end: int, far: int, back, last, score) -> tuple[int, int]:
+    """The same for a unigram model: a boundary keeps the piece with the best sum."""
+    top, scores, longest = model.tree, model.scores, model.longest
+    while at < end:
+        before, tree, to = score[at], top, at
+        for char in text[at : at + longest]:
             node = tree.get(char)
             if node is None:
                 break
             i, tree = node
-            end += 1
-            if i >= 0 and back[end] < 0:
-                if previous < 0:
-                    back[end], last[end] = at, i
-                else:
-                    free = known.get(previous << 32 | i)
-                    if model.follows(previous, i) if free is None else free:
-                        back[end], last[end] = at, i
-        if back[at + 1] < 0:  # no piece, or none that merging leaves: bytes
-            back[at + 1] = at
-    return _path(model, text, back, last, n)
-
-
-def _meeting(back: list[int], base: int, longest: int) -> int:
-    """The boundary in which the paths of all surviving boundaries meet: those before
-    ``base`` that a later piece may start from or that have been reached already."""
-    alive = {b for b in range(max(0, base), len(back)) if back[b] >= 0}
+            to += 1
+            if i >= 0 and before + scores[i] > score[to]:
+                back[to], last[to], score[to] = at, i, before + scores[i]
+                far = max(far, to)
+        char, at = text[at], at + 1
+        if char not in model.ids and before + model.least > score[at]:
+            back[at], last[at], score[at] = at - 1, -1, before + model.least
+            far = max(far, at)
+    return at, far
+
+
+def _meeting(back: list[int], base: int, far: int) -> int:
+    """The boundary in which the paths of all surviving boundaries meet: ``base`` and
+    those beyond it that have been reached."""
+    alive = {b for b in range(base + 1, far + 1) if back[b] >= 0}
     alive.add(base)
     while len(alive) > 1:
-        far = max(alive)
-        alive.remove(far)
-        alive.add(back[far])
+        end = max(alive)
+        alive.remove(end)
+        alive.add(back[end])
     return alive.pop()
 
 
-def _path(model: Model, text: str, back, last, end: int) -> list[int]:
+def _path(model: Model, text: str, back, last, start: int, end: int) -> list[int]:
     steps: list[list[int]] = []
-    while end > 0:
+    while end > start:
         piece = last[end]
         steps.append(model.fallback(text[end - 1]) if piece < 0 else [piece])
         end = back[end]
     return [i for step in reversed(steps) for i in step]
 
 
+_MODELS: dict[bytes, Model] = {}
+
+
+def _model(proto: bytes) -> Model:
+    """The model of this worker process, which keeps what it has remembered from task to
+    task; a worker holds one."""
+    key = hashlib.sha256(proto).digest()
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = Model(proto)
+    return _MODELS[key]
+
+
+def _lists(ids: list) -> pa.Array:
+    """Arrays of ids as one Arrow array; None stays NULL."""
+    flat = np.concatenate([np.zeros(0, np.int32), *(i for i in ids if i is not None)])
+    ends = np.cumsum([0, *(0 if i is None else len(i) for i in ids)]).astype(np.int32)
+    offsets = pa.array(ends, mask=np.array([*(i is None for i in ids), False]))
+    return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
+
+
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, ids, n_tokens, round_trip) of every document. The model is read on the
     driver and travels with the tasks; its size is that of its file."""
@@ -272,7 +330,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
         proto = f.read()
 
     def run(batches):
-        model = Model(proto)
+        model = _model(proto)
         for part in batches:
             texts = part.column("text").to_pylist()
             ids = [None if t is None else model.encode(t) for t in texts]
@@ -280,8 +338,8 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
-                    pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([len(i or ()) for i in ids], pa.int64()),
+                    _lists(ids),
+                    pa.array([0 if i is None else len(i) for i in ids], pa.int64()),
                     pa.array(same, pa.bool_()),
                 ],
                 ["doc_id", "ids", "n_tokens", "round_trip"],
@@ -297,7 +355,7 @@ def decode_documents(encoded: DataFrame, model_file: str) -> DataFrame:
         proto = f.read()
 
     def run(batches):
-        model = Model(proto)
+        model = _model(proto)
         for part in batches:
             texts = [None if i is None else model.decode(i) for i in part.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
