@@ -204,6 +204,35 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP9_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+),
+s AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM t WHERE len(words) >= 50
+),
+h AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS h FROM s
+),
+f AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first FROM h
+),
+c AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM f, unnest(range(0, 50)) AS u(k) WHERE first < doc_id
+),
+w AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM t
+),
+k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM w ANTI JOIN c USING (doc_id, i) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""
+
 OP13_SQL = r"""
 WITH l AS (
   SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
@@ -261,5 +290,6 @@ ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op7_exact_top_k": OP7_SQL,
+    "op9_block_anchors": OP9_SQL,
     "op13_filter_audit": OP13_SQL,
 }
