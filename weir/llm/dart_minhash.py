@@ -200,17 +200,20 @@ def sign_documents(docs: DataFrame, counted: bool = False) -> DataFrame:
     return rows.mapInArrow(run, _SIGNED)
 
 
+def _id_keys(doc_id: Column) -> list[Column]:
+    """An id that may be NULL as two columns that are not."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("__dart_id"), doc_id.isNull().alias("__dart_null")]
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the wanted nodes. A text comes from the node's first document,
     so that copies are not gathered."""
     spark = docs.sparkSession
-    named = docs.select(
-        F.unhex(F.md5("text")).alias("node"), F.col("doc_id").cast("bigint").alias("id"), "text"
-    )
-    wanted = wanted.join(nodes.select("node", "first"), "node")
-    wanted = stored(spark, wanted.select(F.col("node").alias("want"), "first"), "dart-wanted")
-    match = (F.col("node") == F.col("want")) & F.col("id").eqNullSafe(F.col("first"))
-    texts = named.join(wanted, match).groupBy("node").agg(F.first("text").alias("text"))
+    named = docs.select(F.unhex(F.md5("text")).alias("node"), *_id_keys(F.col("doc_id").cast("bigint")), "text")
+    wanted = wanted.join(nodes.select("node", "first"), "node").select("node", *_id_keys(F.col("first")))
+    wanted = stored(spark, wanted, "dart-wanted")
+    keys = wanted.columns  # of the join and of the grouping: texts are shuffled once
+    texts = named.join(wanted, keys).groupBy(*keys).agg(F.first("text").alias("text")).select("node", "text")
     return stored(spark, texts, "dart-texts")
 
 
@@ -426,17 +429,17 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     spark = docs.sparkSession
     classes = near_duplicate_classes(docs, **options)
     chosen = classes.where("class_node = node AND class_id <=> doc_id").select(
-        F.col("node").alias("__dart_node"), F.col("class_id").alias("__dart_id")
+        F.col("node").alias("__dart_node"), *_id_keys(F.col("class_id"))
     )
     chosen = stored(spark, chosen.distinct(), "dart-chosen")
     row = docs.select(
         F.struct("*").alias("__dart_row"),
         F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("__dart_node"),
-        F.col("doc_id").cast("bigint").alias("__dart_id"),
+        *_id_keys(F.col("doc_id").cast("bigint")),
     )
     wordless = ~F.coalesce(F.col("__dart_row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     stay = row.where(wordless).select("__dart_row.*")
-    match = (row["__dart_node"] == chosen["__dart_node"]) & row["__dart_id"].eqNullSafe(chosen["__dart_id"])
-    met = row.where(~wordless).join(chosen, match, "left_semi")
-    one = met.groupBy("__dart_node", "__dart_id").agg(F.first("__dart_row").alias("__dart_row"))
+    keys = chosen.columns  # of the join and of the grouping: rows are shuffled once
+    met = row.where(~wordless).join(chosen, keys, "left_semi")
+    one = met.groupBy(*keys).agg(F.first("__dart_row").alias("__dart_row"))
     return stay.unionByName(one.select("__dart_row.*"))
