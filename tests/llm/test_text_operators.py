@@ -229,10 +229,46 @@ def test_bounds_hold():
     import numpy as np
 
     draw = np.random.default_rng(4)
-    vectors = draw.integers(-300, 300, (500, 16))
-    near = vafile.Approximation(vectors)
-    for query in draw.integers(-300, 300, (20, 16)):
-        assert (near.upper(query) >= vectors @ query).all()
+    for high in (300, 40_000, 2_000_000_000):  # cells of one value, of some, and sums beyond a double
+        vectors, queries = draw.integers(-high, high, (500, 16)), draw.integers(-high // 8, high // 8, (20, 16))
+        upper, gap = vafile.Approximation.of(vectors).bounds(queries)
+        exact = vectors @ queries.T
+        assert (upper >= exact).all() and (upper - gap <= exact).all()
+
+
+def test_few_exact_vectors_are_read(spark, monkeypatch):
+    """Wide cells, equal vectors in a third of the rows, many slices and query blocks."""
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(0, 40, (3000, 12))
+    vectors[::3] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors.astype(np.float32))]
+    read, plain = {}, vafile.stored
+
+    def counting(spark, frame, name):
+        frame = plain(spark, frame, name)
+        if name in ("va-read", "va-exact"):
+            read.setdefault(name, []).append(frame.count())
+        return frame
+
+    monkeypatch.setattr(vafile, "stored", counting)
+    for name, size in (("SLICE", 64), ("QUERY_BLOCK", 8), ("PANEL", 2), ("SHELF", 4)):
+        monkeypatch.setattr(vafile, name, size)
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = sorted(map(tuple, vafile.top_k(frame).collect()))
+    assert got == brute_top(rows, 5)
+    assert read["va-exact"] == [2000 + 6]
+    assert read["va-read"][0] == 60 * 5 and sum(read["va-read"]) < 60 * 2006 / 20
+
+
+def test_files_meet_by_shelf_and_panel(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(200)]
+    exact = vafile.candidates(vafile.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")), 5)
+    packed = exact.select("vec_id", "mark", "v")
+    grid = vafile._grid(vafile._pack(packed, 16, cells=True), vafile._pack(packed, 8, cells=False))
+    plan = grid._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shelf" in plan and "Join" not in plan
 
 
 @pytest.mark.parametrize("name", ["op4_url_filter", "op6_secrets", "op7_exact_top_k"])
