@@ -11,11 +11,11 @@ the (weighted) Jaccard similarity.
 
 Joining:
 
-1. equal texts are one node; copies never meet in a join;
+1. equal texts are one node, with a number; copies never meet in a join;
 2. signatures are cut into bands of ``ROWS``; nodes that share a band form a bucket,
    and each links to the bucket's smallest node;
-3. links whose signatures (a byte of each coordinate) agree too little go, before any
-   text moves; each node's best link is checked exactly: (weighted) Jaccard similarity of
+3. links whose signatures (a byte of each coordinate is kept) agree too little go, before
+   any text moves; each node's best link is checked exactly: (weighted) Jaccard similarity of
    the shingles >= ``THRESHOLD``; connected components are classes; of the other links,
    those between different classes are checked then;
 4. components of all links are classes;
@@ -58,7 +58,7 @@ MAYBE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / K) ** 0.5
 BLOCK = 512
 _DOCS_AT_ONCE = 128
 
-_SIGNED = "node binary, doc_id bigint, bands array<bigint>, signature binary, brief binary"
+_SIGNED = "digest binary, doc_id bigint, bands array<bigint>, brief binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -149,9 +149,9 @@ def _throw(docs, elements, weights, limit, out, n: int, k: int) -> np.ndarray:
 
 
 def _sign(texts: list, counted: bool) -> tuple[list, list]:
-    """Band hashes and 32-bit signatures, None for documents without words."""
+    """Band hashes and the low bytes of the signatures, None for documents without words."""
     bands: list = [None] * len(texts)
-    signatures: list = [None] * len(texts)
+    briefs: list = [None] * len(texts)
     for at in range(0, len(texts), _DOCS_AT_ONCE):
         found = [
             (i, *np.unique(h, return_counts=True))
@@ -171,29 +171,27 @@ def _sign(texts: list, counted: bool) -> tuple[list, list]:
         key = np.zeros((len(found), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
         for j in range(ROWS):
             key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + signed[:, j::ROWS])
-        short = signed.astype(np.uint32)
-        for (i, *_), b, s in zip(found, key.view(np.int64), short):
-            bands[i], signatures[i] = b, s.tobytes()
-    return bands, signatures
+        for (i, *_), b, s in zip(found, key.view(np.int64), signed.astype(np.uint8)):
+            bands[i], briefs[i] = b, s.tobytes()
+    return bands, briefs
 
 
 def sign_documents(docs: DataFrame, counted: bool = False) -> DataFrame:
-    """(node, doc_id, bands, signature); the node is the digest of the text."""
+    """(digest, doc_id, bands, brief); the digest is that of the text."""
 
     def run(batches):
         for part in batches:
             texts = part.column("text").to_pylist()
-            bands, signatures = _sign(texts, counted)
-            nodes = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in texts]
+            bands, briefs = _sign(texts, counted)
+            digests = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(nodes, pa.binary()),
+                    pa.array(digests, pa.binary()),
                     part.column("doc_id"),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(signatures, pa.binary()),
-                    pa.array([None if x is None else x[::4] for x in signatures], pa.binary()),  # low bytes
+                    pa.array(briefs, pa.binary()),
                 ],
-                ["node", "doc_id", "bands", "signature", "brief"],
+                ["digest", "doc_id", "bands", "brief"],
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -209,12 +207,12 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the wanted nodes. A text comes from the node's first document,
     so that copies are not gathered."""
     spark = docs.sparkSession
-    named = docs.select(F.unhex(F.md5("text")).alias("node"), *_id_keys(F.col("doc_id").cast("bigint")), "text")
-    wanted = wanted.join(nodes.select("node", "first"), "node").select("node", *_id_keys(F.col("first")))
-    wanted = stored(spark, wanted, "dart-wanted")
-    keys = wanted.columns  # of the join and of the grouping: texts are shuffled once
-    texts = named.join(wanted, keys).groupBy(*keys).agg(F.first("text").alias("text")).select("node", "text")
-    return stored(spark, texts, "dart-texts")
+    named = docs.select(F.unhex(F.md5("text")).alias("digest"), *_id_keys(F.col("doc_id").cast("bigint")), "text")
+    wanted = wanted.join(nodes.select("node", "digest", "first"), "node")
+    wanted = stored(spark, wanted.select("digest", *_id_keys(F.col("first")), "node"), "dart-wanted")
+    keys = wanted.columns[:3]  # of the join and of the grouping: texts are shuffled once
+    texts = named.join(wanted, keys).groupBy(*keys).agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    return stored(spark, texts.select("node", "text"), "dart-texts")
 
 
 def _agreeing(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -235,7 +233,7 @@ def _agreeing(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
                 [part.column("a").take(rows), part.column("b").take(rows), pa.array(same[keep])], ["a", "b", "agree"]
             )
 
-    rated = both.select("a", "b", "brief_a", "brief_b").mapInArrow(run, "a binary, b binary, agree double")
+    rated = both.select("a", "b", "brief_a", "brief_b").mapInArrow(run, "a bigint, b bigint, agree double")
     return stored(pairs.sparkSession, rated, "dart-rated")
 
 
@@ -276,10 +274,10 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: fl
                 if similarity(seen[1], elements(text_b, counted)) >= threshold:
                     kept.append((a, b))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in kept], pa.binary()) for i in (0, 1)], ["a", "b"]
+                [pa.array([p[i] for p in kept], pa.int64()) for i in (0, 1)], ["a", "b"]
             )
 
-    return stored(spark, both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"), "dart-links")
+    return stored(spark, both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "dart-links")
 
 
 def _open_links(
@@ -322,8 +320,8 @@ def _open_links(
                 [part.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"]
             )
 
-    sets = _texts(docs, nodes, wanted).mapInArrow(pack, "node binary, shingles binary")
-    signed = sets.join(nodes.select("node", "signature"), "node")
+    sets = _texts(docs, nodes, wanted).mapInArrow(pack, "node bigint, shingles binary")
+    signed = sets.join(nodes.select("node", "brief"), "node")
     signed = stored(spark, signed, "dart-rest-sets")
     main_blocks, other_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_main", "n_other"))
     zero = F.lit(0)
@@ -344,7 +342,7 @@ def _open_links(
         rest.join(signed, "node")
         .withColumn("mine", mine)
         .withColumn("cell", F.explode(met))
-        .select("band", "node", "comp", "signature", "shingles", "main", "mine", "cell.*")
+        .select("band", "node", "comp", "brief", "shingles", "main", "mine", "cell.*")
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
@@ -353,7 +351,7 @@ def _open_links(
             left, right = part[part["main"]], part[~part["main"]]
         else:
             left, right = part[part["mine"] == i], part[part["mine"] == j]
-        matrix = np.stack([np.frombuffer(s, np.uint32) for s in right["signature"]]) if len(right) else None
+        matrix = np.stack([np.frombuffer(s, np.uint8) for s in right["brief"]]) if len(right) else None
         parent = {c: c for c in part["comp"]}
 
         def root(c):
@@ -366,7 +364,7 @@ def _open_links(
         for at, row in enumerate(left.itertuples(index=False)):
             if matrix is None:
                 break
-            same = (matrix == np.frombuffer(row.signature, np.uint32)).mean(1)
+            same = (matrix == np.frombuffer(row.brief, np.uint8)).mean(1)
             mine = np.frombuffer(row.shingles, np.uint64)
             for k in np.flatnonzero(same >= MAYBE):
                 if not crossed and i == j and k <= at:
@@ -375,25 +373,25 @@ def _open_links(
                 if a != b and similarity(mine, np.frombuffer(packed[k], np.uint64)) >= threshold:
                     parent[b] = a
                     found.append((row.node, names[k]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype=object)
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return dealt.groupBy("band", "crossed", "i", "j").applyInPandas(compare, "a binary, b binary")
+    return dealt.groupBy("band", "crossed", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicate_classes(
     docs: DataFrame, *, threshold: float = THRESHOLD, counted: bool = False
 ) -> DataFrame:
-    """(doc_id, node, class_id, class_node) for every row of ``docs``: the class and
-    the text that stands for it, that of its smallest id."""
+    """(doc_id, node, class_id, class_node) for every row of ``docs``: the digest of its
+    text, the class and the text that stands for it, that of its smallest id."""
     spark = docs.sparkSession
     signed = stored(spark, sign_documents(docs, counted), "dart-signed")
-    nodes = signed.where("bands IS NOT NULL").groupBy("node").agg(
+    nodes = signed.where("bands IS NOT NULL").groupBy("digest").agg(
         F.first("bands").alias("bands"),
-        F.first("signature").alias("signature"),
         F.first("brief").alias("brief"),
         F.min("doc_id").alias("first"),
     )
-    nodes = stored(spark, nodes, "dart-nodes")
+    # joins go by a number, as digests neither compress nor aggregate by hash
+    nodes = stored(spark, nodes.withColumn("node", F.monotonically_increasing_id()), "dart-nodes")
     bands = nodes.select(F.explode("bands").alias("band"), "node")
     ends = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     buckets = stored(spark, ends.where("hub <> last").select("band", "hub"), "dart-buckets")
@@ -405,21 +403,23 @@ def near_duplicate_classes(
     if not more.isEmpty():
         links = links.unionByName(more)
         comps = stored(spark, components(links), "dart-components")
-    of = nodes.select("node", "first").join(comps, "node", "left")
-    of = of.select("node", "first", F.coalesce("comp", "node").alias("comp"))
-    first = F.struct(F.col("first").isNull().alias("none"), "first", "node")
+    of = nodes.select("node", "digest", "first").join(comps, "node", "left")
+    of = of.select("digest", "first", F.coalesce("comp", "node").alias("comp"))
+    first = F.struct(F.col("first").isNull().alias("none"), "first", "digest")
     stands = of.groupBy("comp").agg(F.min(first).alias("stand"))
     named = stored(
         spark,
-        of.join(stands, "comp").select("node", F.col("stand.first").alias("class_id"), F.col("stand.node").alias("class_node")),
+        of.join(stands, "comp").select(
+            "digest", F.col("stand.first").alias("class_id"), F.col("stand.digest").alias("class_node")
+        ),
         "dart-classes",
     )
-    rows = signed.select("doc_id", "node", F.col("bands").isNull().alias("wordless"))
-    return rows.join(named, "node", "left").select(
+    rows = signed.select("doc_id", "digest", F.col("bands").isNull().alias("wordless"))
+    return rows.join(named, "digest", "left").select(
         "doc_id",
-        "node",
+        F.col("digest").alias("node"),
         F.when(F.col("wordless"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(F.col("wordless"), F.col("node")).otherwise(F.col("class_node")).alias("class_node"),
+        F.when(F.col("wordless"), F.col("digest")).otherwise(F.col("class_node")).alias("class_node"),
     )
 
 
