@@ -58,7 +58,9 @@ def test_classes_of_the_table(spark):
     assert got == brute_classes(docs)
 
 
-def test_classes_chain_and_hot_group(spark):
+@pytest.mark.parametrize("partners", [dart_minhash.PARTNERS, 4])
+def test_classes_chain_and_hot_group(spark, monkeypatch, partners):
+    monkeypatch.setattr(dart_minhash, "PARTNERS", partners)
     base = words_of(400, 1)
     docs, current = [], list(base)
     for i in range(40):  # a chain: each close to the one before only

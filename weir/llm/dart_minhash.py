@@ -56,6 +56,8 @@ K = BANDS * ROWS
 #: standard deviations under the threshold.
 MAYBE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / K) ** 0.5
 BLOCK = 512
+#: Partners of a node that are compared with it in one part.
+PARTNERS = 4096
 _DOCS_AT_ONCE = 128
 
 _SIGNED = "digest binary, doc_id bigint, bands array<bigint>, brief binary"
@@ -203,16 +205,17 @@ def _id_keys(doc_id: Column) -> list[Column]:
     return [F.coalesce(doc_id, F.lit(0)).alias("__dart_id"), doc_id.isNull().alias("__dart_null")]
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) of the wanted nodes. A text comes from the node's first document,
-    so that copies are not gathered."""
-    spark = docs.sparkSession
+def _texts(docs: DataFrame, nodes: DataFrame, roles: DataFrame) -> DataFrame:
+    """(node, role, text) of (node, role). A text comes from the node's first document, so
+    that copies are not gathered, and is shuffled once whatever the number of its roles."""
     named = docs.select(F.unhex(F.md5("text")).alias("digest"), *_id_keys(F.col("doc_id").cast("bigint")), "text")
+    wanted = roles.groupBy("node").agg(F.collect_list("role").alias("roles"))
     wanted = wanted.join(nodes.select("node", "digest", "first"), "node")
-    wanted = stored(spark, wanted.select("digest", *_id_keys(F.col("first")), "node"), "dart-wanted")
-    keys = wanted.columns[:3]  # of the join and of the grouping: texts are shuffled once
-    texts = named.join(wanted, keys).groupBy(*keys).agg(F.first("node").alias("node"), F.first("text").alias("text"))
-    return stored(spark, texts.select("node", "text"), "dart-texts")
+    wanted = wanted.select("digest", *_id_keys(F.col("first")), "node", "roles")
+    wanted = stored(docs.sparkSession, wanted, "dart-wanted")
+    keys = wanted.columns[:3]  # of the join and of the grouping
+    texts = named.join(wanted, keys).groupBy(*keys).agg(*(F.first(c).alias(c) for c in ("node", "roles", "text")))
+    return texts.select("node", F.explode("roles").alias("role"), "text")
 
 
 def _agreeing(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -256,28 +259,38 @@ def _hub_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: f
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float, counted: bool) -> DataFrame:
-    """Pairs (a, b) of nodes whose texts are similar enough."""
+    """Pairs (a, b) of nodes whose texts are similar enough. The texts of an ``a`` and its
+    partners make a sorted stream, that of ``a`` first; an ``a`` with many partners is
+    divided into parts, so its text moves once per part, not per pair."""
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = _texts(docs, nodes, wanted)
-    left = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
-    both = left.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    sizes = stored(spark, sizes, "dart-parts")
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
+    role = F.struct("a", "part", "order").alias("role")
+    partners = pairs.join(sizes, "a").select(F.col("b").alias("node"), "a", part, F.lit(1).alias("order"))
+    heads = sizes.select(
+        F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("order")
+    )
+    texts = _texts(docs, nodes, partners.unionByName(heads).select("node", role))
+    stream = texts.select("node", "role.*", "text").repartition("a", "part").sortWithinPartitions("a", "part", "order")
 
     def run(batches):
-        seen: tuple = (None, None)
-        for part in batches:
+        head: tuple = (None, None)
+        for rows in batches:
             kept = []
-            columns = (part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
-            for a, b, text_a, text_b in zip(*columns):
-                if seen[0] != a:  # one node's pairs come together
-                    seen = (a, elements(text_a, counted))
-                if similarity(seen[1], elements(text_b, counted)) >= threshold:
-                    kept.append((a, b))
+            columns = (rows.column(c).to_pylist() for c in ("a", "part", "order", "node", "text"))
+            for a, part, order, node, text in zip(*columns):
+                if order == 0:
+                    head = ((a, part), elements(text, counted))
+                    continue
+                assert head[0] == (a, part)
+                if similarity(head[1], elements(text, counted)) >= threshold:
+                    kept.append((a, node))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in kept], pa.int64()) for i in (0, 1)], ["a", "b"]
             )
 
-    return stored(spark, both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "dart-links")
+    return stored(spark, stream.mapInArrow(run, "a bigint, b bigint"), "dart-links")
 
 
 def _open_links(
@@ -320,7 +333,8 @@ def _open_links(
                 [part.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"]
             )
 
-    sets = _texts(docs, nodes, wanted).mapInArrow(pack, "node bigint, shingles binary")
+    texts = _texts(docs, nodes, wanted.select("node", F.lit(0).alias("role"))).select("node", "text")
+    sets = texts.mapInArrow(pack, "node bigint, shingles binary")
     signed = sets.join(nodes.select("node", "brief"), "node")
     signed = stored(spark, signed, "dart-rest-sets")
     main_blocks, other_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_main", "n_other"))
