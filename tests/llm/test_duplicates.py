@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import SMALL_DIR
+from pyspark.sql import functions as F
 
 from weir.llm import block_anchors, components, dart_minhash, pieces
 from weir.llm.common import read
@@ -81,6 +82,38 @@ def test_classes_chain_and_hot_group(spark, monkeypatch, partners):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+@pytest.mark.parametrize("slots", [dart_minhash.SLOTS, 3])
+def test_only_checked_texts_move(spark, monkeypatch, slots):
+    """Ids outside the bitmap are never wanted; few slots let others pass and change no result."""
+    monkeypatch.setattr(dart_minhash, "SLOTS", slots)
+    ids = [*range(-300, 300), None]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id bigint").select(*dart_minhash._id_keys(F.col("doc_id")))
+    some = rows.where("__dart_id % 50 = 7 OR __dart_null")
+    marks = {(r["__dart_id"], r["__dart_null"]): r["__dart_maybe"] for r in dart_minhash._marked(rows, some).collect()}
+    assert len(marks) == len(ids) and marks[0, True]
+    wanted = {(i, False) for i in range(7, 300, 50)} | {(0, True)}
+    assert all(marks[k] for k in wanted)
+    assert {k for k, v in marks.items() if v} == wanted or slots == 3
+    assert not any(r["__dart_maybe"] for r in dart_minhash._marked(rows, some.limit(0)).collect())
+    near = words_of(200, 5)
+    docs = [(i, " ".join(words_of(40, 900 + i))) for i in range(60)]
+    docs += [(100 + i, " ".join([*near[:i], f"v{i}", *near[i + 1 :]])) for i in range(20)] + [(200, docs[3][1])]
+    frame = spark.createDataFrame([*docs, docs[5], (None, docs[7][1]), (None, ""), (1, " ")], "doc_id bigint, text string")
+    kept = Counter(tuple(r) for r in dart_minhash.keep_one(frame).collect())
+    classes = brute_classes(docs)
+    assert kept == Counter([d for d in docs if classes[d[0]] == d[0]] + [(None, ""), (1, " ")])
+
+
+def test_signatures_of_texts_in_portions(monkeypatch):
+    texts = [" ".join(words_of(n, n)) for n in (1, 90, 400, 30)] + [None, ""]
+    whole = dart_minhash._sign(texts, True)
+    monkeypatch.setattr(dart_minhash, "_SHINGLES_AT_ONCE", 100)
+    assert [[m[0] for m in p] for p in dart_minhash._portions(texts)] == [[0, 1], [2], [3]]
+    parts = dart_minhash._sign(texts, True)
+    assert whole[1] == parts[1] and whole[0][4:] == parts[0][4:] == [None, None]
+    assert all((a == b).all() for a, b in zip(whole[0][:4], parts[0][:4]))
+
+
 def test_classes_on_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "a  b"), (6, "a b c"), (None, "q r s t u v"), (7, "q r s t u v"), (None, None)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")

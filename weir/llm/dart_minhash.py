@@ -21,8 +21,13 @@ Joining:
 4. components of all links are classes;
 5. in buckets that still hold nodes of different classes besides the smallest, nodes
    meet in blocks of a fixed size: those of the bucket's most frequent class meet only the
-   others, which also meet each other. Pairs of different classes that may be similar by
-   their signatures are checked exactly, too, and components are formed again.
+   others, which also meet each other. First their signatures meet; nodes that may be
+   similar to one of another class meet again with their shingles, are checked exactly,
+   too, and components are formed again.
+
+A text moves only if it is checked: rows whose id is not in a bitmap of hashed ids, which
+all tasks get, stay where they are. The bitmap has a fixed size; the more ids it holds, the
+more other rows pass it and are left out by the join behind it.
 
 So no bucket is cut off: pairs inside one class need no link of their own, all others
 in a bucket are looked at. With 26 bands of 5 a pair at similarity 0.8 shares a bucket
@@ -58,7 +63,11 @@ MAYBE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / K) ** 0.5
 BLOCK = 512
 #: Partners of a node that are compared with it in one part.
 PARTNERS = 4096
+#: Bits of the bitmap of ids.
+SLOTS = 2**25
+#: Texts that a Python worker holds at once, beside its Arrow batch, and their shingles.
 _DOCS_AT_ONCE = 128
+_SHINGLES_AT_ONCE = 100_000
 
 _SIGNED = "digest binary, doc_id bigint, bands array<bigint>, brief binary"
 
@@ -150,18 +159,35 @@ def _throw(docs, elements, weights, limit, out, n: int, k: int) -> np.ndarray:
     return hit.reshape(n, k).all(1)
 
 
+def _portions(texts: list):
+    """Lists of (index, distinct shingles, their counts) of texts with words; apart from a
+    longer text of its own, none holds more shingles than ``_SHINGLES_AT_ONCE``."""
+    found, total = [], 0
+    for i, text in enumerate(texts):
+        hashes = shingles(text)
+        if not len(hashes):
+            continue
+        if found and total + len(hashes) > _SHINGLES_AT_ONCE:
+            yield found
+            found, total = [], 0
+        found.append((i, *np.unique(hashes, return_counts=True)))
+        total += len(hashes)
+    if found:
+        yield found
+
+
+def _slices(batches):
+    """Arrow batches in slices of a few texts, as their Python strings take memory."""
+    for part in batches:
+        for at in range(0, part.num_rows, _DOCS_AT_ONCE):
+            yield part.slice(at, _DOCS_AT_ONCE)
+
+
 def _sign(texts: list, counted: bool) -> tuple[list, list]:
     """Band hashes and the low bytes of the signatures, None for documents without words."""
     bands: list = [None] * len(texts)
     briefs: list = [None] * len(texts)
-    for at in range(0, len(texts), _DOCS_AT_ONCE):
-        found = [
-            (i, *np.unique(h, return_counts=True))
-            for i in range(at, min(at + _DOCS_AT_ONCE, len(texts)))
-            if len(h := shingles(texts[i]))
-        ]
-        if not found:
-            continue
+    for found in _portions(texts):
         sizes = [len(f[1]) for f in found]
         weights = np.concatenate([f[2] for f in found]).astype(float)
         signed = dart_signatures(
@@ -182,7 +208,7 @@ def sign_documents(docs: DataFrame, counted: bool = False) -> DataFrame:
     """(digest, doc_id, bands, brief); the digest is that of the text."""
 
     def run(batches):
-        for part in batches:
+        for part in _slices(batches):
             texts = part.column("text").to_pylist()
             bands, briefs = _sign(texts, counted)
             digests = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in texts]
@@ -205,15 +231,31 @@ def _id_keys(doc_id: Column) -> list[Column]:
     return [F.coalesce(doc_id, F.lit(0)).alias("__dart_id"), doc_id.isNull().alias("__dart_null")]
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows with ``__dart_maybe``: whether their id keys may be among ``ids``; false is
+    certain. No row moves."""
+    slot = F.pmod(F.xxhash64("__dart_id", "__dart_null"), F.lit(SLOTS)) + 1
+    taken = ids.select(slot.alias("slot"), F.bitmap_bucket_number(slot).alias("__dart_bucket"))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__dart_bits")
+    bitmap = taken.repartition("__dart_bucket").groupBy("__dart_bucket").agg(bits)
+    met = rows.withColumns({"__dart_bucket": F.bitmap_bucket_number(slot), "__dart_bit": F.bitmap_bit_position(slot)})
+    met = met.join(F.broadcast(bitmap), "__dart_bucket", "left")
+    byte = F.substring("__dart_bits", (F.col("__dart_bit") / 8).cast("int") + 1, F.lit(1))
+    held = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.expr("shiftleft(1, cast(__dart_bit % 8 AS INT))")) > 0
+    return met.withColumn("__dart_maybe", F.coalesce(held, F.lit(False)))
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, roles: DataFrame) -> DataFrame:
     """(node, role, text) of (node, role). A text comes from the node's first document, so
     that copies are not gathered, and is shuffled once whatever the number of its roles."""
-    named = docs.select(F.unhex(F.md5("text")).alias("digest"), *_id_keys(F.col("doc_id").cast("bigint")), "text")
     wanted = roles.groupBy("node").agg(F.collect_list("role").alias("roles"))
     wanted = wanted.join(nodes.select("node", "digest", "first"), "node")
     wanted = wanted.select("digest", *_id_keys(F.col("first")), "node", "roles")
     wanted = stored(docs.sparkSession, wanted, "dart-wanted")
     keys = wanted.columns[:3]  # of the join and of the grouping
+    rows = docs.select(*_id_keys(F.col("doc_id").cast("bigint")), "text")
+    named = _marked(rows, wanted).where("__dart_maybe")
+    named = named.select(F.unhex(F.md5("text")).alias("digest"), "__dart_id", "__dart_null", "text")
     texts = named.join(wanted, keys).groupBy(*keys).agg(*(F.first(c).alias(c) for c in ("node", "roles", "text")))
     return texts.select("node", F.explode("roles").alias("role"), "text")
 
@@ -276,7 +318,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: fl
 
     def run(batches):
         head: tuple = (None, None)
-        for rows in batches:
+        for rows in _slices(batches):
             kept = []
             columns = (rows.column(c).to_pylist() for c in ("a", "part", "order", "node", "text"))
             for a, part, order, node, text in zip(*columns):
@@ -295,8 +337,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: fl
 
 def _open_links(
     docs: DataFrame,
-    bands: DataFrame,
-    buckets: DataFrame,
+    members: DataFrame,
     comps: DataFrame,
     nodes: DataFrame,
     threshold: float,
@@ -305,15 +346,11 @@ def _open_links(
     """Links between different classes in one bucket, apart from those of its smallest
     node, which have been checked. Members of the bucket's most frequent class and the
     others are dealt to blocks of a fixed size; each block of the one meets each of the
-    other, and the others' blocks meet each other. Only links that join two classes of a
-    meeting are returned, so they are fewer than its rows."""
+    other, and the others' blocks meet each other. They meet with their signatures first;
+    shingles go only to meetings with a pair that may be similar. Only links that join two
+    classes of a meeting are returned, so they are fewer than its rows."""
     spark = docs.sparkSession
-    members = (
-        bands.join(buckets, "band")
-        .where("node <> hub")
-        .join(comps, "node", "left")
-        .select("band", "node", F.coalesce("comp", "node").alias("comp"))
-    )
+    members = members.join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
     per = members.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = per.groupBy("band").agg(
         F.max_by("comp", "n").alias("main"),
@@ -324,19 +361,14 @@ def _open_links(
     rest = stored(
         spark, members.join(mixed, "band").withColumn("main", F.col("comp") == F.col("main")), "dart-rest"
     )
-    wanted = rest.select("node").distinct()
 
     def pack(batches):
-        for part in batches:
+        for part in _slices(batches):
             sets = [elements(t, counted).tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"]
             )
 
-    texts = _texts(docs, nodes, wanted.select("node", F.lit(0).alias("role"))).select("node", "text")
-    sets = texts.mapInArrow(pack, "node bigint, shingles binary")
-    signed = sets.join(nodes.select("node", "brief"), "node")
-    signed = stored(spark, signed, "dart-rest-sets")
     main_blocks, other_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_main", "n_other"))
     zero = F.lit(0)
     mine = F.pmod(F.xxhash64("node"), F.when(F.col("main"), main_blocks).otherwise(other_blocks)).cast("int")
@@ -353,19 +385,42 @@ def _open_links(
     to_others = cells(other_blocks, lambda j: cell(False, F.least(own, j), F.greatest(own, j)))
     met = F.when(F.col("main"), of_main).when(F.col("n_other") == 1, to_main).otherwise(F.concat(to_main, to_others))
     dealt = (
-        rest.join(signed, "node")
+        rest.join(nodes.select("node", "brief"), "node")
         .withColumn("mine", mine)
         .withColumn("cell", F.explode(met))
-        .select("band", "node", "comp", "brief", "shingles", "main", "mine", "cell.*")
+        .select("band", "node", "comp", "brief", "main", "mine", "cell.*")
     )
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
+    def sides(part: pd.DataFrame) -> tuple:
         crossed, i, j = (part[c].iloc[0] for c in ("crossed", "i", "j"))
         if crossed:
             left, right = part[part["main"]], part[~part["main"]]
         else:
             left, right = part[part["mine"] == i], part[part["mine"] == j]
         matrix = np.stack([np.frombuffer(s, np.uint8) for s in right["brief"]]) if len(right) else None
+        return crossed, i, j, left, right, matrix
+
+    def near(part: pd.DataFrame) -> pd.DataFrame:
+        """The rows that may be similar to one of another class."""
+        *_, left, right, matrix = sides(part)
+        keep: set = set()
+        comps = right["comp"].to_numpy()
+        for row in left.itertuples() if matrix is not None else ():
+            same = (matrix == np.frombuffer(row.brief, np.uint8)).mean(1)
+            found = np.flatnonzero((same >= MAYBE) & (comps != row.comp))
+            if len(found):
+                keep.add(row.Index)
+                keep.update(right.index[found])
+        return part.loc[sorted(keep)]
+
+    meeting = dealt.groupBy("band", "crossed", "i", "j").applyInPandas(near, dealt.schema)
+    meeting = stored(spark, meeting, "dart-meeting")
+    wanted = meeting.select("node", F.lit(0).alias("role")).distinct()
+    sets = _texts(docs, nodes, wanted).select("node", "text").mapInArrow(pack, "node bigint, shingles binary")
+    sets = stored(spark, sets, "dart-rest-sets")
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        crossed, i, j, left, right, matrix = sides(part)
         parent = {c: c for c in part["comp"]}
 
         def root(c):
@@ -389,7 +444,8 @@ def _open_links(
                     found.append((row.node, names[k]))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return dealt.groupBy("band", "crossed", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+    met = meeting.join(sets, "node")
+    return met.groupBy("band", "crossed", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicate_classes(
@@ -409,11 +465,12 @@ def near_duplicate_classes(
     bands = nodes.select(F.explode("bands").alias("band"), "node")
     ends = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     buckets = stored(spark, ends.where("hub <> last").select("band", "hub"), "dart-buckets")
-    pairs = bands.join(buckets, "band").where("node <> hub")
-    pairs = stored(spark, pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "dart-pairs")
+    members = stored(spark, bands.join(buckets, "band").where("node <> hub"), "dart-members")
+    pairs = members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = stored(spark, pairs, "dart-pairs")
     links = _hub_links(docs, nodes, pairs, threshold, counted)
     comps = stored(spark, components(links), "dart-components")
-    more = stored(spark, _open_links(docs, bands, buckets, comps, nodes, threshold, counted), "dart-open")
+    more = stored(spark, _open_links(docs, members, comps, nodes, threshold, counted), "dart-open")
     if not more.isEmpty():
         links = links.unionByName(more)
         comps = stored(spark, components(links), "dart-components")
@@ -442,18 +499,22 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     documents without words all stay."""
     spark = docs.sparkSession
     classes = near_duplicate_classes(docs, **options)
-    chosen = classes.where("class_node = node AND class_id <=> doc_id").select(
-        F.col("node").alias("__dart_node"), *_id_keys(F.col("class_id"))
-    )
-    chosen = stored(spark, chosen.distinct(), "dart-chosen")
-    row = docs.select(
-        F.struct("*").alias("__dart_row"),
-        F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("__dart_node"),
-        *_id_keys(F.col("doc_id").cast("bigint")),
-    )
-    wordless = ~F.coalesce(F.col("__dart_row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    stay = row.where(wordless).select("__dart_row.*")
-    keys = chosen.columns  # of the join and of the grouping: rows are shuffled once
-    met = row.where(~wordless).join(chosen, keys, "left_semi")
+    stands = F.col("class_node").eqNullSafe(F.col("node")) & F.col("class_id").eqNullSafe(F.col("doc_id"))
+    verdicts = classes.select(F.col("node").alias("__dart_node"), *_id_keys(F.col("doc_id")), stands.alias("stands"))
+    verdicts = stored(spark, verdicts, "dart-verdicts")
+    # an id of one row, which stays, needs no look at the others; its row does not move
+    per = verdicts.groupBy("__dart_id", "__dart_null").agg(F.count(F.lit(1)).alias("n"), F.every("stands").alias("all"))
+    unsure = per.where("n > 1 OR NOT all")
+    unsure = stored(spark, unsure.select("__dart_id", "__dart_null"), "dart-unsure")
+    keys = ["__dart_node", "__dart_id", "__dart_null"]  # of the join and of the grouping: rows are shuffled once
+    chosen = _marked(verdicts.where("stands"), unsure).where("__dart_maybe").select(*keys).distinct()
+    chosen = stored(spark, chosen, "dart-chosen")
+    row = docs.select(F.struct("*").alias("__dart_row"), *_id_keys(F.col("doc_id").cast("bigint")))
+    row = _marked(row, unsure)
+    text = F.coalesce(F.col("__dart_row.text"), F.lit(""))
+    sure = ~F.col("__dart_maybe") | ~text.rlike(r"[^\x20\x09-\x0D]")
+    stay = row.where(sure).select("__dart_row.*")
+    met = row.where(~sure).select("__dart_row", F.unhex(F.md5(text)).alias("__dart_node"), *keys[1:])
+    met = met.join(chosen, keys, "left_semi")
     one = met.groupBy(*keys).agg(F.first("__dart_row").alias("__dart_row"))
     return stay.unionByName(one.select("__dart_row.*"))
