@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from conftest import SMALL_DIR
 
-from weir.llm import pairwise_quality
+from weir.llm import pairwise_quality, quality_rules
 from weir.llm.common import read
 from weir.llm.queries import QUERIES
 from weir.llm.text_stats import describe_all
@@ -73,3 +73,33 @@ def test_scores_by_brute_force(spark):
         assert got[i].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
         assert got[i].predicted == int(got[i].score >= 0.7)
         assert got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+
+
+def test_fit_on_all_rows_and_pairs(spark, monkeypatch):
+    """Edges, weights and cut against plain Python over every labelled row and every pair."""
+    monkeypatch.setattr(pairwise_quality, "STEPS", 3)
+    draw = np.random.default_rng(5)
+    texts = [" ".join(["word", "Word", "x1", "|", "a."][k] for k in draw.integers(0, 3 + i % 3, 5 + i % 41)) for i in range(150)]
+    label = [int(i % 3 == 0) for i in range(150)]
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([*enumerate(label), (3, 0), (4, None), (None, 1)], "doc_id bigint, quality int")
+    label[3] = 0  # the lowest of two
+    monkeypatch.setattr(quality_rules, "MAX_LABELLED", 10)
+    monkeypatch.setattr(pairwise_quality, "PAIRS", 10)
+    fitted = pairwise_quality.learn(docs, labels)
+    x = describe_all(texts)[1]
+    for j, edges in enumerate(fitted.edges):
+        for e in edges:  # some share of all rows is reached at the edge, not before it
+            under, before = (x[:, j] <= e).sum(), (x[:, j] <= e * (1 - 2**-9) - 1e-12).sum()
+            assert any(before < k * 150 / 24 <= under for k in range(1, 24))
+    marks = [indicators(fitted.edges, row) for row in x]
+    ones, zeros = ([i for i in range(150) if label[i] == v] for v in (1, 0))
+    weights = fit_by_pairs(fitted.edges, [(marks[a], marks[b]) for a in ones for b in zeros], 3)
+    exact = np.array([sum(weights.get(k, 0.0) for k in m) for m in marks])
+    got = fitted.raw(x)
+    assert np.abs(got - exact).max() < 15 * 2 / pairwise_quality.UNIT  # a weight is rounded in each step
+    ordered = np.sort(got)
+    assert fitted.cut == pytest.approx((ordered[len(zeros) - 1] + ordered[len(zeros)]) / 2)
+    assert fitted.spread == pytest.approx(got.std())
+    again = pairwise_quality.learn(docs.repartition(3), labels)
+    assert (again.weights == fitted.weights).all() and again.cut == fitted.cut

@@ -11,11 +11,18 @@ Features are the text statistics of ``text_stats``, each cut into quantile bins
 (one indicator a bin): additive, but free in shape. Whole texts are read; labels,
 language, source and id are no inputs.
 
-Sample: the fit sees at most ``MAX_LABELLED`` labels (see ``quality_rules``) and
-``PAIRS`` pairs, drawn with a fixed seed.
+All labelled documents and all their pairs are used; nothing is drawn. The bins' edges are
+values of a fine grid at which exact counts of rows reach the quantiles. While it is fitted,
+a score is a multiple of 1 / ``UNIT``, so each step counts the scores of both labels over
+all rows; these counts give the slope that a row gets from all rows of the other label, and
+a second pass sums slopes by indicator. Both sums are of whole numbers, so reruns agree. The
+driver holds the edges, the weights and the counts by score, whose sizes don't follow the
+rows. ``fit_ranking`` fits arrays in memory on ``PAIRS`` pairs drawn with a seed; ``learn``
+doesn't use it.
 
 Defined cases: NULL text is as empty, and both get a score like any other text;
-repeated rows score alike; without both labels every score is the share of label 1
+repeated rows score alike; of repeated labels of one document the lowest counts, NULL labels
+or ids are left out; without both labels every score is the share of label 1
 (0.5 without labels); an empty table gives an empty result.
 """
 
@@ -28,11 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.quality_rules import labelled_sample
-from weir.llm.text_stats import describe_all
+from weir.llm.common import stored
+from weir.llm.text_stats import FEATURES, describe_all
 
 PAIRS = 60_000
 BINS = 24
+STEPS = 24
+#: Scores to one: weights are rounded to it.
+UNIT = 256
+#: Edges are values of 10 binary digits; slopes are summed with 20.
+GRID, SLOPE = 2.0**10, 2.0**20
 SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 
 
@@ -56,11 +68,14 @@ class Ranking:
         return 1 / (1 + np.exp(-z))
 
 
+def _starts(edges: list[np.ndarray]) -> np.ndarray:
+    return np.cumsum([0, *[len(e) + 1 for e in edges[:-1]]])
+
+
 def _codes(edges: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     """Index of the indicator that is 1, for each row and feature."""
-    starts = np.cumsum([0, *[len(e) + 1 for e in edges[:-1]]])
     bins = [np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)]
-    return np.stack(bins, 1) + starts
+    return np.stack(bins, 1) + _starts(edges)
 
 
 def fit_ranking(
@@ -97,7 +112,156 @@ def _gap_at(values: np.ndarray, share: float) -> float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Ranking:
-    return fit_ranking(*labelled_sample(docs, labels, label))
+    """Fit on all pairs of labelled documents, 1 against 0."""
+    spark = docs.sparkSession
+    rows = stored(spark, labelled(docs, labels, label), "pairwise-labelled")
+    per = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(per) < 2:
+        return Ranking([], np.zeros(0), 0.0, 1.0, 0.7, float(next(iter(per), 0.5)))
+    edges = _edges(rows)
+    coded = stored(spark, _coded(rows, edges), "pairwise-coded")
+    size = sum(len(e) + 1 for e in edges)
+    weights, speed = np.zeros(size), np.zeros(size)
+    for _ in range(STEPS):
+        whole = np.rint(weights * UNIT).astype(np.int64)
+        pull = _pull(coded, edges, whole, *_slopes(_counts(coded, edges, whole)))
+        speed = 0.9 * speed + pull - 1e-3 * weights
+        weights = weights + 0.5 * speed
+    whole = np.rint(weights * UNIT).astype(np.int64)
+    counts = _counts(coded, edges, whole)
+    values, n = counts["score"].to_numpy() / UNIT, counts["n"].to_numpy()
+    order = np.argsort(values, kind="stable")
+    values, n = values[order], n[order]
+    below, total = np.cumsum(n), int(n.sum())
+    k = min(max(per[False], 1), total - 1)  # the share of label 0, as a number of rows
+    cut = (values[np.searchsorted(below, k)] + values[np.searchsorted(below, k + 1)]) / 2
+    mean = float((values * n).sum() / total)
+    spread = float((((values - mean) ** 2) * n).sum() / total) ** 0.5
+    return Ranking(edges, whole / UNIT, float(cut), max(spread, 1e-9), 0.7)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(id, y, x): every labelled document once. Features are shuffled, not texts."""
+    wanted = (
+        labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col(label).alias("y"))
+        .where("id IS NOT NULL AND y IS NOT NULL")
+        .groupBy("id")
+        .agg((F.min("y") > 0).alias("y"))
+    )
+
+    def features(batches):
+        for part in batches:
+            x = describe_all(part.column("text").to_pylist())[1]
+            lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
+            yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "x"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").where("id IS NOT NULL")
+    found = texts.mapInArrow(features, "id bigint, x array<double>").join(wanted, "id")
+    # a document may be there more than once; one row stands for each
+    return found.groupBy("id").agg(F.first("y").alias("y"), F.min("x").alias("x"))
+
+
+def _matrix(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("x").flatten().to_numpy().reshape(-1, len(FEATURES))
+
+
+def _edges(rows: DataFrame) -> list[np.ndarray]:
+    """For each feature, the smallest grid values that the shares of all rows lie under."""
+
+    def count(batches):
+        for part in batches:
+            m, e = np.frexp(_matrix(part))
+            up = np.ldexp(np.ceil(m * GRID) / GRID, e)
+            for j in range(up.shape[1]):
+                value, n = np.unique(up[:, j], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), j, np.int32)), pa.array(value), pa.array(n.astype(np.int64))],
+                    ["feature", "value", "n"],
+                )
+
+    found = rows.select("x").mapInArrow(count, "feature int, value double, n bigint")
+    counts = found.groupBy("feature", "value").agg(F.sum("n").alias("n")).toPandas().sort_values(["feature", "value"])
+    edges = []
+    for j in range(len(FEATURES)):
+        of = counts[counts["feature"] == j]
+        below = of["n"].cumsum().to_numpy()
+        at = np.searchsorted(below, np.arange(1, BINS) * below[-1] / BINS)
+        edges.append(np.unique(of["value"].to_numpy()[at]))
+    return edges
+
+
+def _coded(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """(y, bins): a byte for the bin of each feature."""
+    starts = _starts(edges)
+
+    def run(batches):
+        for part in batches:
+            bins = (_codes(edges, _matrix(part)) - starts).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([part.column("y"), pa.array([b.tobytes() for b in bins], pa.binary())], ["y", "bins"])
+
+    return rows.select("y", "x").mapInArrow(run, "y boolean, bins binary")
+
+
+def _read(part: pa.RecordBatch, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.frombuffer(b"".join(part.column("bins").to_pylist()), np.uint8).reshape(-1, len(starts))
+    return part.column("y").to_numpy(zero_copy_only=False).astype(bool), codes + starts
+
+
+def _counts(coded: DataFrame, edges: list[np.ndarray], whole: np.ndarray):
+    """Rows by label and score, as pandas, sorted."""
+    starts = _starts(edges)
+
+    def run(batches):
+        for part in batches:
+            y, codes = _read(part, starts)
+            score = whole[codes].sum(1)
+            for label in (False, True):
+                value, n = np.unique(score[y == label], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), label)), pa.array(value), pa.array(n.astype(np.int64))], ["y", "score", "n"]
+                )
+
+    found = coded.mapInArrow(run, "y boolean, score bigint, n bigint")
+    return found.groupBy("y", "score").agg(F.sum("n").alias("n")).toPandas().sort_values(["y", "score"])
+
+
+def _slopes(counts) -> tuple:
+    """Scores and slopes of the rows labelled 1 and of those labelled 0: the mean, over all
+    rows of the other label, of the chance that the fit gives to the wrong order."""
+    one, zero = counts[counts["y"]], counts[~counts["y"]]
+    s1, n1, s0, n0 = (t[c].to_numpy() for t in (one, zero) for c in ("score", "n"))
+    of_one, of_zero = np.zeros(len(s1)), np.zeros(len(s0))
+    for at in range(0, len(s1), 256):
+        gap = (s1[at : at + 256, None] - s0) / UNIT
+        wrong = 1 / (1 + np.exp(np.clip(gap, -500, 500)))
+        of_one[at : at + 256] = wrong @ n0 / n0.sum()
+        of_zero += n1[at : at + 256] @ wrong / n1.sum()
+    return s1, n1.sum(), of_one, s0, n0.sum(), of_zero
+
+
+def _pull(coded: DataFrame, edges: list[np.ndarray], whole: np.ndarray, s1, n1, of_one, s0, n0, of_zero) -> np.ndarray:
+    """Gradient of the mean over all pairs of log(1 + exp(-gap)), downwards."""
+    starts, size = _starts(edges), len(whole)
+    tables = ((True, s1, np.rint(of_one * SLOPE)), (False, s0, np.rint(of_zero * SLOPE)))
+
+    def run(batches):
+        for part in batches:
+            y, codes = _read(part, starts)
+            score = whole[codes].sum(1)
+            for label, scores, slopes in tables:
+                mine = y == label
+                slope = slopes[np.searchsorted(scores, score[mine])]
+                total = np.bincount(codes[mine].ravel(), np.repeat(slope, len(starts)), size)
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), label)), pa.array(at), pa.array(total[at].astype(np.int64))], ["y", "at", "total"]
+                )
+
+    found = coded.mapInArrow(run, "y boolean, at bigint, total bigint").groupBy("y", "at").agg(F.sum("total").alias("total"))
+    pull = np.zeros(size)
+    for r in found.orderBy("y", "at").collect():
+        pull[r["at"]] += r["total"] / SLOPE / (n1 if r["y"] else -n0)
+    return pull
 
 
 def held_out(doc_id) -> "F.Column":
