@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 from collections import Counter, defaultdict
+from sys import getsizeof
 
 import numpy as np
 import pytest
@@ -299,6 +300,22 @@ def test_viterbi_for_a_unigram_model():
     assert list(pieces.stream(m, ["xa"])) == [99, m.ids["a"]]
 
 
+def test_pieces_remember_within_their_bytes(model, monkeypatch):
+    """Also inside one text; what has been forgotten is found again."""
+    limit = 200_000
+    monkeypatch.setattr(pieces, "REMEMBERED", limit)
+    monkeypatch.setattr(pieces, "PAIRS", 50)
+    monkeypatch.setattr(model, "_parts", pieces._Parts(model))
+    text = " ".join(f"w{i * i}q" for i in range(5000)) + " " + "x" * limit
+    expected = list(pieces.stream(model, [model.marked(text)]))
+    for _ in range(2):
+        assert model.encode(text).tolist() == expected
+        kept = [model._parts, model._parts.older]
+        held = sum(getsizeof(x) for d in kept for x in [d, *d, *d.values()])
+        assert limit / 2 < held < 2.5 * limit
+        assert sum(map(len, model._follow.values())) <= 50
+
+
 def test_pieces_on_edges(spark):
     rows = [(1, None, 5), (2, "", 5), (None, "a  b", 5), (3, "x " * 20_000, 5), (3, "x " * 20_000, 5)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, ids int")

@@ -16,7 +16,8 @@ Some of these boundaries are known from the vocabulary alone, as no piece spans
 characters there: before a run of space marks, and between a letter and a character
 (most punctuation) that no piece has after one. No path depends on what lies beyond, so
 the search may start anew there, and what it found for a part of a text is remembered
-(within ``REMEMBERED``, by each worker). Parts of any length go through the window.
+by each worker, within a number of bytes (``REMEMBERED``) that holds inside a text, too.
+Parts of any length go through the window.
 
 Defined cases: NULL text gives NULL ids; empty text no ids; repeated rows are encoded
 alike; an empty table gives an empty result; other columns are not read. A literal
@@ -31,6 +32,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +40,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Characters of parts that a worker remembers, each part counted as ``PART`` more, in
-#: each of two generations; and the number of pairs of pieces.
-REMEMBERED, PART = 30_000_000, 50
-PAIRS = 1_000_000
+#: Bytes of memory for the parts that a worker remembers, in each of two generations, a
+#: part's place in the dictionary counted as ``ENTRY``; and the number of pairs of pieces.
+REMEMBERED, ENTRY = 32_000_000, 64
+PAIRS = 300_000
 #: Characters that enter the window at once.
 CHUNK = 4096
 SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, round_trip boolean"
@@ -90,6 +92,9 @@ class Model:
         known = self._follow.setdefault(before, {})
         free = known.get(piece)
         if free is None:
+            if self._pairs >= PAIRS:
+                self._follow.clear()
+                self._pairs, known = 0, self._follow.setdefault(before, {})
             pair = [self.pieces[before], self.pieces[piece]]
             free = known[piece] = merge("".join(pair), self.ids, self.scores) == pair
             self._pairs += 1
@@ -109,9 +114,7 @@ class Model:
         """Ids of a text, as 32-bit integers."""
         marked = self.marked(text)
         parts = [marked] if self.cuts is None else self.cuts.findall(marked)
-        found = b"".join(map(self._parts.__getitem__, parts))
-        self._parts.trim()
-        return np.frombuffer(found, np.int32)
+        return np.frombuffer(b"".join(map(self._parts.__getitem__, parts)), np.int32)
 
     def decode(self, ids) -> str:
         ids = np.asarray(ids, np.int64)
@@ -134,11 +137,11 @@ class Model:
 
 
 class _Parts(dict):
-    """Ids, as bytes, of parts of texts that have come up. Beyond the limit the parts
+    """Ids, as bytes, of parts of texts that have come up. At the limit the parts
     become the older generation; of those before it, only the ones met again stay."""
 
     def __init__(self, model: Model):
-        self.model, self.chars = model, 0
+        self.model, self.held = model, 0
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
@@ -146,18 +149,16 @@ class _Parts(dict):
         if found is None:
             chunks = [part[i : i + CHUNK] for i in range(0, len(part), CHUNK)]
             found = array("i", stream(self.model, chunks)).tobytes()
-        self[part] = found
-        self.chars += len(part) + PART
-        return found
-
-    def trim(self) -> None:
-        if self.chars > REMEMBERED:
+        size = getsizeof(part) + getsizeof(found) + ENTRY
+        if size > REMEMBERED:
+            return found
+        if self.held + size > REMEMBERED:
             self.older = dict(self)
             self.clear()
-            self.chars = 0
-        if self.model._pairs > PAIRS:
-            self.model._follow.clear()
-            self.model._pairs = 0
+            self.held = 0
+        self[part] = found
+        self.held += size
+        return found
 
 
 def _cuts(ids) -> re.Pattern:
