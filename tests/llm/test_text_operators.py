@@ -194,6 +194,25 @@ def test_mix_follows_the_curriculum(spark):
         assert abs(places[int(share * 4000)] - t) < 0.01
 
 
+def test_mix_shuffles_texts_twice(spark):
+    """With a shuffled join, too: once to meet the offsets, once for the range sort."""
+    rows = [(i, "w " * (1 + i % 7), ("a", "", None)[i % 3]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    schedules = mixing.cycling_schedules(docs)
+    expected = sorted(map(repr, mixing.mix(docs, schedules).collect()))
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mixing.training_order(docs, schedules)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        shuffled = sorted(map(repr, mixing.mix(docs, schedules).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange") == 3  # one is of the offsets
+    assert shuffled == expected and len({r.split("source=")[1].split(",")[0] for r in expected}) == 3
+
+
 def test_mix_keeps_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b", "s", 9, 8)], "doc_id bigint, text string, source string, before int, weight int")
     got = mixing.mix(docs, mixing.cycling_schedules(docs)).collect()[0]

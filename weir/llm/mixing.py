@@ -143,8 +143,11 @@ def _placed(docs: DataFrame, schedules: DataFrame, size: Column | None, max_repe
     ).withColumns({P + "b1": F.substring(P + "hash", 1, 2), P + "b2": F.substring(P + "hash", 3, 2)})
     plan = stored(spark, _offsets(rows, schedules, max_repeats), "mix")
 
-    keys = [P + "source", P + "b1", P + "b2"]
-    joined = rows.join(plan, [rows[keys[0]].eqNullSafe(plan["source"]), rows[keys[1]] == plan["b1"], rows[keys[2]] == plan["b2"]])
+    # plain columns without NULLs, so that the join and the window share one shuffle
+    keys = [P + "named", P + "key", P + "b1", P + "b2"]
+    rows = rows.withColumns(_source_key(P + "source"))
+    buckets = plan.withColumns({**_source_key("source"), P + "b1": F.col("b1"), P + "b2": F.col("b2")})
+    joined = rows.join(buckets.drop("source", "b1", "b2"), keys)
     inside = (
         Window.partitionBy(*keys)
         .orderBy(P + "hash", P + "row.doc_id", P + "text", P + "size")
@@ -168,6 +171,14 @@ def _placed(docs: DataFrame, schedules: DataFrame, size: Column | None, max_repe
     )
 
 
+def _source_key(source: str) -> dict[str, Column]:
+    """A source as two columns that are never NULL."""
+    return {
+        P + "named": F.col(source).isNotNull(),
+        P + "key": F.coalesce(F.col(source).cast("string"), F.lit("")),
+    }
+
+
 def _offsets(rows: DataFrame, schedules: DataFrame, max_repeats: int) -> DataFrame:
     """(source, b1, b2): words of the source before the bucket, with its target."""
     per = rows.groupBy(
