@@ -316,6 +316,41 @@ def test_pieces_remember_within_their_bytes(model, monkeypatch):
         assert sum(map(len, model._follow.values())) <= 50
 
 
+def merged(m, *some):
+    *_, (_, parts) = pieces.merging("".join(some), m.ids, m.scores)
+    return parts
+
+
+def test_pairs_by_their_borders_equal_merging(model):
+    """Also with runs of spaces, whose scores are equal, and with scores that do not fall."""
+    draw = random.Random(8)
+    spaces = [i for i in model.ids.values() if not model.pieces[i].strip(pieces.MARK)]
+    short = [i for i in model.ids.values() if len(model.pieces[i]) < 4 and model.pieces[i].isascii()]
+    pairs = [(a, b) for a in spaces for b in spaces] + [(draw.choice(short), draw.choice(short)) for _ in range(5000)]
+    for _ in range(40):
+        m = object.__new__(pieces.Model)
+        m.pieces = [*"abc", *{"".join(draw.choices("abc", k=draw.randrange(2, 5))) for _ in range(25)}]
+        m.ids = {p: i for i, p in enumerate(m.pieces)}
+        m.scores = [float(-draw.randrange(20)) for _ in m.pieces]
+        m._sides = {}
+        for a in m.ids.values():
+            for b in m.ids.values():
+                assert m._apart(a, b) == (merged(m, m.pieces[a], m.pieces[b]) == [m.pieces[a], m.pieces[b]])
+    for a, b in pairs:
+        assert model._apart(a, b) == (merged(model, model.pieces[a], model.pieces[b]) == [model.pieces[a], model.pieces[b]])
+
+
+def test_pieces_are_merged_once_not_once_a_pair(monkeypatch):
+    with open(PIECES, "rb") as f:
+        fresh = pieces.Model(f.read())
+    calls, merging = [], pieces.merging
+    monkeypatch.setattr(pieces, "merging", lambda *a: calls.append(a[0]) or merging(*a))
+    draw = random.Random(9)
+    text = " ".join("".join(draw.choices(["con", "ter", "ing", "sta", "pre", "le", "o"], k=4)) for _ in range(3000))
+    assert fresh.decode(fresh.encode(text)) == text
+    assert len(calls) == len(set(calls)) < fresh._pairs / 3
+
+
 def test_pieces_on_edges(spark):
     rows = [(1, None, 5), (2, "", 5), (None, "a  b", 5), (3, "x " * 20_000, 5), (3, "x " * 20_000, 5)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, ids int")

@@ -6,11 +6,14 @@ path must be the one that merging makes: an edge may follow another only where
 merging the two pieces' text gives back exactly these two, and then every prefix has
 one path. Characters without a piece become their bytes.
 
-The search keeps a window: pieces are at most ``longest`` characters, so only paths
-that end in the last ``longest`` boundaries survive. Whenever the backpointers of all
-of them meet in one boundary, the ids before it are final and leave the window. They
-meet for certain where no piece reaches beyond the boundary at hand; else the paths are
-followed back when the window has grown to four times ``longest``.
+An automaton over the pieces (Aho-Corasick) reads the text once: its state after a
+character is the longest end of the text so far that begins a piece, and lists all pieces
+that end there, so each boundary looks at these edges only, the longest first.
+
+The search keeps a window: only paths that end in a boundary within the automaton's state
+survive, as later pieces start there. Whenever the window has grown to four times
+``longest``, the longest piece, the backpointers of all of them are followed back; the ids
+before the boundary in which they meet are final and leave the window.
 
 Some of these boundaries are known from the vocabulary alone, as no piece spans the two
 characters there: before a run of space marks, and between a letter and a character
@@ -27,10 +30,10 @@ U+2581 in a text comes back as a space, as the format asks.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import chain
 from sys import getsizeof
 
@@ -46,6 +49,7 @@ REMEMBERED, ENTRY = 32_000_000, 64
 PAIRS = 300_000
 #: Characters that enter the window at once.
 CHUNK = 4096
+_NEVER = float("-inf")
 SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, round_trip boolean"
 
 
@@ -70,13 +74,6 @@ class Model:
             if i not in self.byte_of and i not in self.hidden and i != self.unknown and not p.is_unused(i):
                 self.ids[piece] = i
         self.longest = max(map(len, self.ids), default=1)
-        self.tree: dict = {}  # by character: the id of the piece so far or -1, and its subtree
-        for piece, i in self.ids.items():
-            tree, node = self.tree, None
-            for char in piece:
-                node = tree.setdefault(char, [-1, {}])
-                tree = node[1]
-            node[0] = i
         self.least = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10
         # a merging model scores by rank: whole numbers, none twice but for runs of spaces
         self.merges = all(float(self.scores[i]).is_integer() for i in self.ids.values())
@@ -85,8 +82,36 @@ class Model:
         self.cuts = None if crossing else _cuts(self.ids)
         self._follow: dict[int, dict[int, bool]] = {}
         self._pairs = 0
+        self._sides: dict[int, tuple] = {}
         self._parts = _Parts(self)
 
+    @cached_property
+    def root(self) -> tuple:
+        """The automaton's first state. A state has the states by the next character, the
+        state of its longest shorter end, (characters, id) of the pieces that end in it,
+        the longest first, and its number of characters."""
+        tree: dict = {}
+        for piece, i in self.ids.items():
+            node = tree
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[""] = i
+        root: tuple = ({}, None, (), 0)
+        level = [(tree, root)]
+        while level:  # shorter states first, as the others refer to them
+            above, level = level, []
+            for node, state in above:
+                for char, below in node.items():
+                    if char:
+                        end, size = state[1], state[3] + 1
+                        while end is not None and char not in end[0]:
+                            end = end[1]
+                        end = root if end is None else end[0][char]
+                        ends = ((size, below[""]), *end[2]) if "" in below else end[2]
+                        state[0][char] = ({}, end, ends, size)
+                        level.append((below, state[0][char]))
+        return root
+
     def follows(self, before: int, piece: int) -> bool:
         """Whether merging the text of both gives exactly these two pieces."""
         known = self._follow.setdefault(before, {})
@@ -95,11 +120,48 @@ class Model:
             if self._pairs >= PAIRS:
                 self._follow.clear()
                 self._pairs, known = 0, self._follow.setdefault(before, {})
-            pair = [self.pieces[before], self.pieces[piece]]
-            free = known[piece] = merge("".join(pair), self.ids, self.scores) == pair
+            free = known[piece] = self._apart(before, piece)
             self._pairs += 1
         return free
 
+    def _apart(self, before: int, piece: int) -> bool:
+        """Both merge on their own side by side, in order of score, the left one first of
+        equals, unless the parts at their border have a better score before that."""
+        left, right = self._edges(before)[1], self._edges(piece)[0]
+        if left is None or right is None:
+            pair = [self.pieces[before], self.pieces[piece]]
+            *_, (_, parts) = merging("".join(pair), self.ids, self.scores)
+            return parts == pair
+        i = j = 0
+        while True:
+            both = self.ids.get(left[i][1] + right[j][1])
+            a = left[i + 1][0] if i + 1 < len(left) else _NEVER
+            b = right[j + 1][0] if j + 1 < len(right) else _NEVER
+            if both is not None and (self.scores[both] > a if a >= b else self.scores[both] >= b):
+                return False
+            if a == b == _NEVER:
+                return True
+            if a >= b:
+                i += 1
+            else:
+                j += 1
+
+    def _edges(self, piece: int) -> tuple[tuple | None, tuple | None]:
+        """The first parts of a piece while it is merged, and the last ones, each with the
+        score of its merge; None if the piece does not come back, or not by falling score."""
+        found = self._sides.get(piece)
+        if found is None:
+            steps = [(s, p[0], p[-1], len(p)) for s, p in merging(self.pieces[piece], self.ids, self.scores)]
+            if steps[-1][3] > 1 or any(a[0] < b[0] for a, b in zip(steps, steps[1:])):
+                found = None, None
+            else:
+                found = tuple(
+                    tuple((s[0], s[k]) for n, s in enumerate(steps) if not n or s[k] != steps[n - 1][k])
+                    for k in (1, 2)
+                )
+            self._sides[piece] = found
+        return found
+
     def fallback(self, char: str) -> list[int]:
         if not self.bytes:
             return [self.unknown]
@@ -147,7 +209,7 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         found = self.older.get(part)
         if found is None:
-            chunks = [part[i : i + CHUNK] for i in range(0, len(part), CHUNK)]
+            chunks = (part[i : i + CHUNK] for i in range(0, len(part), CHUNK))
             found = array("i", stream(self.model, chunks)).tobytes()
         size = getsizeof(part) + getsizeof(found) + ENTRY
         if size > REMEMBERED:
@@ -174,119 +236,114 @@ def _cuts(ids) -> re.Pattern:
 _ALNUM = r"[^\W_]"
 
 
-def merge(text: str, ids: dict[str, int], scores: list[float]) -> list[str]:
-    """Pieces by repeated merging of the neighbours with the best score, left first.
-    Used on two pieces at a time."""
-    parts: list[str | None] = list(text)
-    after = list(range(1, len(parts) + 1))
-    before = list(range(-1, len(parts) - 1))
-    heap: list[tuple[float, int, int, str]] = []
-
-    def offer(i: int, j: int) -> None:
-        if i >= 0 and j < len(parts) and (both := parts[i] + parts[j]) in ids:
-            heapq.heappush(heap, (-scores[ids[both]], i, j, both))
-
-    for i in range(len(parts) - 1):
-        offer(i, i + 1)
-    while heap:
-        _, i, j, both = heapq.heappop(heap)
-        if parts[i] is None or parts[j] is None or after[i] != j or parts[i] + parts[j] != both:
-            continue
-        parts[i], parts[j] = both, None
-        after[i] = after[j]
-        if after[i] < len(parts):
-            before[after[i]] = i
-        offer(before[i], i)
-        offer(i, after[i])
-    return [x for x in parts if x is not None]
-
-
-def stream(model: Model, chunks) -> Iterator[int]:
+def merging(text: str, ids: dict[str, int], scores: list[float]) -> Iterator[tuple[float, list[str]]]:
+    """The parts of a text while it is merged, neighbours with the best score first, the
+    left ones of equals; with the score of the last merge. For a piece or two."""
+    parts = list(text)
+
+    def rank(i: int) -> float:
+        both = ids.get(parts[i] + parts[i + 1])
+        return _NEVER if both is None else scores[both]
+
+    ranks = [rank(i) for i in range(len(parts) - 1)]
+    yield float("inf"), parts
+    while ranks and (best := max(ranks)) > _NEVER:
+        i = ranks.index(best)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del ranks[i]
+        if i < len(ranks):
+            ranks[i] = rank(i)
+        if i:
+            ranks[i - 1] = rank(i - 1)
+        yield best, parts
+
+
+def stream(model: Model, chunks: Iterable[str]) -> Iterator[int]:
     """Ids of the text that the chunks make up, as soon as they are final."""
-    longest, extend = model.longest, _merged if model.merges else _scored
-    text, base = "", 0  # the window's text, and the boundary that pieces are tried from next
+    return chain.from_iterable(_final(model, chunks))
+
+
+def _final(model: Model, chunks: Iterable[str]) -> Iterator[list[int]]:
+    longest, extend, state = model.longest, _merged if model.merges else _scored, model.root
+    text = ""  # the window's, from the last final boundary on
     back: list[int] = [0]  # by boundary in the window: where its last piece starts
     last: list[int] = [-1]  # that piece; -1 for bytes
     score: list[float] = [0.0]
-    far = 0  # the last boundary that a path has reached
-    for chunk in chain(chunks, [None]):
-        text += chunk or ""
-        new = len(text) + 1 - len(back)
-        back += [-1] * new
-        last += [-1] * new
-        score += [float("-inf")] * new
-        # a start is settled once all pieces that could end there have been tried
-        end = len(text) if chunk is None else len(text) - longest
-        final = 0
+    for chunk in chunks:
+        text += chunk
+        base, end, final = len(back) - 1, len(text), 0
         while base < end:
-            # up to where the window is full, or all paths may meet
-            base, far = extend(model, text, base, min(end, final + 4 * longest), far, back, last, score)
-            meet = base if base == far else _meeting(back, base, far)
-            if meet > final:
-                yield from _path(model, text, back, last, final, meet)
-                final = meet
-            if base < end and base >= final + 4 * longest:  # the paths have not met yet
-                base, far = extend(model, text, base, min(end, base + longest), far, back, last, score)
+            # up to where the window is full; then further if the paths have not met
+            to = min(end, max(final + 4 * longest, base + longest))
+            state = extend(model, text, base, to, state, back, last, score)
+            base = to
+            if base >= final + 4 * longest:
+                meet = _meeting(back, base, state[3])
+                if meet > final:
+                    yield _path(model, text, back, last, final, meet)
+                    final = meet
         if final:
-            text, base, far = text[final:], base - final, far - final
-            back = [max(0, b - final) if b >= 0 else -1 for b in back[final:]]
+            text = text[final:]
+            back = [max(0, b - final) for b in back[final:]]
             last, score = last[final:], score[final:]
     if text:
-        yield from _path(model, text, back, last, 0, len(text))
-
-
-def _merged(model: Model, text: str, at: int, end: int, far: int, back, last, score) -> tuple[int, int]:
-    """Try all pieces that start at the boundaries from ``at`` to ``end``, for a merging
-    model: a boundary keeps the first piece that may follow."""
-    top, known, none, longest = model.tree, model._follow, {}, model.longest
-    while at < end:
-        previous, tree, to = last[at], top, at
-        pairs = None if previous < 0 else known.get(previous, none)
-        for char in text[at : at + longest]:
-            node = tree.get(char)
-            if node is None:
-                break
-            i, tree = node
-            to += 1
-            if i >= 0 and back[to] < 0:
-                free = pairs is None or pairs.get(i)
-                if model.follows(previous, i) if free is None else free:
-                    back[to], last[to] = at, i
-                    if to > far:
-                        far = to
-        at += 1
-        if back[at] < 0:  # no piece, or none that merging leaves: bytes
-            back[at] = at - 1
-            far = max(far, at)
-    return at, far
+        yield _path(model, text, back, last, 0, len(text))
 
 
-def _scored(model: Model, text: str, at: int, end: int, far: int, back, last, score) -> tuple[int, int]:
+def _merged(model: Model, text: str, at: int, end: int, state: tuple, back, last, score) -> tuple:
+    """Find the last piece of the paths to the boundaries after ``at`` up to ``end``, for a
+    merging model: the first, from the longest, that may follow. Returns the state there."""
+    known, none = model._follow, {}
+    for char in text[at:end]:
+        at += 1
+        after = state[0].get(char)
+        while after is None and state[1] is not None:
+            state = state[1]
+            after = state[0].get(char)
+        if after is not None:
+            state = after
+        for size, i in state[2]:
+            previous = last[at - size]
+            if previous >= 0:
+                free = known.get(previous, none).get(i)
+                if not (model.follows(previous, i) if free is None else free):
+                    continue
+            back.append(at - size)
+            last.append(i)
+            break
+        else:  # no piece, or none that merging leaves: bytes
+            back.append(at - 1)
+            last.append(-1)
+    return state
+
+
+def _scored(model: Model, text: str, at: int, end: int, state: tuple, back, last, score) -> tuple:
     """The same for a unigram model: a boundary keeps the piece with the best sum."""
-    top, scores, longest = model.tree, model.scores, model.longest
-    while at < end:
-        before, tree, to = score[at], top, at
-        for char in text[at : at + longest]:
-            node = tree.get(char)
-            if node is None:
-                break
-            i, tree = node
-            to += 1
-            if i >= 0 and before + scores[i] > score[to]:
-                back[to], last[to], score[to] = at, i, before + scores[i]
-                far = max(far, to)
-        char, at = text[at], at + 1
-        if char not in model.ids and before + model.least > score[at]:
-            back[at], last[at], score[at] = at - 1, -1, before + model.least
-            far = max(far, at)
-    return at, far
-
-
-def _meeting(back: list[int], base: int, far: int) -> int:
-    """The boundary in which the paths of all surviving boundaries meet: ``base`` and
-    those beyond it that have been reached."""
-    alive = {b for b in range(base + 1, far + 1) if back[b] >= 0}
-    alive.add(base)
+    scores = model.scores
+    for char in text[at:end]:
+        at += 1
+        after = state[0].get(char)
+        while after is None and state[1] is not None:
+            state = state[1]
+            after = state[0].get(char)
+        if after is not None:
+            state = after
+        start, piece, best = at - 1, -1, _NEVER
+        for size, i in state[2]:
+            if score[at - size] + scores[i] > best:
+                start, piece, best = at - size, i, score[at - size] + scores[i]
+        if char not in model.ids and score[at - 1] + model.least > best:
+            start, piece, best = at - 1, -1, score[at - 1] + model.least
+        back.append(start)
+        last.append(piece)
+        score.append(best)
+    return state
+
+
+def _meeting(back: list[int], base: int, survive: int) -> int:
+    """The boundary in which the paths of all surviving boundaries meet: ``base`` and as
+    many before it."""
+    alive = set(range(base - survive, base + 1))
     while len(alive) > 1:
         end = max(alive)
         alive.remove(end)
@@ -295,12 +352,16 @@ def _meeting(back: list[int], base: int, far: int) -> int:
 
 
 def _path(model: Model, text: str, back, last, start: int, end: int) -> list[int]:
-    steps: list[list[int]] = []
+    ids: list[int] = []
     while end > start:
         piece = last[end]
-        steps.append(model.fallback(text[end - 1]) if piece < 0 else [piece])
+        if piece < 0:
+            ids += reversed(model.fallback(text[end - 1]))
+        else:
+            ids.append(piece)
         end = back[end]
-    return [i for step in reversed(steps) for i in step]
+    ids.reverse()
+    return ids
 
 
 _MODELS: dict[bytes, Model] = {}
