@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import weakref
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import pyarrow as pa
 from conftest import SMALL_DIR
 from pyspark.sql import functions as F
 from test_duplicates import brute_classes
 
-from weir.llm import mixing, quality_rules
+from weir.llm import dart_minhash, mixing, pieces, quality_rules
 from weir.llm.common import read, stored
+from weir.llm.queries import PIECES
+from weir.session import TEXT_ROWS, configure_texts
 
 
 def test_stages_by_brute_force(spark):
@@ -72,3 +76,33 @@ def test_columns_of_any_name_go_through(spark):
         assert odd.columns == [*docs.columns, *names], name
     rows = odd.collect()
     assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+def test_stages_hand_few_texts_at_once_to_python(spark):
+    """10,000 whole texts a batch, held by Spark, Arrow and the worker, took an executor's memory."""
+    docs = read(spark, SMALL_DIR, "documents").limit(50)
+    many = spark.range(5000, numPartitions=1)
+    rows = many.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint")
+    for name, stage in corpus_pipeline.STAGES:
+        for key in TEXT_ROWS:
+            spark.conf.unset(key)
+        assert stage(spark, docs, SMALL_DIR).columns
+        assert max(r.n for r in rows.collect()) <= 1000, name
+        assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512, name
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    configure_texts(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "7"
+    for key in TEXT_ROWS:
+        spark.conf.unset(key)
+
+
+def test_workers_forget_what_another_operator_remembers():
+    """Else a worker that encoded keeps the model and its parts through all later stages."""
+    with open(PIECES, "rb") as f:
+        model = pieces._model(f.read())
+    model.encode("some words to remember")
+    gone = weakref.ref(model)
+    del model
+    rows = pa.RecordBatch.from_pydict({"text": ["a b c"]})
+    assert [part.num_rows for part in dart_minhash._slices([rows])] == [1]
+    assert gone() is None

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +40,26 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task; it keeps one such thing."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Let go what this worker keeps for another operator's tasks, as it outlives their
+    stage, and what Arrow has not given back."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared checkpoint folder and read them back: lineage ends
     there, so a lost executor does not cost the work before."""

@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import stored
+from weir.llm.common import forget, stored
 from weir.llm.components import components
 
 SHINGLE = 5
@@ -179,8 +179,11 @@ def _portions(texts: list):
 def _slices(batches):
     """Arrow batches in slices of a few texts, as their Python strings take memory."""
     for part in batches:
+        forget()
         for at in range(0, part.num_rows, _DOCS_AT_ONCE):
             yield part.slice(at, _DOCS_AT_ONCE)
+    part = None
+    forget()
 
 
 def _sign(texts: list, counted: bool) -> tuple[list, list]:

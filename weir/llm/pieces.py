@@ -42,6 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weir.llm.common import kept
+
 MARK = "▁"
 #: Bytes of memory for the parts that a worker remembers, in each of two generations, a
 #: part's place in the dictionary counted as ``ENTRY``; and the number of pairs of pieces.
@@ -364,17 +366,10 @@ def _path(model: Model, text: str, back, last, start: int, end: int) -> list[int
     return ids
 
 
-_MODELS: dict[bytes, Model] = {}
-
-
 def _model(proto: bytes) -> Model:
     """The model of this worker process, which keeps what it has remembered from task to
-    task; a worker holds one."""
-    key = hashlib.sha256(proto).digest()
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(proto)
-    return _MODELS[key]
+    task, until tasks of another operator let it go; a worker holds one."""
+    return kept(("pieces", hashlib.sha256(proto).digest()), lambda: Model(proto))
 
 
 def _lists(ids: list) -> pa.Array:

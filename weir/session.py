@@ -8,6 +8,13 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+#: Rows of a batch that goes to Python, or that the Parquet reader decodes at once, where a
+#: row holds a whole text.
+TEXT_ROWS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.parquet.columnarReaderBatchSize": 512,
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options that results depend on; sizing stays the cluster's."""
@@ -15,6 +22,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def configure_texts(spark: SparkSession) -> SparkSession:
+    """Batches of few rows, for tables of whole texts: by default a batch for Python has
+    10,000 rows, which a task holds in Spark, in Arrow and in the worker at once. Only the
+    memory of tasks depends on it; smaller settings of the cluster stay."""
+    for key, rows in TEXT_ROWS.items():
+        if not 0 < int(spark.conf.get(key)) <= rows:
+            spark.conf.set(key, str(rows))
+    return spark
+
+
 def configure_streaming(spark: SparkSession) -> SparkSession:
     """``configure`` plus the state store that keyed state and timers need.
 
